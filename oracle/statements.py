@@ -1,5 +1,5 @@
 """All statements by query name."""
 
-from oracle import etl
+from oracle import etl, numbered
 
-STATEMENTS: dict[str, str] = {**etl.SQL}
+STATEMENTS: dict[str, str] = {**etl.SQL, **numbered.SQL}

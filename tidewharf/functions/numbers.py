@@ -46,6 +46,10 @@ def share(condition: Column) -> Column:
     return ratio(F.count_if(condition), F.count(F.lit(1)))
 
 
+def row_count() -> Column:
+    return F.count(F.lit(1))
+
+
 def days_between(end: Column, start: Column) -> Column:
     return F.datediff(end, start)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidewharf.functions.numbers import cap, days_between, half_even, ratio
+from tidewharf.functions.numbers import cap, days_between, half_even, ratio, row_count
 from tidewharf.functions.rules import NO_TURNOVER_DAYS, stock_status
 from tidewharf.schemas import TABLE_KEYS
 
@@ -237,8 +237,8 @@ def transform(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def dropped_rows(raw: DataFrame, clean: DataFrame, table: str) -> DataFrame:
     """One row: how many rows cleaning removed."""
-    before = raw.agg(F.count(F.lit(1)).alias("rows_before"))
-    after = clean.agg(F.count(F.lit(1)).alias("rows_after")).scalar()
+    before = raw.agg(row_count().alias("rows_before"))
+    after = clean.agg(row_count().alias("rows_after")).scalar()
     return before.select(
         F.lit(table).alias("table_name"),
         "rows_before",
@@ -250,7 +250,7 @@ def dropped_rows(raw: DataFrame, clean: DataFrame, table: str) -> DataFrame:
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Count rows while another action runs, without a job of its own."""
     seen = Observation(name)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+    return df.observe(seen, row_count().alias("rows")), seen
 
 
 def key_of(table: str) -> list[str]:

@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewharf.functions.numbers import row_count
 from tidewharf.schemas import BOUNDS, REFERENCES, REQUIRED, TABLE_KEYS
 
 Frames = Callable[..., DataFrame]  # frame(name, *columns)
@@ -23,7 +24,7 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")
+    return df.groupBy(*keys).agg(row_count().alias("row_count")).filter("row_count > 1")
 
 
 def unique_report(frame: Frames, tables: list[str]) -> DataFrame:
@@ -34,7 +35,7 @@ def unique_report(frame: Frames, tables: list[str]) -> DataFrame:
         parts.append(twice.agg(
             F.lit(table).alias("table_name"),
             F.lit(", ".join(keys)).alias("key_columns"),
-            F.count(F.lit(1)).alias("duplicated_keys"),
+            row_count().alias("duplicated_keys"),
             F.coalesce(F.sum(F.col("row_count") - 1), F.lit(0)).alias("surplus_rows"),
         ))
     return _stack(parts)
@@ -78,7 +79,7 @@ def reference_report(frame: Frames, tables: list[str], parents: Frames | None =
             continue
         # Counting per key first leaves one row per key for the join, whatever the skew.
         used = frame(child, column).filter(F.col(column).isNotNull()).groupBy(column)
-        used = used.agg(F.count(F.lit(1)).alias("_rows"))
+        used = used.agg(row_count().alias("_rows"))
         known = parents(parent, key).withColumnRenamed(key, "_key")
         orphans = used.join(known, used[column] == known["_key"], "left_anti")
         parts.append(orphans.agg(

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewharf.operators import clean, quality
+from tidewharf.operators import advanced, basic, clean, intermediate, quality, views
 from tidewharf.sources import feeds
 from tidewharf.sources.star import StarTables
 
@@ -114,4 +114,52 @@ ETL: dict[str, Query] = {
     "dq_order_dates": lambda t: quality.date_report(_dirty(t, "orders"), _dirty(t, "inventory")),
 }
 
-QUERIES: dict[str, Query] = {**ETL}
+VIEWS: dict[str, Query] = {
+    "v_inventory_health": views.inventory_health,
+    "v_supplier_performance": views.supplier_performance,
+    "v_logistics_summary": views.logistics_summary,
+}
+
+NUMBERED: dict[str, Query] = {
+    "q01_products_by_category": basic.products_by_category,
+    "q02_price_by_category": basic.price_by_category,
+    "q03_inventory_by_warehouse": basic.inventory_by_warehouse,
+    "q04_orders_by_status": basic.orders_by_status,
+    "q05_top10_products": basic.top_products,
+    "q06_supplier_volume": basic.supplier_volume,
+    "q07_cost_by_carrier": basic.cost_by_carrier,
+    "q08_utilization": basic.utilization,
+    "q09_zero_stock": basic.zero_stock,
+    "q10_monthly_orders": basic.monthly_orders,
+    "q11_warehouse_rating": intermediate.warehouse_rating,
+    "q12_supplier_delays": intermediate.supplier_delays,
+    "q13_stockout_products": intermediate.stockout_products,
+    "q14_regional_demand": intermediate.regional_demand,
+    "q15_value_by_category": intermediate.value_by_category,
+    "q16_fill_rate": intermediate.fill_rate_by_warehouse,
+    "q17_expensive_routes": intermediate.expensive_routes,
+    "q18_profitability": intermediate.profitability,
+    "q19_dead_inventory": intermediate.dead_inventory,
+    "q20_fast_moving": intermediate.fast_moving,
+    "q21_monthly_on_time": intermediate.monthly_on_time,
+    "q22_defect_impact": intermediate.defect_impact,
+    "q23_category_region": intermediate.category_region,
+    "q24_shipment_status": intermediate.shipment_status,
+    "q25_reorder_summary": intermediate.reorder_summary,
+    "q26_running_revenue": advanced.running_revenue,
+    "q27_demand_rank": advanced.demand_rank,
+    "q28_mom_growth": advanced.month_growth,
+    "q29_warehouse_rank": advanced.warehouse_rank,
+    "q30_cohort": advanced.cohorts,
+    "q31_weekly_ma": advanced.weekly_average,
+    "q32_lead_time_variance": advanced.lead_time_variance,
+    "q33_top3_per_warehouse": advanced.top_per_warehouse,
+    "q34_abc": advanced.abc_classes,
+    "q35_route_efficiency": advanced.route_efficiency,
+    "q36_yoy": advanced.year_over_year,
+    "q37_stockout_by_category": advanced.stockout_by_category,
+    "q44_delayed_routes": advanced.delayed_routes,
+    "q45_regional_ma7": advanced.regional_moving_average,
+}
+
+QUERIES: dict[str, Query] = {**ETL, **VIEWS, **NUMBERED}
