@@ -1,5 +1,5 @@
 """All statements by query name."""
 
-from oracle import etl, numbered
+from oracle import analysis, etl, numbered
 
-STATEMENTS: dict[str, str] = {**etl.SQL, **numbered.SQL}
+STATEMENTS: dict[str, str] = {**etl.SQL, **numbered.SQL, **analysis.SQL}

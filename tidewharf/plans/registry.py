@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewharf.operators import advanced, basic, clean, intermediate, quality, views
+from tidewharf.operators import (
+    advanced, basic, clean, intermediate, inventory, kpi, logistics, quality, suppliers, views,
+)
 from tidewharf.sources import feeds
 from tidewharf.sources.star import StarTables
 
@@ -162,4 +165,66 @@ NUMBERED: dict[str, Query] = {
     "q45_regional_ma7": advanced.regional_moving_average,
 }
 
-QUERIES: dict[str, Query] = {**ETL, **VIEWS, **NUMBERED}
+
+
+def counts(frames: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, row_count) of each frame."""
+    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count")) for name, df in frames.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _count_of(df: DataFrame):
+    return df.select(F.count(F.lit(1))).scalar()
+
+
+def _composite(t: StarTables) -> DataFrame:
+    return kpi.composite_scores(
+        t, kpi.as_stored(kpi.service_kpis(t), "kpi_service"), kpi.as_stored(kpi.inventory_kpis(t), "kpi_inventory")
+    )
+
+
+KPIS: dict[str, Query] = {
+    "kpi_inventory": kpi.inventory_kpis,
+    "kpi_supplier": kpi.supplier_kpis,
+    "kpi_logistics": kpi.logistics_kpis,
+    "kpi_service": kpi.service_kpis,
+    "kpi_executive": kpi.executive_kpis,
+    "kpi_run_all": lambda t: counts(kpi.all_kpis(t)),
+    "v_executive_dashboard": lambda t: views.executive_dashboard(kpi.executive_kpis(t)),
+    "q39_kpi_trend": lambda t: kpi.executive_trend(kpi.executive_kpis(t)),
+    "q40_scorecard_rank": lambda t: suppliers.scorecard_ranking(t, suppliers.scorecards(t)),
+    "q43_composite_score": _composite,
+}
+
+ANALYSES: dict[str, Query] = {
+    "inv_health": inventory.health,
+    "inv_overstocked": inventory.overstocked,
+    "inv_understocked": inventory.understocked,
+    "inv_dead": inventory.dead,
+    "inv_fast_moving": inventory.fast_moving,
+    "inv_alerts": inventory.alerts,
+    "inv_reorder_qty": inventory.reorder_quantities,
+    "inv_summary": inventory.summary,
+    "inv_analyze": lambda t: inventory.analyze(t)["summary"],
+    "sup_performance": suppliers.performance,
+    "sup_delayed": suppliers.delayed,
+    "sup_scorecards": suppliers.scorecards,
+    "sup_scorecard_text": suppliers.scorecard_text,
+    "sup_rank": suppliers.ranking,
+    "sup_summary": suppliers.summary,
+    "sup_analyze": lambda t: suppliers.analyze(t)["summary"].withColumn(
+        "scorecards_generated", _count_of(suppliers.analyze(t)["scorecards"])
+    ),
+    "log_summary": logistics.summary,
+    "log_delayed": logistics.delayed,
+    "log_high_risk": logistics.high_risk,
+    "log_expensive": logistics.expensive,
+    "log_carriers": logistics.carriers,
+    "log_recommendations": logistics.recommendations,
+    "log_totals": logistics.totals,
+    "log_analyze": lambda t: logistics.analyze(t)["summary"].withColumn(
+        "recommendation_count", _count_of(logistics.analyze(t)["recommendations"])
+    ),
+}
+
+QUERIES: dict[str, Query] = {**ETL, **VIEWS, **NUMBERED, **KPIS, **ANALYSES}

@@ -57,6 +57,10 @@ class StarTables(SupplyTables):
     def frame(self, name: str, *columns: str) -> DataFrame:
         return getattr(self, f"_{name}")(list(columns))
 
+    def latest_day(self) -> DataFrame:
+        """From the order headers alone; the lines add nothing to the newest date."""
+        return self.raw("orders").agg(F.max(F.col("o_orderdate").cast("date")).alias("day"))
+
     # ----------------------------------------------------------------- dimensions
 
     def _places(self) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewharf.schemas import SOURCE_TABLES
 
@@ -19,6 +21,19 @@ class SupplyTables:
         df = self._frames[name]
         return df.select(*columns) if columns else df
 
+    def latest_day(self) -> DataFrame:
+        """One row: the newest order date."""
+        return self.orders("order_date").agg(F.max("order_date").alias("day"))
+
+    def day(self, as_of: datetime.date | None = None) -> Column:
+        """The date a dated result is for: ``as_of``, or else the newest order date."""
+        return F.lit(as_of) if as_of else self.latest_day().scalar()
+
+    def primary_suppliers(self) -> DataFrame:
+        """(product_id, supplier_id) of the primary pairs."""
+        pairs = self.product_suppliers("product_id", "supplier_id", "is_primary")
+        return pairs.filter("is_primary").select("product_id", "supplier_id")
+
     def products(self, *columns: str) -> DataFrame:
         return self.frame("products", *columns)
 
