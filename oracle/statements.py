@@ -1,5 +1,5 @@
 """All statements by query name."""
 
-from oracle import analysis, etl, numbered
+from oracle import analysis, etl, numbered, planning
 
-STATEMENTS: dict[str, str] = {**etl.SQL, **numbered.SQL, **analysis.SQL}
+STATEMENTS: dict[str, str] = {**etl.SQL, **numbered.SQL, **analysis.SQL, **planning.SQL}

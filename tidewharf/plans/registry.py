@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewharf.functions.numbers import half_up
+from tidewharf.functions.rules import economic_order_quantity, safety_stock
 from tidewharf.operators import (
-    advanced, basic, clean, intermediate, inventory, kpi, logistics, quality, suppliers, views,
+    advanced, basic, clean, forecast, insights, intermediate, inventory, kpi, logistics, measures, optimize,
+    quality, reporting, suppliers, views,
 )
 from tidewharf.sources import feeds
 from tidewharf.sources.star import StarTables
@@ -227,4 +230,138 @@ ANALYSES: dict[str, Query] = {
     ),
 }
 
-QUERIES: dict[str, Query] = {**ETL, **VIEWS, **NUMBERED, **KPIS, **ANALYSES}
+# ------------------------------------------------------------------ forecasts and what reads them
+
+
+def _holdout(t: StarTables) -> DataFrame:
+    return forecast.seasonal_holdout(forecast.monthly_series(t))
+
+
+def _features(t: StarTables) -> DataFrame:
+    return forecast.lag_features(forecast.monthly_series(t))
+
+
+def _regressor(name: str) -> Query:
+    return lambda t: forecast.holdout_predictions(name, forecast.sampled_features(t))
+
+
+def _forecast_run(t: StarTables) -> DataFrame:
+    out = forecast.run(t)
+    return out["metrics"].withColumn("forecasts_generated", _count_of(out["forecasts"]))
+
+
+def _mape_by_product(t: StarTables) -> DataFrame:
+    error = forecast.mape(F.col("actual").cast("double"), F.col("predicted"))
+    return _holdout(t).groupBy("product_id").agg(half_up(error, 6).alias("mape"))
+
+
+FORECASTS: dict[str, Query] = {
+    "fc_mape": _mape_by_product,
+    "fc_metrics": lambda t: forecast.metrics(_holdout(t)),
+    "fc_calendar_features": lambda t: forecast.calendar_features(forecast.daily_demand(t)),
+    "fc_daily_demand": forecast.daily_demand,
+    "fc_monthly_series": forecast.monthly_series,
+    "fc_lag_features": _features,
+    "fc_sample_split": lambda t: forecast.sample_split(_features(t)),
+    "fc_linear": _regressor("linear_regression"),
+    "fc_random_forest": _regressor("random_forest"),
+    "fc_gbt": _regressor("gradient_boosting"),
+    "fc_train_select": forecast.train_models,
+    "fc_seasonal": _holdout,
+    "fc_seasonal_forecasts": forecast.seasonal_forecasts,
+    "fc_top_products": lambda t: forecast.top_products(_features(t)),
+    "fc_generate": forecast.model_forecasts,
+    "fc_run": _forecast_run,
+    "q38_forecast_accuracy": lambda t: forecast.accuracy(forecast.seasonal_forecasts(t)),
+}
+
+
+def _recommendations(t: StarTables) -> DataFrame:
+    return optimize.recommendations(t, forecast.seasonal_forecasts(t, with_scores=False))
+
+
+def _optimized(t: StarTables) -> DataFrame:
+    out = optimize.run(t, forecast.seasonal_forecasts(t, with_scores=False))
+    return out["summary"].withColumn("recommendations_count", _count_of(out["recommendations"]))
+
+
+def _eoq(t: StarTables) -> DataFrame:
+    df = optimize.demand_stats(t).join(t.products("product_id", "unit_cost"), "product_id")
+    eoq = economic_order_quantity(F.col("avg_daily_demand") * 365, F.col("unit_cost"))
+    return df.select("product_id", "warehouse_id", eoq.alias("eoq"))
+
+
+def _safety(t: StarTables) -> DataFrame:
+    lead = t.primary_suppliers().join(t.suppliers("supplier_id", "lead_time_days"), "supplier_id")
+    df = optimize.demand_stats(t).join(lead, "product_id")
+    buffer = safety_stock(F.col("avg_daily_demand"), F.col("lead_time_days"))
+    return df.select("product_id", "warehouse_id", buffer.alias("safety_stock"))
+
+
+PLANNING: dict[str, Query] = {
+    "opt_eoq": _eoq,
+    "opt_safety_stock": _safety,
+    "opt_demand_stats": optimize.demand_stats,
+    "opt_expected_demand": lambda t: optimize.expected_demand(forecast.seasonal_forecasts(t, with_scores=False)),
+    "opt_primary_supplier": optimize.supply_terms,
+    "opt_recommendations": _recommendations,
+    "opt_recommendation_text": lambda t: optimize.recommendation_text(t, _recommendations(t)),
+    "opt_summary": lambda t: optimize.summary(_recommendations(t)),
+    "opt_run": _optimized,
+    "q41_priority_queue": lambda t: optimize.priority_queue(t, _recommendations(t)),
+    "ins_stockout": insights.stockouts,
+    "ins_supplier_delay": lambda t: insights.supplier_delays(t, kpi.as_stored(kpi.supplier_kpis(t), "kpi_supplier")),
+    "ins_route_delay": lambda t: insights.route_delays(t, kpi.as_stored(kpi.logistics_kpis(t), "kpi_logistics")),
+    "ins_demand_spike": insights.demand_spikes,
+    "ins_generate": insights.generate,
+    "ins_get": lambda t: insights.select(insights.generate(t), severity="high"),
+    "ins_counts": lambda t: insights.tallies(insights.generate(t)),
+    "q42_severity_dashboard": lambda t: insights.severity_dashboard(insights.generate(t)),
+}
+
+
+def _report(t: StarTables) -> DataFrame:
+    return reporting.executive_summary(t, kpi.executive_kpis(t), insights.generate(t))
+
+
+CARRIERS = [f"Carrier {i}" for i in range(8)]
+
+REPORTS: dict[str, Query] = {
+    "rep_executive_summary": _report,
+    "rep_executive_text": lambda t: reporting.executive_text(_report(t)),
+    "api_exec_latest": lambda t: reporting.newest_executive(kpi.executive_kpis(t)),
+    "api_kpi_inventory": lambda t: reporting.inventory_kpis(kpi.inventory_kpis(t)),
+    "api_kpi_supplier": lambda t: reporting.supplier_kpis(kpi.supplier_kpis(t)),
+    "api_kpi_logistics": lambda t: reporting.logistics_kpis(kpi.logistics_kpis(t)),
+    "api_alerts": lambda t: reporting.alerts(inventory.alerts(t)),
+    "api_overstocked": reporting.overstocked,
+    "api_understocked": reporting.understocked,
+    "api_delayed": reporting.delayed,
+    "api_forecasts": lambda t: reporting.forecasts(forecast.seasonal_forecasts(t)),
+    "api_top_products": reporting.top_products,
+    "api_regional_demand": reporting.regional_demand,
+    "bi_turnover": measures.turnover,
+    "bi_days_of_inventory": measures.days_of_inventory,
+    "bi_on_time": measures.on_time,
+    "bi_stock_out_rate": measures.stock_out_rate,
+    "bi_fill_rate": measures.fill_rate,
+    "bi_delay_rate": measures.delay_rate,
+    "bi_revenue_ytd": measures.revenue_ytd,
+    "bi_mom_growth": measures.month_growth,
+    "bi_route_matrix": lambda t: measures.route_matrix(t, CARRIERS),
+    "bi_cost_per_km": measures.cost_per_km,
+    "bi_actual_vs_forecast": lambda t: measures.actual_vs_forecast(
+        t, forecast.seasonal_forecasts(t, with_scores=False)
+    ),
+    "bi_model_comparison": lambda t: measures.model_comparison(forecast.seasonal_forecasts(t)),
+    "bi_capacity_planning": lambda t: measures.capacity_planning(
+        t, forecast.seasonal_forecasts(t, with_scores=False)
+    ),
+    "bi_exec_cards": lambda t: measures.executive_cards(kpi.executive_kpis(t)),
+    "bi_revenue_trend": measures.revenue_trend,
+    "bi_health_distribution": measures.health_distribution,
+}
+
+QUERIES: dict[str, Query] = {
+    **ETL, **VIEWS, **NUMBERED, **KPIS, **ANALYSES, **FORECASTS, **PLANNING, **REPORTS,
+}
