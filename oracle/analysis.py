@@ -118,6 +118,12 @@ CARD_TEXT = f"""SELECT supplier_id, 'Supplier: ' || supplier_name || chr(10) ||
   'Defect Rate: ' || {fmt(f"{dbl('c.defect_rate')} * 100", 2)} || '%' || chr(10) || 'Overall Grade: ' || overall_grade || chr(10) ||
   'Rank: #' || rank_position AS scorecard FROM t_cards c JOIN t_suppliers s USING (supplier_id)"""
 
+CTES["t_history"] = f"""
+SELECT calculation_date, {dbl('SUM(inventory_value)')} AS total_inventory_value,
+  CAST(SUM(CASE WHEN current_stock <= 0 THEN n ELSE 0 END) AS DOUBLE) / SUM(n) AS stock_out_rate, {dbl('SUM(f)')} / SUM(n) AS fill_rate
+FROM (SELECT CAST(date_trunc('month', order_date) AS DATE) AS calculation_date, product_id, warehouse_id, COUNT(*) AS n, SUM(fill_rate) AS f
+  FROM t_orders GROUP BY 1, 2, 3) LEFT JOIN t_inventory USING (product_id, warehouse_id) GROUP BY calculation_date"""
+
 BODIES = {
     "kpi_inventory": "SELECT * FROM t_kpi_inventory",
     "kpi_supplier": "SELECT * FROM t_kpi_supplier",
@@ -129,8 +135,9 @@ BODIES = {
         for n in ("inventory", "supplier", "logistics", "service", "executive")
     ),
     "v_executive_dashboard": EXEC_VIEW,
-    "q39_kpi_trend": """SELECT calculation_date, total_inventory_value, stock_out_rate * 100 AS stock_out_pct, fill_rate * 100 AS fill_rate_pct,
-        CAST(NULL AS DOUBLE) AS prev_stock_out_pct, CAST(NULL AS DOUBLE) AS stock_out_change FROM t_kpi_executive""",
+    "q39_kpi_trend": f"""SELECT *, stock_out_pct - prev_stock_out_pct AS stock_out_change FROM (
+        SELECT calculation_date, total_inventory_value, stock_out_rate * 100 AS stock_out_pct, fill_rate * 100 AS fill_rate_pct,
+          LAG(stock_out_rate * 100) OVER (ORDER BY calculation_date) AS prev_stock_out_pct FROM t_history)""",
     "q40_scorecard_rank": f"""SELECT supplier_id, supplier_name, {dbl('c.reliability_score')} AS reliability_score, on_time_pct, overall_grade,
         rank_position, PERCENT_RANK() OVER (ORDER BY on_time_pct DESC) AS percentile,
         on_time_pct - (SELECT {mean('CAST(on_time_pct AS DECIMAL(5,2))')} FROM t_cards) AS vs_avg

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import CTES, STOCK_FORMULAS, _logistics, big, dbl, even, inventory_from, with_tables
+from oracle.base import CTES, STOCK_FORMULAS, _logistics, big, dbl, inventory_from, with_tables
 
 ORDERS = (
     "order_id product_id warehouse_id supplier_id customer_region quantity unit_price total_amount order_date "
@@ -265,4 +265,31 @@ BODIES = {
         "SELECT 'negative_safety_stock', COUNT(*) FROM t_raw_stock WHERE safety_stock < 0",
     ]),
 }
-SQL = {name: with_tables(body) for name, body in BODIES.items()}
+
+CSV_ORDER = ", ".join(
+    f"CAST({c} AS VARCHAR) AS {c}" if c in ("product_id", "warehouse_id", "supplier_id") else f"{dbl(c)} AS {c}" if c in O_OUT else c
+    for c in ORDERS
+)
+DEMAND_DAY = f"SELECT product_id, demand_date, {big('SUM(demand_quantity)')} AS demand FROM t_demand GROUP BY product_id, demand_date"
+BODIES |= {
+    "src_csv": f"SELECT {CSV_ORDER} FROM t_raw_orders",
+    "src_sql": f"""SELECT customer_region, COUNT(*) AS order_count, {dbl('SUM(total_amount)')} AS revenue FROM t_orders
+        WHERE order_status = 'Delivered' AND quantity >= 10 GROUP BY customer_region""",
+    "sink_csv": union(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {CLEAN[t]}" for t in ("products", "suppliers", "warehouses")),
+    "sink_append": union(["SELECT supplier_id, supplier_name, lead_time_days FROM t_suppliers"] * 2),
+    "sink_full_reload": "SELECT order_id, order_status, quantity FROM t_orders WHERE order_status = 'Delivered'",
+    "sink_project_schema": plain("t_orders", ORDERS, O_OUT),
+    "sink_snapshot_replace": "SELECT * REPLACE (DATE '2001-08-01' AS calculation_date) FROM t_kpi_service",
+    "sink_range_replace": f"""SELECT product_id, demand_date, CASE WHEN demand_date >= DATE '2000-01-01' THEN demand * 2 ELSE demand END AS demand
+        FROM ({DEMAND_DAY})""",
+    "sink_metrics_json": "SELECT *, TRUE AS is_best FROM t_scores",
+    "sink_audit": union(
+        f"""SELECT 'supply_chain_etl' AS pipeline_name, 'extract_{t}' AS stage, COUNT(*) AS records_processed, 0::BIGINT AS records_failed,
+        'success' AS status, 1.5::DOUBLE AS duration_seconds FROM {RAW[t]}""" for t in ("orders", "products")
+    ),
+}
+
+
+def statements() -> dict[str, str]:
+    """Built late: some bodies use table expressions of the other modules."""
+    return {name: with_tables(body) for name, body in BODIES.items()}

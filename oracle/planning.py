@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import oracle.etl  # noqa: F401  (registers the feed expressions)
 from oracle.analysis import DAY, EXEC_VIEW, LATE, LOW, URGENCY
 from oracle.base import CTES, big, dbl, even, fmt, mean, share, up, with_tables
 from oracle.numbered import HEALTH_OUT
@@ -116,6 +117,7 @@ CTES["t_ins_stock"] = insight(
     f"""SELECT warehouse_id, COUNT(*) FILTER (WHERE current_stock <= 0) AS o, COUNT(*) AS n, {share('current_stock <= 0')} AS r
     FROM t_inventory GROUP BY warehouse_id HAVING {share('current_stock <= 0')} > 0.05 ORDER BY r DESC, warehouse_id LIMIT 10""",
 )
+CTES["t_ins_feed"] = CTES["t_ins_stock"].replace("t_inventory", "t_ok_stock")
 CTES["t_ins_supplier"] = insight(
     "supplier", "supplier", "supplier_id", "delay_rate", even("100 - p", 2), "15",
     "CASE WHEN 100 - p > 20 THEN 'high' ELSE 'medium' END", "'Supplier ' || supplier_id || ' delivery delays'",
@@ -207,7 +209,7 @@ BODIES = {
     "q41_priority_queue": """SELECT product_id, product_name, warehouse_id, current_stock, recommended_reorder, expected_demand, priority,
         ROW_NUMBER() OVER (PARTITION BY priority ORDER BY expected_demand DESC, product_id, warehouse_id) AS priority_rank
         FROM t_queue JOIN t_products USING (product_id)""",
-    "ins_stockout": "SELECT * FROM t_ins_stock",
+    "ins_stockout": "SELECT * FROM t_ins_feed",
     "ins_supplier_delay": "SELECT * FROM t_ins_supplier",
     "ins_route_delay": "SELECT * FROM t_ins_route",
     "ins_demand_spike": "SELECT * FROM t_ins_demand",

@@ -2,4 +2,4 @@
 
 from oracle import analysis, etl, numbered, planning
 
-STATEMENTS: dict[str, str] = {**etl.SQL, **numbered.SQL, **analysis.SQL, **planning.SQL}
+STATEMENTS: dict[str, str] = {**numbered.SQL, **analysis.SQL, **planning.SQL, **etl.statements()}

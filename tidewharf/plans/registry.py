@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 from functools import reduce
 
@@ -11,11 +12,14 @@ from pyspark.sql import types as T
 
 from tidewharf.functions.numbers import half_up
 from tidewharf.functions.rules import economic_order_quantity, safety_stock
+from tidewharf.functions.scratch import new_folder
 from tidewharf.operators import (
     advanced, basic, clean, forecast, insights, intermediate, inventory, kpi, logistics, measures, optimize,
     quality, reporting, suppliers, views,
 )
-from tidewharf.sources import feeds
+from tidewharf.plans import flow
+from tidewharf.schemas import SOURCE_TABLES
+from tidewharf.sources import feeds, files, sinks
 from tidewharf.sources.star import StarTables
 
 Query = Callable[[StarTables], DataFrame]
@@ -194,7 +198,7 @@ KPIS: dict[str, Query] = {
     "kpi_executive": kpi.executive_kpis,
     "kpi_run_all": lambda t: counts(kpi.all_kpis(t)),
     "v_executive_dashboard": lambda t: views.executive_dashboard(kpi.executive_kpis(t)),
-    "q39_kpi_trend": lambda t: kpi.executive_trend(kpi.executive_kpis(t)),
+    "q39_kpi_trend": lambda t: kpi.executive_trend(feeds.executive_history(t)),
     "q40_scorecard_rank": lambda t: suppliers.scorecard_ranking(t, suppliers.scorecards(t)),
     "q43_composite_score": _composite,
 }
@@ -298,6 +302,13 @@ def _safety(t: StarTables) -> DataFrame:
     return df.select("product_id", "warehouse_id", buffer.alias("safety_stock"))
 
 
+class _FeedStock(StarTables):
+    """The star tables with the cleaned stock feed, where more rows have run out."""
+
+    def _inventory(self, columns: list[str]) -> DataFrame:
+        return _ok(self, "inventory").select(*columns)
+
+
 PLANNING: dict[str, Query] = {
     "opt_eoq": _eoq,
     "opt_safety_stock": _safety,
@@ -309,7 +320,7 @@ PLANNING: dict[str, Query] = {
     "opt_summary": lambda t: optimize.summary(_recommendations(t)),
     "opt_run": _optimized,
     "q41_priority_queue": lambda t: optimize.priority_queue(t, _recommendations(t)),
-    "ins_stockout": insights.stockouts,
+    "ins_stockout": lambda t: insights.stockouts(_FeedStock(t.spark, t.folder)),
     "ins_supplier_delay": lambda t: insights.supplier_delays(t, kpi.as_stored(kpi.supplier_kpis(t), "kpi_supplier")),
     "ins_route_delay": lambda t: insights.route_delays(t, kpi.as_stored(kpi.logistics_kpis(t), "kpi_logistics")),
     "ins_demand_spike": insights.demand_spikes,
@@ -362,6 +373,114 @@ REPORTS: dict[str, Query] = {
     "bi_health_distribution": measures.health_distribution,
 }
 
+# ------------------------------------------------------------------ sources and sinks: write, read back
+
+
+def _src_csv(t: StarTables) -> DataFrame:
+    folder = new_folder(t.spark, "csv")
+    sinks.write(_dirty(t, "orders"), f"{folder}/orders.csv", "csv")
+    return files.read_csv(t.spark, folder, "orders")
+
+
+def _src_sql(t: StarTables) -> DataFrame:
+    text = """SELECT customer_region, count(*) AS order_count, sum(total_amount) AS revenue FROM {orders}
+              WHERE order_status = :status AND quantity >= :least GROUP BY customer_region"""
+    orders = t.orders("customer_region", "order_status", "quantity", "total_amount")
+    return files.read_sql(t.spark, text, {"status": "Delivered", "least": 10}, orders=orders)
+
+
+def _sink_csv(t: StarTables) -> DataFrame:
+    """Cleaned tables as one CSV folder each, counted after reading them back."""
+    folder = new_folder(t.spark, "processed")
+    names = ("products", "suppliers", "warehouses")
+    sinks.write_all({f"{n}.csv": _ok(t, n) for n in names}, folder, "csv")
+    back = {n: t.spark.read.option("header", True).csv(f"{folder}/{n}.csv") for n in names}
+    return counts(back)
+
+
+def _sink_append(t: StarTables) -> DataFrame:
+    """The supplier table appended to itself by halves of a run: every row arrives twice."""
+    path = new_folder(t.spark, "append")
+    for _ in range(2):
+        sinks.append(t.suppliers("supplier_id", "supplier_name", "lead_time_days"), path)
+    return t.spark.read.parquet(path)
+
+
+def _sink_reload(t: StarTables) -> DataFrame:
+    """A table replaced by a projection of itself."""
+    path = new_folder(t.spark, "reload")
+    sinks.reload(t.orders("order_id", "order_status", "quantity"), path)
+    sinks.reload(t.spark.read.parquet(path).filter("order_status = 'Delivered'"), path)
+    return t.spark.read.parquet(path)
+
+
+def _sink_snapshot(t: StarTables) -> DataFrame:
+    """Two dates written, one of them twice and one cleared."""
+    path = new_folder(t.spark, "snapshot")
+    for text in ("2001-07-31", "2001-08-01", "2001-08-01"):
+        day = datetime.date.fromisoformat(text)
+        sinks.replace_day(kpi.service_kpis(t, day), path, "calculation_date", day)
+    gone = datetime.date(2001, 7, 31)
+    sinks.replace_day(kpi.service_kpis(t, gone).filter("false"), path, "calculation_date", gone)
+    return t.spark.read.parquet(path)
+
+
+def _sink_range(t: StarTables) -> DataFrame:
+    """Daily demand replaced from 2000 on by twice its quantity."""
+    path = new_folder(t.spark, "range")
+    day = datetime.date(2000, 1, 1)
+    demand = forecast.daily_demand(t)
+    sinks.replace_from(demand, path, "demand_date", day)
+    doubled = t.spark.read.parquet(path).filter(F.col("demand_date") >= F.lit(day))
+    sinks.replace_from(doubled.withColumn("demand", F.col("demand") * 2), path, "demand_date", day)
+    return t.spark.read.parquet(path)
+
+
+def _sink_metrics(t: StarTables) -> DataFrame:
+    path = new_folder(t.spark, "metrics")
+    sinks.write_metrics(forecast.with_best(forecast.metrics(_holdout(t))), path)
+    return t.spark.read.schema("model string, rmse double, mae double, mape double, is_best boolean").json(path)
+
+
+def _sink_audit(t: StarTables) -> DataFrame:
+    """Audit rows of an extract that counts its rows while it writes them."""
+    folder = new_folder(t.spark, "audit")
+    for name in ("orders", "products"):
+        started = datetime.datetime(2001, 8, 1)
+        rows = sinks.write(_dirty(t, name), f"{folder}/{name}")
+        ended = started + datetime.timedelta(seconds=1.5)
+        sinks.audit(t.spark, f"{folder}/log", flow.PIPELINE, f"extract_{name}", rows, 0, "success", started, ended)
+    log = t.spark.read.parquet(f"{folder}/log")
+    return log.select("pipeline_name", "stage", "records_processed", "records_failed", "status", "duration_seconds")
+
+
+def _etl_run(t: StarTables) -> DataFrame:
+    folder = new_folder(t.spark, "load")
+    flow.load_tables(t.spark, feeds.extract(t), folder)
+    return flow.counts_frame(t.spark, folder, SOURCE_TABLES)
+
+
+def _pipe_full(t: StarTables) -> DataFrame:
+    return counts(flow.run_all(t.spark, feeds.extract(t), new_folder(t.spark, "full")))
+
+
+FLOWS: dict[str, Query] = {
+    "src_csv": _src_csv,
+    "src_sql": _src_sql,
+    "sink_csv": _sink_csv,
+    "sink_append": _sink_append,
+    "sink_full_reload": _sink_reload,
+    "sink_project_schema": lambda t: sinks.project(
+        clean.order_lead_times(t.orders(), t.suppliers("supplier_id", "lead_time_days")), "orders"
+    ),
+    "sink_snapshot_replace": _sink_snapshot,
+    "sink_range_replace": _sink_range,
+    "sink_metrics_json": _sink_metrics,
+    "sink_audit": _sink_audit,
+    "etl_run": _etl_run,
+    "pipe_full": _pipe_full,
+}
+
 QUERIES: dict[str, Query] = {
-    **ETL, **VIEWS, **NUMBERED, **KPIS, **ANALYSES, **FORECASTS, **PLANNING, **REPORTS,
+    **ETL, **VIEWS, **NUMBERED, **KPIS, **ANALYSES, **FORECASTS, **PLANNING, **REPORTS, **FLOWS,
 }

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewharf.functions.numbers import ratio, row_count, total
 from tidewharf.operators import clean
 from tidewharf.sources.star import LOGISTICS_COLUMNS, ORDER_COLUMNS, StarTables
 
@@ -133,6 +134,26 @@ def inventory(t: StarTables) -> DataFrame:
     )
 
 
+def executive_history(t: StarTables) -> DataFrame:
+    """A dated KPI table to read trends from: one row per order month.
+
+    The rate is the share of the month's orders for stock that has run out, the value that of the
+    stock rows the month ordered from.
+    """
+    orders = t.orders("product_id", "warehouse_id", "order_date", "order_status", "fill_rate")
+    monthly = orders.groupBy(F.trunc("order_date", "MM").alias("calculation_date"), "product_id", "warehouse_id").agg(
+        row_count().alias("n"), F.sum("fill_rate").alias("f")
+    )
+    stock = t.inventory("product_id", "warehouse_id", "current_stock", "inventory_value")
+    joined = monthly.join(stock, ["product_id", "warehouse_id"], "left")
+    empty = F.when(F.col("current_stock") <= 0, F.col("n")).otherwise(0)
+    return joined.groupBy("calculation_date").agg(
+        total(F.col("inventory_value")).alias("total_inventory_value"),
+        ratio(F.sum(empty), F.sum("n")).alias("stock_out_rate"),
+        ratio(F.sum("f"), F.sum("n")).alias("fill_rate"),
+    )
+
+
 FEEDS = {
     "products": products,
     "warehouses": warehouses,
