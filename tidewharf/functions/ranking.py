@@ -6,6 +6,9 @@ keys, every row finds its slice, slice totals (at most ``SLICES`` rows per group
 starting offset, and an ordinary window then works inside (group, slice). The cut points only
 balance the work; the numbers are exact wherever they fall. Equal values are merged before slicing,
 so one value held by a third of all rows is one row here.
+
+The input is passed over three times (sample, totals, rows), so it is stored in the shared scratch
+folder first unless the caller has done that (``stored=True``).
 """
 
 from __future__ import annotations
@@ -16,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from tidewharf.functions.scratch import materialized
+
 SLICES = 256
 SAMPLE_PER_SLICE = 8
 
@@ -114,22 +119,26 @@ def with_ranks(
     weight: str | None = None,
     descending: bool = True,
     slices: int = SLICES,
+    stored: bool = False,
     **names: str,
 ) -> DataFrame:
     """``df`` with rank-like columns of ``value`` added; ``names`` maps new column -> step column."""
+    df = df if stored else materialized(df)
     steps = value_steps(df, value, by=by, weight=weight, descending=descending, slices=slices)
     wanted = steps.select(*by, value, *[F.col(step).alias(new) for new, step in names.items()])
     return _match(df, wanted, [*by, value])
 
 
 def with_position(
-    df: DataFrame, name: str, keys: Sequence[Column], *, by: Sequence[str] = (), slices: int = SLICES
+    df: DataFrame, name: str, keys: Sequence[Column], *, by: Sequence[str] = (), slices: int = SLICES,
+    stored: bool = False,
 ) -> DataFrame:
     """``df`` with its 1-based position in the ascending order of ``keys`` within ``by``.
 
     ``keys`` must be a total order (end with a unique id). Negate a number for descending order.
     """
     by = list(by)
+    df = df if stored else materialized(df)
     sliced = _with_slice(df, F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), slices)
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     before = group.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)

@@ -25,6 +25,12 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def materialized(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the shared folder, so later passes read it and survive lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """``df`` computed once into the shared folder, so later passes read it and survive lost executors.
+
+    A parquet table rather than an RDD checkpoint: its size is known to the planner when it decides
+    about broadcasting, and later passes read only the columns they use.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

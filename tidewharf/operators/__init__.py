@@ -1 +1,5 @@
-"""Analytic operators: functions from tables to a DataFrame, lazy and free of side effects."""
+"""Analytic operators: functions from tables to a DataFrame.
+
+They are lazy, except that rankings and model training store their input once in the shared scratch
+folder. Writing results is left to ``sources.sinks``.
+"""

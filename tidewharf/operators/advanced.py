@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 
 from tidewharf.functions.numbers import days_between, half_up, mean, ratio, row_count, share, total
 from tidewharf.functions.ranking import percent_rank, with_ranks
+from tidewharf.functions.scratch import materialized
 from tidewharf.sources.tables import SupplyTables
 
 
@@ -36,9 +37,11 @@ def demand_rank(t: SupplyTables) -> DataFrame:
     demand = _delivered(t.orders("product_id", "order_status", "quantity")).groupBy("product_id").agg(
         F.sum("quantity").alias("total_demand")
     )
-    df = t.products("product_id", "product_name", "category").join(demand, "product_id")
-    df = with_ranks(df, "total_demand", by=["category"], category_rank="rank")
-    df = with_ranks(df, "total_demand", overall_rank="dense_rank", _rank="rank", _rows="rows_total")
+    df = materialized(t.products("product_id", "product_name", "category").join(demand, "product_id"))
+    df = with_ranks(df, "total_demand", by=["category"], stored=True, category_rank="rank")
+    df = with_ranks(
+        df, "total_demand", stored=True, overall_rank="dense_rank", _rank="rank", _rows="rows_total"
+    )
     return df.select(
         "product_id", "product_name", "category", "total_demand", "category_rank", "overall_rank",
         percent_rank(F.col("_rank"), F.col("_rows")).alias("demand_percentile"),

@@ -64,9 +64,9 @@ def inventory_kpis(t: SupplyTables, as_of: Day = None) -> DataFrame:
     )
 
 
-def supplier_kpis(t: SupplyTables, as_of: Day = None) -> DataFrame:
-    """Per supplier over all its orders, ranked by on-time share; the contract stands in for a
-    supplier without orders or deliveries."""
+def supplier_records(t: SupplyTables) -> DataFrame:
+    """Per supplier over all its orders; the contract stands in where there are no orders or
+    deliveries."""
     orders = t.orders("supplier_id", "order_date", "delivery_date", "is_on_time", "total_amount")
     record = orders.groupBy("supplier_id").agg(
         row_count().alias("total_orders"),
@@ -80,7 +80,7 @@ def supplier_kpis(t: SupplyTables, as_of: Day = None) -> DataFrame:
     on_time = F.when(F.col("total_orders").isNull(), F.col("reliability_score").cast("double"))
     on_time = on_time.otherwise(F.col("_on_time"))
     lead = F.coalesce(F.col("_days"), F.col("lead_time_days").cast("double"))
-    df = df.select(
+    return df.select(
         "supplier_id",
         "reliability_score",
         F.coalesce(half_even(on_time, 2), F.lit(0.0)).alias("on_time_delivery_pct"),
@@ -89,6 +89,11 @@ def supplier_kpis(t: SupplyTables, as_of: Day = None) -> DataFrame:
         F.coalesce("total_orders", F.lit(0)).alias("total_orders"),
         F.coalesce("total_spend", F.lit(0.0)).alias("total_spend"),
     )
+
+
+def supplier_kpis(t: SupplyTables, as_of: Day = None) -> DataFrame:
+    """The supplier records ranked by on-time share; equal shares have equal ranks."""
+    df = supplier_records(t)
     return with_ranks(df, "on_time_delivery_pct", supplier_rank="rank").select(
         t.day(as_of).alias("calculation_date"), *df.columns, "supplier_rank"
     )
@@ -151,8 +156,8 @@ def executive_kpis(
     t: SupplyTables, as_of: Day = None, *, suppliers: DataFrame | None = None,
     forecast_accuracy: float = ASSUMED_FORECAST_ACCURACY,
 ) -> DataFrame:
-    """One row. ``suppliers`` is the supplier KPI frame of the same date."""
-    suppliers = suppliers if suppliers is not None else supplier_kpis(t, as_of)
+    """One row. ``suppliers`` is the supplier KPI frame of the same date, computed here if not given."""
+    suppliers = suppliers if suppliers is not None else supplier_records(t)
     reliability = suppliers.select(mean(F.col("on_time_delivery_pct").cast("decimal(5,2)"))).scalar()
     stock = t.inventory("inventory_value", "current_stock").agg(
         total(F.col("inventory_value")).alias("v"), share(F.col("current_stock") <= 0).alias("r")

@@ -6,14 +6,15 @@ one row per rule, so the report's size does not depend on the data.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewharf.functions.numbers import row_count
-from tidewharf.schemas import BOUNDS, REFERENCES, REQUIRED, TABLE_KEYS
+from tidewharf.schemas import BOUNDS, RAW, REFERENCES, REQUIRED, TABLE_KEYS
 
 Frames = Callable[..., DataFrame]  # frame(name, *columns)
 
@@ -59,7 +60,8 @@ def bounds_report(frame: Frames, tables: list[str]) -> DataFrame:
         rules = [(name, predicate) for owner, name, predicate in BOUNDS if owner == table]
         if not rules:
             continue
-        counts = frame(table).agg(*[
+        columns = [c for c in RAW[table].fieldNames() if any(re.search(rf"\b{c}\b", p) for _, p in rules)]
+        counts = frame(table, *columns).agg(*[
             F.count_if(~F.coalesce(F.expr(predicate), F.lit(True))).alias(name) for name, predicate in rules
         ])
         long = counts.unpivot([], [name for name, _ in rules], "check_name", "failed_rows")
@@ -67,28 +69,45 @@ def bounds_report(frame: Frames, tables: list[str]) -> DataFrame:
     return _stack(parts)
 
 
+def _keyed(df: DataFrame, links: list[tuple[str, str]]) -> DataFrame:
+    """(link, key) rows: each row of ``df`` once per named link, with the link's column as text."""
+    pairs = [F.struct(F.lit(name).alias("link"), F.col(column).cast("string").alias("key")) for name, column in links]
+    return df.select(F.inline(F.array(*pairs))).filter(F.col("key").isNotNull())
+
+
 def reference_report(frame: Frames, tables: list[str], parents: Frames | None = None) -> DataFrame:
     """Child rows whose key has no parent; a null key refers to nothing and passes.
 
     ``parents`` supplies the parent tables when they differ, such as cleaned parents for raw children.
+    Every table is read once: its keys become (reference, key) rows, counted per key before a single
+    anti join, so a key held by very many rows is one row there.
     """
     parents = parents or frame
-    parts = []
-    for child, column, parent, key in REFERENCES:
-        if child not in tables or parent not in tables:
-            continue
-        # Counting per key first leaves one row per key for the join, whatever the skew.
-        used = frame(child, column).filter(F.col(column).isNotNull()).groupBy(column)
-        used = used.agg(row_count().alias("_rows"))
-        known = parents(parent, key).withColumnRenamed(key, "_key")
-        orphans = used.join(known, used[column] == known["_key"], "left_anti")
-        parts.append(orphans.agg(
-            F.lit(child).alias("child_table"),
-            F.lit(column).alias("child_column"),
-            F.lit(parent).alias("parent_table"),
-            F.coalesce(F.sum("_rows"), F.lit(0)).alias("orphan_rows"),
-        ))
-    return _stack(parts)
+    links = [(f"{c}.{k}", c, k, p, pk) for c, k, p, pk in REFERENCES if c in tables and p in tables]
+
+    def keys(source: Frames, table: str, own: list[tuple[str, str]]) -> DataFrame:
+        return _keyed(source(table, *dict.fromkeys(column for _, column in own)), own)
+
+    children = _stack([
+        keys(frame, table, [(link, k) for link, c, k, _, _ in links if c == table])
+        for table in dict.fromkeys(c for _, c, _, _, _ in links)
+    ])
+    known = _stack([
+        keys(parents, table, [(link, pk) for link, _, _, p, pk in links if p == table])
+        for table in dict.fromkeys(p for _, _, _, p, _ in links)
+    ])
+    used = children.groupBy("link", "key").agg(row_count().alias("_rows"))
+    orphans = used.join(known, ["link", "key"], "left_anti").groupBy("link").agg(F.sum("_rows").alias("_rows"))
+    names = frame_of_links(orphans.sparkSession, links)
+    return names.join(orphans, "link", "left").select(
+        "child_table", "child_column", "parent_table", F.coalesce("_rows", F.lit(0)).alias("orphan_rows")
+    )
+
+
+def frame_of_links(spark: SparkSession, links: list[tuple]) -> DataFrame:
+    """The checked references themselves, so that those without orphans are reported too."""
+    rows = [(link, c, k, p) for link, c, k, p, _ in links]
+    return spark.createDataFrame(rows, "link string, child_table string, child_column string, parent_table string")
 
 
 def date_report(orders: DataFrame, inventory: DataFrame) -> DataFrame:

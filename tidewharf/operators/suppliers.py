@@ -11,6 +11,7 @@ from tidewharf.functions import text
 from tidewharf.functions.numbers import half_even, half_up, mean, row_count
 from tidewharf.functions.ranking import percent_rank, with_position, with_ranks
 from tidewharf.functions.rules import grade
+from tidewharf.functions.scratch import materialized
 from tidewharf.operators.kpi import as_stored
 from tidewharf.operators.views import supplier_performance
 from tidewharf.sources.tables import SupplyTables
@@ -100,13 +101,13 @@ def analyze(t: SupplyTables, as_of: Day = None) -> dict[str, DataFrame]:
 
 def scorecard_ranking(t: SupplyTables, cards: DataFrame) -> DataFrame:
     """The newest scorecard run, each supplier against the others (query 40)."""
-    cards = as_stored(cards, "supplier_scorecards")
+    cards = materialized(as_stored(cards, "supplier_scorecards"))
     newest = cards.select(F.max("scorecard_date")).scalar()
     run = cards.filter(F.col("scorecard_date") == newest).join(
         t.suppliers("supplier_id", "supplier_name"), "supplier_id"
     )
     average = run.select(mean(F.col("on_time_pct"))).scalar()
-    run = with_ranks(run, "on_time_pct", _rank="rank", _rows="rows_total")
+    run = with_ranks(run, "on_time_pct", stored=True, _rank="rank", _rows="rows_total")
     return run.select(
         "supplier_id", "supplier_name", "reliability_score", "on_time_pct", "overall_grade", "rank_position",
         percent_rank(F.col("_rank"), F.col("_rows")).alias("percentile"),

@@ -39,8 +39,8 @@ def bind(query: Query) -> Callable[[SparkSession, str], DataFrame]:
 
 # ------------------------------------------------------------------ cleaning, on the uncleaned feeds
 
-def _dirty(t: StarTables, name: str) -> DataFrame:
-    return feeds.FEEDS[name](t)
+def _dirty(t: StarTables, name: str, *columns: str) -> DataFrame:
+    return feeds.frame(t, name, *columns)
 
 
 def _ok(t: StarTables, name: str) -> DataFrame:
@@ -54,7 +54,7 @@ def _drop_stats(t: StarTables) -> DataFrame:
 
 
 def _raw_frame(t: StarTables):
-    return lambda name, *columns: _dirty(t, name).select(*columns) if columns else _dirty(t, name)
+    return lambda name, *columns: _dirty(t, name, *columns)
 
 
 def _stock(t: StarTables) -> DataFrame:
@@ -66,7 +66,7 @@ _NULL_CHECKED = ["products", "suppliers", "inventory", "orders", "logistics", "d
 ETL: dict[str, Query] = {
     "etl_dedupe": lambda t: clean.dedupe(t.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     "etl_require": lambda t: clean.require(_dirty(t, "orders"), ["order_id", "quantity", "fill_rate"]),
-    "etl_clip": lambda t: _dirty(t, "orders").select(
+    "etl_clip": lambda t: _dirty(t, "orders", "order_id", "quantity", "fill_rate").select(
         "order_id",
         clean.cap(F.col("quantity"), low=1).alias("quantity"),
         clean.cap(F.col("fill_rate"), 0, 1).alias("fill_rate"),
@@ -75,12 +75,14 @@ ETL: dict[str, Query] = {
         "product_id", "unit_cost",
         clean.cap(F.col("selling_price"), low=F.col("unit_cost")).alias("selling_price"),
     ),
-    "etl_fill": lambda t: _dirty(t, "logistics").select(
+    "etl_fill": lambda t: _dirty(t, "logistics", "shipment_id", "delay_days", "is_delayed").select(
         "shipment_id",
         clean.fill(F.col("delay_days"), 0, "int").alias("delay_days"),
         clean.fill(F.col("is_delayed"), clean.fill(F.col("delay_days"), 0) > 0).alias("is_delayed"),
     ),
-    "etl_date_repair": lambda t: _dirty(t, "orders").select(
+    "etl_date_repair": lambda t: _dirty(
+        t, "orders", "order_id", "order_date", "delivery_date", "expected_delivery"
+    ).select(
         "order_id", "order_date",
         clean.repair_delivery(F.col("delivery_date"), F.col("order_date")).alias("delivery_date"),
         clean.repair_expected(F.col("expected_delivery"), F.col("order_date")).alias("expected_delivery"),
@@ -121,7 +123,9 @@ ETL: dict[str, Query] = {
     "dq_foreign_key": lambda t: quality.reference_report(
         _raw_frame(t), list(feeds.FEEDS), parents=lambda name, *c: _ok(t, name).select(*c)
     ),
-    "dq_order_dates": lambda t: quality.date_report(_dirty(t, "orders"), _dirty(t, "inventory")),
+    "dq_order_dates": lambda t: quality.date_report(
+        _dirty(t, "orders", "order_date", "delivery_date"), _dirty(t, "inventory")
+    ),
 }
 
 VIEWS: dict[str, Query] = {

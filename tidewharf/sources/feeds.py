@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewharf.functions.numbers import ratio, row_count, total
 from tidewharf.operators import clean
-from tidewharf.sources.star import LOGISTICS_COLUMNS, ORDER_COLUMNS, StarTables
+from tidewharf.sources.star import DEMAND_COLUMNS, LOGISTICS_COLUMNS, ORDER_COLUMNS, StarTables
 
 
 def _gap() -> Column:
@@ -19,40 +19,42 @@ def _gap() -> Column:
     return (F.col("l_linenumber") == 5) & (F.col("l_returnflag") == "R")
 
 
-def orders(t: StarTables) -> DataFrame:
-    df = t.order_lines(ORDER_COLUMNS, t.raw("lineitem"))
+def orders(t: StarTables, *columns: str) -> DataFrame:
+    columns = columns or ORDER_COLUMNS
+    df = t.order_lines([c for c in columns if c != "delivery_date"], t.raw("lineitem"))
     line, ok = F.col("l_linenumber"), F.col("l_orderkey")
+    if "expected_delivery" in columns:
+        early = F.when(line == 6, F.date_sub("order_date", 2)).otherwise(F.col("expected_delivery"))
+        df = df.withColumn("expected_delivery", early)
     df = df.withColumns({
         "quantity": F.when(~_gap(), (F.col("l_quantity") - 3).cast("int")),
-        "expected_delivery": F.when(line == 6, F.date_sub("order_date", 2)).otherwise(F.col("expected_delivery")),
         "delivery_date": F.col("l_shipdate").cast("date"),
         "is_on_time": F.when(F.col("order_status") == "Delivered", F.col("is_on_time")),
         "fill_rate": F.when(line != 7, (ok % 16 + 85) / 90.0).cast("decimal(5,4)"),
     })
-    return df.select(*ORDER_COLUMNS)
+    return df.select(*columns)
 
 
-def logistics(t: StarTables) -> DataFrame:
-    df = t.shipments(t.raw("lineitem"), LOGISTICS_COLUMNS)
+def logistics(t: StarTables, *columns: str) -> DataFrame:
+    columns = columns or LOGISTICS_COLUMNS
+    bent = {"order_id", "carrier", "shipping_cost", "is_delayed", "delay_days"}
+    df = t.shipments(t.raw("lineitem"), [c for c in LOGISTICS_COLUMNS if c in bent or c in columns])
     line = F.element_at(F.split("order_id", "-"), 2).cast("int")
-    return df.withColumns({
+    df = df.withColumns({
         "carrier": F.when((line != 3) | (F.col("delay_days") != 1), F.col("carrier")),
         "shipping_cost": (F.col("shipping_cost") - 40).cast("decimal(12,2)"),
         "is_delayed": F.when(line < 6, F.col("is_delayed")),
         "delay_days": F.when(line != 7, F.col("delay_days") - 1),
     })
+    return df.select(*columns)
 
 
-def demand_history(t: StarTables) -> DataFrame:
-    df = t.order_lines(["warehouse_id", "order_date", "customer_region", "total_amount"], t.raw("lineitem"))
-    return df.select(
-        "product_id",
-        "warehouse_id",
-        F.col("order_date").alias("demand_date"),
-        F.when(~_gap(), (F.col("l_quantity") - 3).cast("int")).alias("demand_quantity"),
-        F.col("total_amount").alias("revenue"),
-        F.col("customer_region").alias("region"),
-    )
+def demand_history(t: StarTables, *columns: str) -> DataFrame:
+    columns = columns or DEMAND_COLUMNS
+    source = {"demand_date": "order_date", "revenue": "total_amount", "region": "customer_region"}
+    df = t.order_lines([source.get(c, c) for c in columns], t.raw("lineitem"))
+    df = df.withColumn("demand_quantity", F.when(~_gap(), (F.col("l_quantity") - 3).cast("int")))
+    return df.select(*[F.col(source.get(c, c)).alias(c) for c in columns])
 
 
 def products(t: StarTables) -> DataFrame:
@@ -166,5 +168,13 @@ FEEDS = {
 }
 
 
+def frame(t: StarTables, name: str, *columns: str) -> DataFrame:
+    """A feed, or some of its columns; wide feeds then skip the lookups nobody reads."""
+    if name in ("orders", "logistics", "demand_history"):
+        return FEEDS[name](t, *columns)
+    df = FEEDS[name](t)
+    return df.select(*columns) if columns else df
+
+
 def extract(t: StarTables) -> dict[str, DataFrame]:
     return {name: feed(t) for name, feed in FEEDS.items()}

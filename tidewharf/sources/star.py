@@ -269,11 +269,17 @@ class StarTables(SupplyTables):
 
     # ----------------------------------------------------------------- inventory and demand
 
-    def stock_rows(self, pairs: DataFrame) -> DataFrame:
-        """Raw stock levels for (product_id, warehouse_id) pairs; some are negative on purpose."""
+    def stock_rows(self, pairs: DataFrame, reorder: bool = True) -> DataFrame:
+        """Raw stock levels for (product_id, warehouse_id) pairs; some are negative on purpose.
+
+        Only the reorder point needs the part's size; without it (``reorder=False``) it stays null.
+        """
         p, w = F.col("product_id"), F.col("warehouse_id")
         kind, mix = p % 7, p * 17 + w * 31
-        df = clean.lookup(pairs, self.raw("part"), "product_id", "p_partkey", _size="p_size")
+        if reorder:
+            df = clean.lookup(pairs, self.raw("part"), "product_id", "p_partkey", _size="p_size")
+        else:
+            df = pairs.withColumn("_size", F.lit(None).cast("int"))
 
         def by_kind(first, second, rest) -> Column:
             return F.when(kind == 0, first).when(kind == 1, second).otherwise(rest).cast("int")
@@ -295,7 +301,9 @@ class StarTables(SupplyTables):
             .groupBy("product_id", "warehouse_id")
             .agg(F.sum(moved).alias("_units"))
         )
-        df = self.stock_rows(pairs.select("product_id", "warehouse_id"))
+        df = self.stock_rows(
+            pairs.select("product_id", "warehouse_id"), bool(wanted & {"reorder_point", "stock_status"})
+        )
         df = df.withColumns({
             c: clean.cap(F.col(c), low=0) for c in ("current_stock", "reorder_point", "safety_stock")
         })
