@@ -190,7 +190,8 @@ def _trend(rows: DataFrame, key: str) -> DataFrame:
     """Add ``predicted`` from a least-squares line plus the mean residual of the calendar month.
 
     ``rows`` has x (months since the first), moy, demand and train. The sums are over whole numbers,
-    so the fit does not depend on row order.
+    so the fit does not depend on row order. The line comes first: with only a year or two of data, a
+    steady rise within the year is taken for a trend.
     """
     train = F.col("train")
     x, y = F.col("x"), F.col("demand")
