@@ -22,17 +22,25 @@ from pyspark.sql import Window as W
 from tidewharf.functions.scratch import materialized
 
 SLICES = 256
+ROWS_PER_SLICE = 100_000
 SAMPLE_PER_SLICE = 8
 
 
-def _with_slice(df: DataFrame, key: Column, slices: int) -> DataFrame:
-    """Add ``_slice``: how many cut points lie below ``key``."""
+def _with_slice(df: DataFrame, key: Column, slices: int, rows_per_slice: int) -> DataFrame:
+    """Add ``_slice``: how many cut points lie below ``key``.
+
+    There are about as many slices as full ones are needed, at most ``slices``; a small input has one.
+    """
     keyed = df.withColumn("_key", key)
     size = slices * SAMPLE_PER_SLICE
     # A bottom-k sample by hash, at most `size` keys; ordering by the key too makes it repeatable.
     sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(size)
-    ordered = sample.agg(F.sort_array(F.collect_list("_key")).alias("cuts"))
-    every = F.filter("cuts", lambda _, i: i % SAMPLE_PER_SLICE == SAMPLE_PER_SLICE - 1)
+    rows = df.select(F.count(F.lit(1))).scalar()
+    spacing = F.ceil(F.try_divide(F.lit(float(size * rows_per_slice)), rows))
+    ordered = sample.agg(F.sort_array(F.collect_list("_key")).alias("cuts")).withColumn(
+        "spacing", F.greatest(spacing, F.lit(SAMPLE_PER_SLICE))
+    )
+    every = F.filter("cuts", lambda _, i: i % F.col("spacing") == F.col("spacing") - 1)
     return (
         keyed.withColumn("_cuts", ordered.select(every).scalar())
         .withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col("_key"))))
@@ -55,6 +63,7 @@ def value_steps(
     weight: str | None = None,
     descending: bool = True,
     slices: int = SLICES,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """One row per distinct (by, value) with everything a rank over that order needs.
 
@@ -64,7 +73,7 @@ def value_steps(
     by = list(by)
     sums = [F.sum(weight).alias("_w")] if weight else []
     steps = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("peers"), *sums)
-    steps = _with_slice(steps, F.struct(F.col(value)), slices)
+    steps = _with_slice(steps, F.struct(F.col(value)), slices, rows_per_slice)
 
     slice_order = F.col("_slice").desc() if descending else F.col("_slice").asc()
     value_order = F.col(value).desc() if descending else F.col(value).asc()
@@ -119,19 +128,22 @@ def with_ranks(
     weight: str | None = None,
     descending: bool = True,
     slices: int = SLICES,
+    rows_per_slice: int = ROWS_PER_SLICE,
     stored: bool = False,
     **names: str,
 ) -> DataFrame:
     """``df`` with rank-like columns of ``value`` added; ``names`` maps new column -> step column."""
     df = df if stored else materialized(df)
-    steps = value_steps(df, value, by=by, weight=weight, descending=descending, slices=slices)
+    steps = value_steps(
+        df, value, by=by, weight=weight, descending=descending, slices=slices, rows_per_slice=rows_per_slice
+    )
     wanted = steps.select(*by, value, *[F.col(step).alias(new) for new, step in names.items()])
     return _match(df, wanted, [*by, value])
 
 
 def with_position(
     df: DataFrame, name: str, keys: Sequence[Column], *, by: Sequence[str] = (), slices: int = SLICES,
-    stored: bool = False,
+    rows_per_slice: int = ROWS_PER_SLICE, stored: bool = False,
 ) -> DataFrame:
     """``df`` with its 1-based position in the ascending order of ``keys`` within ``by``.
 
@@ -139,7 +151,7 @@ def with_position(
     """
     by = list(by)
     df = df if stored else materialized(df)
-    sliced = _with_slice(df, F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), slices)
+    sliced = _with_slice(df, F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), slices, rows_per_slice)
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     before = group.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (

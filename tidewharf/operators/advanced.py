@@ -45,7 +45,7 @@ def demand_rank(t: SupplyTables) -> DataFrame:
     return df.select(
         "product_id", "product_name", "category", "total_demand", "category_rank", "overall_rank",
         percent_rank(F.col("_rank"), F.col("_rows")).alias("demand_percentile"),
-    ).orderBy("category", "category_rank")
+    ).orderBy("category", "category_rank", "product_id")
 
 
 def month_growth(t: SupplyTables) -> DataFrame:

@@ -17,7 +17,8 @@ STATUS = "health_status"
 
 
 def health(t: SupplyTables) -> DataFrame:
-    return inventory_health(t).orderBy(STATUS, "warehouse_id")
+    # The product spreads the range sort where one status and warehouse hold much of the stock.
+    return inventory_health(t).orderBy(STATUS, "warehouse_id", "product_id")
 
 
 def overstocked(t: SupplyTables, threshold_days: float = 180) -> DataFrame:

@@ -20,6 +20,9 @@ from tidewharf.sources.tables import SupplyTables, stored_tables
 
 PIPELINE = "supply_chain_etl"
 
+# Rows of a file are kept in date order, so a date filter skips most of each file's row groups.
+DATE_ORDER = {"orders": "order_date", "logistics": "ship_date", "demand_history": "demand_date"}
+
 
 def _now() -> datetime.datetime:
     return datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
@@ -35,7 +38,10 @@ def load_tables(spark: SparkSession, raw: dict[str, DataFrame], folder: str) ->
     counts: dict[str, int] = {}
 
     def store(name: str, df: DataFrame) -> None:
-        counts[name] = sinks.reload(sinks.project(df, name), f"{folder}/{name}")
+        df = sinks.project(df, name)
+        if name in DATE_ORDER:
+            df = df.sortWithinPartitions(DATE_ORDER[name])
+        counts[name] = sinks.reload(df, f"{folder}/{name}")
 
     for name in SOURCE_TABLES:
         if name != "inventory":
@@ -65,15 +71,13 @@ def counts_frame(spark: SparkSession, folder: str, names) -> DataFrame:
 
 def run_kpis(t: SupplyTables, folder: str, day: datetime.date) -> None:
     """All KPI snapshots of one date; the executive one is last because it reads the supplier's."""
-    spark = None
     for name, frame in (
         ("kpi_inventory", kpi.inventory_kpis), ("kpi_supplier", kpi.supplier_kpis),
         ("kpi_logistics", kpi.logistics_kpis), ("kpi_service", kpi.service_kpis),
     ):
         df = sinks.project(frame(t, day), name)
-        spark = df.sparkSession
         sinks.replace_day(df, f"{folder}/{name}", "calculation_date", day)
-    stored = spark.read.parquet(f"{folder}/kpi_supplier").filter(F.col("calculation_date") == F.lit(day))
+    stored = df.sparkSession.read.parquet(f"{folder}/kpi_supplier").filter(F.col("calculation_date") == F.lit(day))
     executive = kpi.executive_kpis(t, day, suppliers=stored)
     sinks.replace_day(sinks.project(executive, "kpi_executive"), f"{folder}/kpi_executive", "calculation_date", day)
 

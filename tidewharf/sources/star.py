@@ -11,7 +11,7 @@ and the operators then read them through ``sources.tables.stored_tables``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewharf.operators import clean
@@ -44,15 +44,73 @@ _NEEDS_REGION = {"customer_region", "region_key"}
 _SUPPLIER = {"warehouse_id"}
 _PART = {"unit_price", "total_amount"}
 
+# Derived columns as SQL text: one call to the JVM each, where column objects would take dozens.
+_LINE = {
+    "order_id": "concat_ws('-', string(l_orderkey), string(l_linenumber))",
+    "product_id": "l_partkey",
+    "supplier_id": "l_suppkey",
+    "quantity": "int(l_quantity)",
+    "order_status": """CASE
+        WHEN l_suppkey % 4 = 0 OR (l_linestatus = 'F' AND l_returnflag <> 'R') THEN 'Delivered'
+        WHEN l_linestatus = 'F' THEN 'Returned'
+        WHEN l_returnflag = 'A' THEN 'Shipped'
+        WHEN l_returnflag = 'N' THEN 'Processing'
+        ELSE 'Cancelled' END""",
+    "_delay": """CASE WHEN (l_orderkey * 7 + l_linenumber * 3 + l_partkey) % 100 < l_suppkey % 50 + 55
+        THEN -1 ELSE int(l_orderkey % 7 + 1) END""",
+    "_lead": "int((l_partkey + l_suppkey) % 13 + 1)",
+}
+_STATE = {
+    "is_on_time": "coalesce(order_status = 'Delivered' AND _delay <= 0, false)",
+    "fill_rate": """CAST(CASE WHEN order_status = 'Cancelled' THEN 0D
+        ELSE (l_orderkey % 16 + 85) / 100D END AS DECIMAL(5,4))""",
+}
+_DELIVERY = """CASE
+    WHEN order_status = 'Delivered' THEN greatest(date_add(order_date, 1), date_add(expected_delivery, _delay))
+    WHEN order_status IN ('Returned', 'Cancelled') THEN date_add(order_date, int(l_orderkey % 4 + 1)) END"""
+_LATE = "CASE WHEN order_status = 'Delivered' THEN greatest(_delay, 0) ELSE 0 END"
+_SHIPMENT = {
+    "shipment_id": "order_id",
+    "carrier": "concat('Carrier ', string((l_orderkey + l_linenumber) % 8))",
+    "route": "concat(string(warehouse_id), ' -> ', customer_region)",
+    "origin_warehouse": "warehouse_id",
+    "destination_region": "customer_region",
+    "shipping_cost": "CAST((l_partkey * 13 + l_orderkey * 7) % 14500 / 100D + 5 AS DECIMAL(12,2))",
+    "distance_km": "CAST((warehouse_id * 97 + region_key * 331) % 2950 + 50 AS DECIMAL(10,2))",
+    "ship_date": "date_add(order_date, l_linenumber % 2)",
+    "actual_delivery": "delivery_date",
+    "delivery_status": """CASE WHEN order_status <> 'Delivered' THEN 'In Transit'
+        WHEN _late > 0 THEN 'Delayed' ELSE 'Delivered' END""",
+    "delay_days": "_late",
+    "is_delayed": "_late > 0",
+}
+_MIX = "(product_id * 17 + warehouse_id * 31)"
+_STOCK = {
+    "current_stock": f"""int(CASE product_id % 7 WHEN 0 THEN {_MIX} % 12 WHEN 1 THEN {_MIX} % 80
+        ELSE {_MIX} % 300 - 6 END)""",
+    "reorder_point": "int(CASE product_id % 7 WHEN 0 THEN 2 WHEN 1 THEN 10 ELSE _size + 20 END)",
+    "safety_stock": "int(CASE product_id % 7 WHEN 0 THEN 1 WHEN 1 THEN 5 ELSE (product_id * 3 + warehouse_id) % 100 END)",
+    "max_stock": "int(CASE product_id % 7 WHEN 0 THEN 40 WHEN 1 THEN 60 ELSE 200 END)",
+    "last_restocked": "CAST(NULL AS DATE)",
+}
+
+
+def _named(expressions: dict[str, str]) -> list[str]:
+    return [f"{text} AS {name}" for name, text in expressions.items()]
+
 
 class StarTables(SupplyTables):
     def __init__(self, spark: SparkSession, folder: str):
         super().__init__({})
         self.spark = spark
         self.folder = folder
+        self._files: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A source table; its file footer is read once per table set."""
+        if name not in self._files:
+            self._files[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._files[name]
 
     def frame(self, name: str, *columns: str) -> DataFrame:
         return getattr(self, f"_{name}")(list(columns))
@@ -157,46 +215,12 @@ class StarTables(SupplyTables):
             df = clean.lookup(df, self.raw("part"), "l_partkey", "p_partkey", _price="p_retailprice")
             df = df.withColumn("unit_price", F.col("_price").cast("decimal(12,2)"))
 
-        ok, line, part, supp = (
-            F.col(c) for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-        )
-        status = (
-            F.when((supp % 4 == 0) | ((F.col("l_linestatus") == "F") & (F.col("l_returnflag") != "R")),
-                   "Delivered")
-            .when(F.col("l_linestatus") == "F", "Returned")
-            .when(F.col("l_returnflag") == "A", "Shipped")
-            .when(F.col("l_returnflag") == "N", "Processing")
-            .otherwise("Cancelled")
-        )
-        early = (ok * 7 + line * 3 + part) % 100 < supp % 50 + 55
-        df = df.withColumns({
-            "order_id": F.concat_ws("-", ok.cast("string"), line.cast("string")),
-            "product_id": part,
-            "supplier_id": supp,
-            "quantity": F.col("l_quantity").cast("int"),
-            "order_status": status,
-            "_delay": F.when(early, -1).otherwise((ok % 7 + 1).cast("int")),
-            "_lead": ((part + supp) % 13 + 1).cast("int"),
-        })
-        delivered = F.col("order_status") == "Delivered"
-        closed = F.col("order_status").isin("Returned", "Cancelled")
-        df = df.withColumns({
-            "is_on_time": F.coalesce(delivered & (F.col("_delay") <= 0), F.lit(False)),
-            "fill_rate": F.when(F.col("order_status") == "Cancelled", 0.0)
-            .otherwise((ok % 16 + 85) / 100.0).cast("decimal(5,4)"),
-        })
+        df = df.selectExpr("*", *_named(_LINE)).selectExpr("*", *_named(_STATE))
         if wanted & _PART:
-            df = df.withColumn(
-                "total_amount", (F.col("unit_price") * F.col("quantity")).cast("decimal(14,2)")
-            )
+            df = df.selectExpr("*", "CAST(unit_price * quantity AS DECIMAL(14,2)) AS total_amount")
         if wanted & _HEADER:
-            df = df.withColumn("expected_delivery", F.date_add("order_date", F.col("_lead")))
-            df = df.withColumn(
-                "delivery_date",
-                F.when(delivered, F.greatest(
-                    F.date_add("order_date", 1), F.date_add("expected_delivery", F.col("_delay"))
-                )).when(closed, F.date_add("order_date", (ok % 4 + 1).cast("int"))),
-            )
+            df = df.selectExpr("*", "date_add(order_date, _lead) AS expected_delivery")
+            df = df.selectExpr("*", f"{_DELIVERY} AS delivery_date")
         return df
 
     def _with_header(self, df: DataFrame, with_region: bool) -> DataFrame:
@@ -238,34 +262,10 @@ class StarTables(SupplyTables):
         need = set().union(*(sources.get(c, set()) for c in columns)) if columns else set()
         df = self.order_lines(sorted(need), lines)
         df = df.filter(F.col("order_status").isin("Delivered", "Shipped"))
-        ok, line, part = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey")
-        delivered = F.col("order_status") == "Delivered"
-        delay = F.when(delivered, F.greatest(F.col("_delay"), F.lit(0))).otherwise(0)
-        derived: dict[str, Column] = {
-            "shipment_id": F.col("order_id"),
-            "carrier": F.concat(F.lit("Carrier "), ((ok + line) % 8).cast("string")),
-            "shipping_cost": ((part * 13 + ok * 7) % 14500 / 100.0 + 5).cast("decimal(12,2)"),
-            "delay_days": delay,
-            "is_delayed": delay > 0,
-            "delivery_status": F.when(~delivered, "In Transit").when(delay > 0, "Delayed")
-            .otherwise("Delivered"),
-        }
-        if "route" in columns:
-            derived["route"] = F.concat(
-                F.col("warehouse_id").cast("string"), F.lit(" -> "), F.col("customer_region")
-            )
-        if "origin_warehouse" in columns:
-            derived["origin_warehouse"] = F.col("warehouse_id")
-        if "destination_region" in columns:
-            derived["destination_region"] = F.col("customer_region")
-        if "distance_km" in columns:
-            far = (F.col("warehouse_id") * 97 + F.col("region_key") * 331) % 2950 + 50
-            derived["distance_km"] = far.cast("decimal(10,2)")
-        if "ship_date" in columns:
-            derived["ship_date"] = F.date_add("order_date", line % 2)
-        if "actual_delivery" in columns:
-            derived["actual_delivery"] = F.col("delivery_date")
-        return df.withColumns(derived).select(*columns)
+        df = df.selectExpr("*", f"{_LATE} AS _late")
+        kept = [c for c in columns if c in _SHIPMENT]
+        same = [c for c in columns if c not in _SHIPMENT]
+        return df.selectExpr(*same, *_named({c: _SHIPMENT[c] for c in kept})).select(*columns)
 
     # ----------------------------------------------------------------- inventory and demand
 
@@ -274,23 +274,11 @@ class StarTables(SupplyTables):
 
         Only the reorder point needs the part's size; without it (``reorder=False``) it stays null.
         """
-        p, w = F.col("product_id"), F.col("warehouse_id")
-        kind, mix = p % 7, p * 17 + w * 31
         if reorder:
             df = clean.lookup(pairs, self.raw("part"), "product_id", "p_partkey", _size="p_size")
         else:
-            df = pairs.withColumn("_size", F.lit(None).cast("int"))
-
-        def by_kind(first, second, rest) -> Column:
-            return F.when(kind == 0, first).when(kind == 1, second).otherwise(rest).cast("int")
-
-        return df.withColumns({
-            "current_stock": by_kind(mix % 12, mix % 80, mix % 300 - 6),
-            "reorder_point": by_kind(F.lit(2), F.lit(10), F.col("_size") + 20),
-            "safety_stock": by_kind(F.lit(1), F.lit(5), (p * 3 + w) % 100),
-            "max_stock": by_kind(F.lit(40), F.lit(60), F.lit(200)),
-            "last_restocked": F.lit(None).cast("date"),
-        }).drop("_size")
+            df = pairs.selectExpr("*", "CAST(NULL AS INT) AS _size")
+        return df.selectExpr("*", *_named(_STOCK)).drop("_size")
 
     def _inventory(self, columns: list[str]) -> DataFrame:
         columns = columns or INVENTORY_COLUMNS
