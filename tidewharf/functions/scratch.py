@@ -9,10 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one only where unset."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session gets a temporary folder; on a cluster each executor would write
+    to its own disk, so there the setting is required.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        master = context.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tidewharf-")
         context.setCheckpointDir(folder)
     elif not context.getCheckpointDir():
