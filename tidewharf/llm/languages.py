@@ -13,10 +13,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewharf.llm.text import WHITE, Texts, Words, byte_set, crc_class, mix, slices, sums
+from tidewharf.llm.text import WHITE, Texts, Words, byte_set, crc_class, mix, slices
 
 BUCKETS = 1 << 15
-ORDERS = (1, 2, 3, 4, 5)
+ORDERS = (2, 3, 4)
 SWITCH = 10.0
 SAMPLE_PER_LANGUAGE = 2000
 SLICE = 3 << 20
@@ -78,29 +78,38 @@ def script_counts(words: Words) -> np.ndarray:
     return np.bincount(cell, minlength=out.size).reshape(out.shape).astype(np.int32)
 
 
-def gram_buckets(words: Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all n-grams of the words ``which``, each with marks around it, and each word's first gram."""
+def chosen(words: Words, which: np.ndarray) -> Words:
+    """Only the words ``which``, packed as the words of one text."""
     start, end = words.start[which], words.end[which]
-    length = end - start + 2
+    length = end - start
+    stop = np.cumsum(length + 1)
+    begin = stop - length - 1
+    data = np.full(int(stop[-1]) if len(stop) else 0, 0x20, np.uint8)
+    to = np.arange(int(length.sum())) + np.repeat(np.arange(len(which)), length)
+    data[to] = words.texts.data[np.arange(len(to)) + np.repeat(start - (np.cumsum(length) - length), length)]
+    inside = np.zeros(len(data), bool)
+    inside[to] = True
+    owner = np.zeros(len(which), np.int64)
+    return Words(Texts(data, np.array([0, len(data)])), inside, begin, begin + length, owner, np.array([0, len(which)]))
+
+
+def grams(words: Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order, the buckets of the words' n-grams, with a mark at both ends of a word, and their words."""
+    if not len(words):
+        return
+    length = words.end - words.start + 2
     begin = np.cumsum(length) - length
-    data = np.full(int(length.sum()), 0x5F, np.uint64)
-    room = np.arange(len(data)) - np.repeat(begin, length)
-    inner = (room > 0) & (room < np.repeat(length - 1, length))
-    data[inner] = words.texts.data[(room + np.repeat(start - 1, length))[inner]]
-    left = np.repeat(length, length) - room
-    grams, owners = [], []
-    owner = np.repeat(np.arange(len(which)), length)
-    rolled = np.zeros(len(data), np.uint64)
-    for n in ORDERS:
-        shifted = np.zeros(len(data), np.uint64)
-        shifted[: len(data) - n + 1] = data[n - 1 :]
-        rolled = rolled * np.uint64(257) + shifted + np.uint64(1)
-        fits = left >= n
-        grams.append((mix(rolled[fits] + np.uint64(n << 56)) % np.uint64(BUCKETS)).astype(np.int64))
-        owners.append(owner[fits])
-    gram, owner = np.concatenate(grams), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    return gram[order], np.searchsorted(owner[order], np.arange(len(which)))
+    owner = np.repeat(np.arange(len(words)), length)
+    room = np.arange(len(owner)) - begin[owner]
+    inner = (room > 0) & (room < (length - 1)[owner])
+    data = np.full(len(owner), 0x5F, np.uint64)
+    data[inner] = words.texts.data[words.inside]
+    rolled = data.copy()
+    for n in range(2, max(ORDERS) + 1):
+        rolled = rolled[:-1] * np.uint64(257) + data[n - 1 :]
+        if n in ORDERS:
+            fits = np.flatnonzero(owner[: len(rolled)] == owner[n - 1 :])
+            yield (mix(rolled[fits] + np.uint64(n << 56)) & np.uint64(BUCKETS - 1)).astype(np.int32), owner[fits]
 
 
 def _count(names: list[str]):
@@ -117,12 +126,11 @@ def _count(names: list[str]):
             lang = np.array([of[x] for x in part.column("lang").to_pylist()])[words.owner]
             h = words.hashes() + lang.astype(np.uint64)
             _, which, times = np.unique(h, return_index=True, return_counts=True)
-            grams, first = gram_buckets(words, which)
-            repeats = np.diff(np.concatenate((first, [len(grams)])))
-            cell = np.repeat(lang[which] * cells, repeats) + grams
-            total += np.bincount(cell, np.repeat(times, repeats), len(total)).astype(np.int64)
-            for j, column in enumerate(script_counts(words).T):
-                total += np.bincount(lang * cells + BUCKETS + j, column, len(total)).astype(np.int64)
+            distinct, base = chosen(words, which), lang[which] * cells
+            for bucket, owner in grams(distinct):
+                total += np.bincount(base[owner] + bucket, times[owner], len(total)).astype(np.int64)
+            for j, column in enumerate(script_counts(distinct).T):
+                total += np.bincount(base + BUCKETS + j, column * times, len(total)).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"cell": at, "n": total[at]})
 
@@ -135,20 +143,23 @@ class Model:
     def __init__(self, names: list[str], log_p: np.ndarray, allowed: np.ndarray):
         self.names, self.log_p, self.allowed = names, log_p, allowed
 
-    def word_scores(self, words: Words, scripts: np.ndarray) -> np.ndarray:
-        """A score for each word and language; equal ones for words without letters."""
+    def word_scores(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
+        """A score for each word and language, equal ones for words without letters; whether there are letters."""
         if not len(words):
-            return np.zeros((0, len(self.names)), np.float32)
+            return np.zeros((0, len(self.names)), np.float32), np.zeros(0, bool)
         _, which, back = np.unique(words.hashes(), return_index=True, return_inverse=True)
-        grams, first = gram_buckets(words, which)
-        scores = np.stack([sums(column[grams], first) for column in self.log_p.T], axis=1) / len(ORDERS)
-        letters = scripts[which]
-        main = letters.argmax(axis=1)
-        narrowed = np.where(self.allowed[main], scores, -60.0)
-        known = self.allowed[main].any(axis=1, keepdims=True)
-        scores = np.where(known, narrowed, scores)
-        scores[letters.sum(axis=1) == 0] = 0
-        return scores[back].astype(np.float32)
+        distinct = chosen(words, which)
+        scores = np.zeros((len(which), len(self.names)))
+        for bucket, owner in grams(distinct):
+            for j, column in enumerate(self.log_p.T):
+                scores[:, j] += np.bincount(owner, column[bucket], len(which))
+        scores /= len(ORDERS)
+        letters = script_counts(distinct)
+        allowed = self.allowed[letters.argmax(axis=1)]
+        scores = np.where(allowed.any(axis=1, keepdims=True) & ~allowed, -60.0, scores)
+        lettered = letters.any(axis=1)
+        scores[~lettered] = 0
+        return scores.astype(np.float32)[back], lettered[back]
 
 
 def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
@@ -174,8 +185,8 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model
     count = np.zeros(len(names) * cells)
     count[rows["cell"].to_numpy()] = rows["n"].to_numpy()
     count = count.reshape(len(names), cells)
-    grams, letters = count[:, :BUCKETS] + 0.5, count[:, BUCKETS:]
-    log_p = np.log(grams / grams.sum(axis=1, keepdims=True)).T
+    seen, letters = count[:, :BUCKETS] + 0.5, count[:, BUCKETS:]
+    log_p = np.log(seen / seen.sum(axis=1, keepdims=True)).T
     allowed = (letters >= 0.01 * np.maximum(letters.sum(axis=1, keepdims=True), 1)) & (letters > 0)
     return Model(names, (log_p - log_p.mean(axis=1, keepdims=True)).astype(np.float32), allowed.T)
 
@@ -244,14 +255,11 @@ def identify(docs: DataFrame, model: Model, *keys: str | Column, spans: bool = T
         model = shared.value
         for part in slices(batches, SLICE):
             words = folded(Texts.of(part.column("text"))).words(WHITE)
-            scripts = script_counts(words)
-            if names:
-                label = viterbi(model.word_scores(words, scripts), words.first)
-            else:
-                label = np.zeros(len(words), np.int8)
-            weight = np.where(scripts.sum(axis=1) > 0, words.end - words.start, 0)
-            mass = np.zeros((len(words.texts), max(len(names), 1)))
-            np.add.at(mass, (words.owner, label), weight)
+            scores, lettered = model.word_scores(words)
+            label = viterbi(scores, words.first) if names else np.zeros(len(words), np.int8)
+            weight = np.where(lettered, words.end - words.start, 0)
+            kinds = max(len(names), 1)
+            mass = np.bincount(words.owner * kinds + label, weight, len(words.texts) * kinds).reshape(-1, kinds)
             total, best = mass.sum(axis=1), mass.argmax(axis=1)
             found = (total > 0) & bool(names)
             columns = {f.name: part.column(f.name) for f in outer}
