@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewharf.llm import languages
+from tidewharf.llm import languages, quality_model
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -20,7 +21,18 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = quality_model.train(docs, quality_model.learnable(labels), "quality")
+    scored = quality_model.score(docs, model, "doc_id")
+    return scored.select(
+        "doc_id", quality_model.held_out().alias("held_out"), "score",
+        (F.col("score") >= quality_model.CUT).cast("int").alias("predicted"),
+    )
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 LLM_STATEMENTS: dict[str, str] = {}
