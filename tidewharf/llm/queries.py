@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewharf.llm import languages, quality_model
+from tidewharf.llm import jaccard, languages, quality_model
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,13 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return jaccard.link_components(docs, words=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id", "class_id", "n_links"
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = quality_model.train(docs, quality_model.learnable(labels), "quality")
@@ -33,6 +40,7 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
+    "op7_jaccard_join": op7_jaccard_join,
     "op10_quality_classifier": op10_quality_classifier,
 }
 LLM_STATEMENTS: dict[str, str] = {}
