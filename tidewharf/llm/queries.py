@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewharf.llm import jaccard, languages, quality_model
+from tidewharf.llm import contamination, jaccard, languages, quality_model, statements
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = quality_model.train(docs, quality_model.learnable(labels), "quality")
@@ -41,6 +45,9 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_decontamination": op8_decontamination,
     "op10_quality_classifier": op10_quality_classifier,
 }
-LLM_STATEMENTS: dict[str, str] = {}
+LLM_STATEMENTS: dict[str, str] = {
+    "op8_decontamination": statements.DECONTAMINATION,
+}
