@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewharf.functions.scratch import materialized
-from tidewharf.llm.text import LOWER, UPPER
+from tidewharf.llm.text import LOWER, UPPER, unused
 
 WINDOW = 13
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -163,4 +163,6 @@ def without_contaminated(docs: DataFrame, items: DataFrame, length: int = WINDOW
         .groupBy("t").agg(F.count(F.lit(1)).alias("n_hit"))
     )
     bad = materialized(hit.join(index.texts, "t").where(20 * F.col("n_hit") >= F.col("n_words")).select("t").distinct())
-    return docs.withColumn("_t", text_key(docs)).join(bad, F.col("_t") == F.col("t"), "left_anti").drop("_t")
+    own = unused(docs.columns, "_t")
+    keyed = docs.withColumn(own, text_key(docs))
+    return keyed.join(bad.select(F.col("t").alias(own)), own, "left_anti").select(*docs.columns)

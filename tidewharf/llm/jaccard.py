@@ -5,7 +5,10 @@ stands for its token union. A class is compared with another group only if the g
 the overlap a link needs, so members of a group never meet each other in pairs, however large it is.
 
 All comparisons are exact on 64-bit shingle hashes. Tokens are ordered from rare to frequent; two sets that
-overlap enough share one of the first tokens of both ("prefix"), so only those are kept in the matrix.
+overlap enough share some of the first tokens of both ("prefix"), so only those are kept in the matrix. If
+sets of a and b tokens must have o in common, then the first a - o + m tokens of the one and b - o + m of the
+other have at least m in common; m is a twentieth of the tokens here, which rules out most sets that merely
+share a passage.
 """
 
 from __future__ import annotations
@@ -15,11 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewharf.functions.scratch import materialized
-from tidewharf.llm.text import WHITE, Texts, mix, slices, window_hashes
+from tidewharf.llm.text import WHITE, Texts, mix, slices, unused, window_hashes
 
 FREQUENCY_BUCKETS = 1 << 18
 FILTER_BITS = 1 << 24
@@ -48,8 +51,18 @@ def least_overlap(a: int, b: int, percent: int) -> int:
     return -(-percent * (a + b) // (100 + percent))
 
 
+def margin(n: int) -> int:
+    """Prefix tokens that linked sets have in common at least, by the smaller one's size."""
+    return max(n // 20, 1)
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    return n - -(-percent * n // 100) + margin(n)
+
+
+def needed(n: Column, percent: int) -> Column:
+    """``margin`` of the smallest set that a set of ``n`` tokens can link with."""
+    return F.greatest(F.floor(F.ceil(n * percent / 100) / 20), F.lit(1))
 
 
 def _frequencies(words: int):
@@ -210,10 +223,42 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found from a class to others that the components rest on. Null texts and texts without words have no
     shingles and link with nothing. Repeated rows fall in one class. Null keys are never the smallest.
     """
-    spark = docs.sparkSession
-    context = spark.sparkContext
-    row = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("#"), F.xxhash64("text")))
-    rows = docs.select("doc_id", "text", row.alias("row"))
+    return _linked(docs, words, percent).select(
+        "doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("class_id"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"),
+        F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"),
+    )
+
+
+def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest key, null last.
+
+    Texts without words link with nothing and all stay. Of rows repeated in key and text one stays.
+    """
+    found = materialized(_linked(docs, words, percent).where("n > 0").select("doc_id", "row", "root"))
+    kinds = found.groupBy("root", "row").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("times"))
+    kinds = materialized(kinds)
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
+    first = kinds.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first.row").alias("first"))
+    marked = kinds.join(first, "root").withColumn("stays", F.col("row") == F.col("first"))
+    leaves = materialized(marked.where("not stays or times > 1").select(F.col("row").alias("leaves")))
+    repeated = materialized(marked.where("stays and times > 1").select(F.col("row").alias("repeated")))
+    own = unused(docs.columns, "_row")
+    keyed = docs.withColumn(own, row_key())
+    rest = keyed.join(leaves.select(F.col("leaves").alias(own)), own, "left_anti")
+    again = keyed.join(repeated.select(F.col("repeated").alias(own)), own, "left_semi").dropDuplicates([own])
+    return rest.unionByName(again).select(*docs.columns)
+
+
+def row_key() -> Column:
+    """Equal for rows with the same key and text."""
+    return F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("#")), F.lit(":"), F.hex(F.xxhash64("text")))
+
+
+def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``doc_id``, ``row``, ``n``, ``c``, ``n_links``, ``root`` and ``low`` of every row of ``docs``."""
+    context = docs.sparkSession.sparkContext
+    rows = docs.select("doc_id", "text", row_key().alias("row"))
     key_type = docs.schema["doc_id"].dataType.simpleString()
 
     frequency = context.broadcast(frequencies(docs, words))
@@ -230,7 +275,8 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         classes.select(F.explode("prefix").alias("t"), "c", "n")
         .withColumn("k", F.count(F.lit(1)).over(by_token)).where("k > 1").drop("k")
     )
-    active = materialized(shared.select("c").distinct().join(classes.select("c", "n", "row"), "c"))
+    met = shared.groupBy("c", "n").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= needed(F.col("n"), percent))
+    active = materialized(met.drop("met").join(classes.select("c", "row"), "c"))
 
     slot = F.pmod(F.xxhash64("row"), F.lit(FILTER_BITS)).cast("int")
     wanted = context.broadcast(_bits(active.select(slot.alias("slot"))))
@@ -249,12 +295,8 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     )
     lows = placed.groupBy("root").agg(F.min("low_doc").alias("low"))
     degree = links.groupBy("c").agg(F.count(F.lit(1)).alias("n_links"))
-    found = placed.join(lows, "root").join(degree, "c", "left").select("sig", "c", "n_links", "low")
-    return sets.select("doc_id", "n", "sig").join(found, "sig", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    found = placed.join(lows, "root").join(degree, "c", "left").select("sig", "c", "n_links", "root", "low")
+    return sets.select("doc_id", "row", "n", "sig").join(found, "sig", "left").drop("sig")
 
 
 def _bits(slots: DataFrame) -> bytes:
@@ -315,7 +357,8 @@ def _cross_links(shared: DataFrame, groups: DataFrame, members: DataFrame, perce
             (F.struct("size", "g") < F.struct("other_size", "other_g"))
             & (100 * F.col("n") >= percent * F.col("least")) & (percent * F.col("n") <= 100 * F.col("most"))
         )
-        .select("c", "g", "other_g", "block").distinct()
+        .groupBy("c", "n", "g", "other_g", "block").agg(F.count(F.lit(1)).alias("met"))
+        .where(F.col("met") >= needed(F.col("n"), percent)).select("c", "g", "other_g", "block")
     )
     count = pairs.groupBy("other_g", "block").agg(F.count(F.lit(1)).alias("asked"))
     chunk = F.pmod(F.xxhash64("c"), F.ceil(F.col("asked") / QUERIES))

@@ -7,13 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewharf.llm import contamination, jaccard, languages, quality_model, statements
+from tidewharf.functions.scratch import new_folder
+from tidewharf.llm import (
+    contamination, divergence, jaccard, languages, licenses, mixing, quality_model, statements, tokens, urls, warc,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    rows = mixing.assigned(table(spark, folder, "documents"))
+    return mixing.by_position(
+        rows.select("doc_id", "size", "source_size", "target", "taken", "first_position", "last_position")
+    )
+
+
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = licenses.scan(table(spark, folder, "documents"))
+    return found.select("doc_id", "license", "coverage", "matched_words", "first_word", "last_word", "matched_text")
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judged(table(spark, folder, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op4_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, folder, "documents"), "doc_id")
+
+
+def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.measured(table(spark, folder, "documents"))
+
+
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = languages.train(languages.learned_from(docs))
@@ -32,6 +59,13 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.write(table(spark, folder, "pages"), new_folder(spark, "warc"))
+    return warc.read(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
+    )
+
+
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
     model = quality_model.train(docs, quality_model.learnable(labels), "quality")
@@ -43,11 +77,19 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_mixing": op1_mixing,
+    "op2_license_scan": op2_license_scan,
+    "op3_url_filter": op3_url_filter,
+    "op4_token_counts": op4_token_counts,
+    "op5_quality_rules": op5_quality_rules,
     "op6_language_id": op6_language_id,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_decontamination": op8_decontamination,
+    "op9_warc": op9_warc,
     "op10_quality_classifier": op10_quality_classifier,
 }
 LLM_STATEMENTS: dict[str, str] = {
+    "op1_mixing": statements.MIXING,
+    "op9_warc": statements.WARC,
     "op8_decontamination": statements.DECONTAMINATION,
 }

@@ -32,3 +32,55 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM doc LEFT JOIN words USING (r) LEFT JOIN named USING (r)
 """
+
+MIXING = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, source, md5(concat_ws('|', CAST(doc_id AS VARCHAR), md5(text))) AS turn,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents
+), src AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight
+  FROM doc GROUP BY source
+), filled AS (
+  SELECT *, source_size / weight AS fill,
+    (SELECT CAST(sum(source_size) AS DOUBLE) FROM src) * 1.5 - coalesce(sum(2 * source_size) OVER w, 0) AS rest,
+    (SELECT sum(weight) FROM src) - coalesce(sum(weight) OVER w, 0) AS weight_left
+  FROM src
+  WINDOW w AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT rest, weight_left FROM filled WHERE rest * weight < 2 * source_size * weight_left
+  ORDER BY fill, source NULLS LAST LIMIT 1
+), aim AS (
+  SELECT source, source_size,
+    coalesce(CASE WHEN rest * weight >= 2 * source_size * weight_left THEN CAST(2 * source_size AS DOUBLE)
+      ELSE (SELECT rest FROM level) * weight / (SELECT weight_left FROM level) END, 0) AS target
+  FROM filled
+), placed AS (
+  SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS whole,
+    CAST(coalesce(sum(size) OVER (PARTITION BY doc.source ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
+  FROM doc JOIN aim ON doc.source IS NOT DISTINCT FROM aim.source
+), cut AS (
+  SELECT *, greatest(least(size, whole - start), 0) AS once, greatest(least(size, whole - start - source_size), 0) AS twice
+  FROM placed
+)
+SELECT doc_id, size, source_size, target, CAST(once + twice AS BIGINT) AS taken,
+  CASE WHEN once + twice > 0 THEN least(start / target, 1.0) END AS first_position,
+  CASE WHEN once + twice > 0 THEN least((start + CASE WHEN twice > 0 THEN source_size ELSE 0 END) / target, 1.0) END AS last_position
+FROM cut
+"""
+
+WARC = r"""
+WITH page AS (
+  SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), copy AS (
+  SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first
+  FROM page
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NULL OR first IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to, true AS verified
+FROM copy
+"""

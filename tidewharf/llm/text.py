@@ -7,7 +7,7 @@ equal when their 64-bit hashes are equal.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,6 +46,14 @@ def white_words(text: Column) -> Column:
     )
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores behind it until no column is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The rows of all batches in slices whose ``text`` holds about ``limit`` bytes, or one longer text."""
     for batch in batches:
