@@ -92,7 +92,7 @@ def write(pages: DataFrame, folder: str, roll: int = ROLL_BYTES) -> DataFrame:
                 if out is None:
                     store.create_dir(root, recursive=True)
                     name, size, count = f"{uuid.uuid4().hex}.warc.gz", 0, 0
-                    out = store.open_output_stream(f"{root}/{name}")
+                    out = store.open_output_stream(f"{root}/{name}", compression=None)
                     about = f"software: tidewharf\r\nformat: WARC File Format 1.1\r\nfilename: {name}\r\n".encode()
                     out.write(record("warcinfo", [
                         ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, name)}>"), ("WARC-Date", DATE),
