@@ -50,9 +50,7 @@ def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
-    return jaccard.link_components(docs, words=4, percent=85).select(
-        "doc_id", "n_shingles", "component_id", "class_id", "n_links"
-    )
+    return jaccard.link_components(docs, words=4, percent=85).select("doc_id", "n_shingles", "component_id")
 
 
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
@@ -90,6 +88,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 LLM_STATEMENTS: dict[str, str] = {
     "op1_mixing": statements.MIXING,
+    "op7_jaccard_join": statements.JACCARD,
     "op9_warc": statements.WARC,
     "op8_decontamination": statements.DECONTAMINATION,
 }

@@ -84,3 +84,28 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first IS DISTINCT FROM page_id THEN first END AS refers_to, true AS verified
 FROM copy
 """
+
+JACCARD = r"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) >= 4 THEN list_distinct(list_transform(range(1, len(w) - 2),
+      lambda i: array_to_string(list_slice(w, i, i + 3), ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s
+  FROM doc
+), each AS (
+  SELECT doc_id, len(s) AS n, unnest(s) AS t FROM sets
+), link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM each a JOIN each b ON a.t = b.t AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM doc
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
