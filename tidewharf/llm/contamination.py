@@ -97,7 +97,8 @@ def phrase_matches(index: Index, wins: DataFrame) -> DataFrame:
     late = ranked.where(F.col("turn") > EARLY).select("w", "term", "place")
     open_ = found.join(late, "w").select("w", "t", "start", "size", "term", (F.col("start") + F.col("place")).alias("pos"))
     texts = materialized(found.where(F.col("size") > EARLY).select("t").distinct())
-    near = materialized(index.postings.join(texts, "t", "left_semi").join(late.select("term").distinct(), "term", "left_semi"))
+    common = materialized(late.select("term").distinct())
+    near = materialized(index.postings.join(texts, "t", "left_semi").join(common, "term", "left_semi"))
     sure = (
         open_.join(near, ["t", "pos", "term"], "left_semi").groupBy("w", "t", "start", "size")
         .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == F.col("size") - EARLY).drop("n")
