@@ -17,16 +17,16 @@ from tidewharf.functions.scratch import materialized
 from tidewharf.llm.text import white_words
 
 COMMON_WORDS = 24
-LEAST_CHARS = 40
+LEAST_CHARS = 100
 LEAST_WORDS = 60
 CHAR_LIMIT = 0.22
-WORD_LIMIT = 0.62
+WORD_LIMIT = 0.42
 WINDOW = 5
 
-# Character classes as regular expressions; what fits none is the class "other"
+# Character classes; what fits none, lower-case letters and digits among it, is the class "other", so that clean
+# short texts with many figures stay near.
 CLASSES = {
     "upper": r"[A-ZÀ-ÖØ-Þ]",
-    "digit": r"[0-9]",
     "symbol": r"[#*$%&|<>]",
     "mark": r"[.,;:?!'\"()\-]",
     "space": r"[ \t-\r]",
