@@ -75,7 +75,9 @@ def test_linear_model_and_best(spark, monthly):
     many = monthly.filter("product_id != 'p3'").crossJoin(spark.range(6).withColumnRenamed("id", "k"))
     many = many.select(F.concat("product_id", F.col("k").cast("string")).alias("product_id"), "demand_date", "demand")
     sample = forecast.sample_split(forecast.lag_features(many)).cache()
-    got = forecast.holdout_predictions("linear_regression", sample)
+    training = forecast.training_part(sample, size=40)
+    assert training.count() == 40 and training.join(sample.filter("is_test"), ["product_id", "demand_date"]).count() == 0
+    got = forecast.holdout_predictions("linear_regression", sample, training)
     assert got.count() == sample.filter("is_test").count() > 0
     assert got.filter("predicted < 0").count() == 0
     mean = sample.filter("NOT is_test").agg(F.avg("demand")).first()[0]

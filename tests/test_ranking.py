@@ -20,11 +20,11 @@ def values(spark):
 
 @pytest.mark.parametrize("parts", [1, 32])
 @pytest.mark.parametrize("descending", [True, False])
-@pytest.mark.parametrize("slices", [1, 4, 64])
+@pytest.mark.parametrize("slices", [None, 4, 400])
 def test_ranks_equal_the_plain_window(values, parts, descending, slices):
     df = values.repartition(parts)
     got = with_ranks(
-        df, "v", by=["g"], weight="v", descending=descending, slices=slices, rows_per_slice=5, stored=True,
+        df, "v", by=["g"], weight="v", descending=descending, slices=slices, stored=True,
         r="rank", d="dense_rank", n="rows_total", c="running", s="grand_total",
     )
     order = F.desc("v") if descending else F.asc("v")
@@ -38,28 +38,26 @@ def test_ranks_equal_the_plain_window(values, parts, descending, slices):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-@pytest.mark.parametrize("slices", [1, 16])
+@pytest.mark.parametrize("slices", [None, 1, 400])
 def test_position_equals_row_number(values, slices):
-    got = with_position(values, "p", [-F.col("v"), F.col("id")], by=["g"], slices=slices, rows_per_slice=5)
+    got = with_position(values, "p", [-F.col("v"), F.col("id")], by=["g"], slices=slices)
     w = W.partitionBy("g").orderBy(F.desc("v"), "id")
     want = values.select("id", F.row_number().over(w).alias("p"))
     assert sorted(map(tuple, got.select("id", "p").collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_slices_follow_the_row_count(values):
+def test_slices_are_not_capped(values):
     from tidewharf.functions import ranking
 
-    def used(rows_per_slice):
-        return ranking._with_slice(values, F.struct("id"), 64, rows_per_slice).select("_slice").distinct().count()
-
-    assert used(ranking.ROWS_PER_SLICE) == 1
-    assert 50 < used(5) <= 65
-    widest = ranking._with_slice(values, F.struct("id"), 64, 5).groupBy("_slice").count().agg(F.max("count")).first()[0]
-    assert widest < 100
+    sliced = ranking._with_slice(values, F.struct("id"), 450)
+    assert sliced.select("_slice").distinct().count() > 256
+    assert sliced.groupBy("_slice").count().agg(F.max("count")).first()[0] < 30
+    ends = sliced.groupBy("_slice").agg(F.min("_key").alias("low"), F.max("_key").alias("high")).orderBy("_slice").collect()
+    assert all(a.high < b.low for a, b in zip(ends, ends[1:]))
 
 
 def test_text_keys_and_empty_input(spark):
     df = spark.createDataFrame([(f"S{i:03d}", i % 2) for i in range(50)], "id string, v int")
-    got = with_position(df, "p", [F.col("v"), F.col("id")], rows_per_slice=4).orderBy("p")
+    got = with_position(df, "p", [F.col("v"), F.col("id")], slices=9).orderBy("p")
     assert [r["p"] for r in got.collect()] == list(range(1, 51))
     assert with_ranks(df.filter("false"), "v", r="rank").count() == 0

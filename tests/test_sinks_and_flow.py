@@ -1,9 +1,11 @@
 import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import day
 from tidewharf.plans import flow
+from tidewharf.schemas import STORED
 from tidewharf.sources import sinks
 from tidewharf.sources.tables import stored_tables
 
@@ -34,6 +36,25 @@ def test_range_replace_keeps_earlier_rows(spark, tmp_path):
     assert values(spark, path) == [("2024-01-01", 1), ("2024-03-01", 3)]
 
 
+def test_range_replace_runs_again(spark, tmp_path):
+    path = f"{tmp_path}/again"
+    rows = frame(spark, [(day("2024-01-01"), 1), (day("2024-02-01"), 2)])
+    for _ in range(3):
+        sinks.replace_from(rows, path, "d", day("2024-02-01"))
+    assert values(spark, path) == [("2024-02-01", 2)]
+
+
+def test_projection_casts_and_is_complete(spark):
+    row = spark.sql(
+        "SELECT date'2024-01-01' calculation_date, 's' supplier_id, 1 reliability_score, 2.5 on_time_delivery_pct, "
+        "3 avg_lead_time, 0.1 defect_rate, 5 total_orders, cast('300000000000000' as decimal(28,2)) total_spend, 1 supplier_rank"
+    )
+    done = sinks.project(row, "kpi_supplier")
+    assert done.schema.simpleString() == STORED["kpi_supplier"].simpleString() and done.count() == 1
+    with pytest.raises(ValueError):
+        sinks.project(row.drop("total_spend"), "kpi_supplier")
+
+
 def test_reload_may_read_its_own_table(spark, tmp_path):
     path = f"{tmp_path}/t"
     assert sinks.reload(spark.range(10), path) == 10

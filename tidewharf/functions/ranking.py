@@ -1,14 +1,11 @@
 """Ranks, row numbers and running totals over groups too large for one task.
 
 A window without partitions, or with a handful of them, sorts each group in a single task. These
-helpers cut the sorted order into slices instead: cut points come from a fixed-size sample of the
-keys, every row finds its slice, slice totals (at most ``SLICES`` rows per group) give each slice its
-starting offset, and an ordinary window then works inside (group, slice). The cut points only
-balance the work; the numbers are exact wherever they fall. Equal values are merged before slicing,
-so one value held by a third of all rows is one row here.
-
-The input is passed over three times (sample, totals, rows), so it is stored in the shared scratch
-folder first unless the caller has done that (``stored=True``).
+helpers range-partition the rows by the sort key instead, as a global sort does, and store them with the
+number of their range ("slice"). Slice totals give each slice its starting offset, and an ordinary window
+then works inside (group, slice). Spark sets the number of ranges, so it grows with the cluster and the
+data. The ranges only balance the work; the numbers are exact wherever they end. Equal values are merged
+before slicing, so one value held by a third of all rows is one row here.
 """
 
 from __future__ import annotations
@@ -21,31 +18,16 @@ from pyspark.sql import Window as W
 
 from tidewharf.functions.scratch import materialized
 
-SLICES = 256
-ROWS_PER_SLICE = 100_000
-SAMPLE_PER_SLICE = 8
 
+def _with_slice(df: DataFrame, key: Column, slices: int | None) -> DataFrame:
+    """``df`` stored with ``_key`` and ``_slice``, the number of the key's range; later ranges have larger keys.
 
-def _with_slice(df: DataFrame, key: Column, slices: int, rows_per_slice: int) -> DataFrame:
-    """Add ``_slice``: how many cut points lie below ``key``.
-
-    There are about as many slices as full ones are needed, at most ``slices``; a small input has one.
+    ``slices`` sets the number of ranges; by default it is the session's number of shuffle partitions,
+    less what adaptive execution merges.
     """
     keyed = df.withColumn("_key", key)
-    size = slices * SAMPLE_PER_SLICE
-    # A bottom-k sample by hash, at most `size` keys; ordering by the key too makes it repeatable.
-    sample = keyed.select("_key").orderBy(F.xxhash64("_key"), "_key").limit(size)
-    rows = df.select(F.count(F.lit(1))).scalar()
-    spacing = F.ceil(F.try_divide(F.lit(float(size * rows_per_slice)), rows))
-    ordered = sample.agg(F.sort_array(F.collect_list("_key")).alias("cuts")).withColumn(
-        "spacing", F.greatest(spacing, F.lit(SAMPLE_PER_SLICE))
-    )
-    every = F.filter("cuts", lambda _, i: i % F.col("spacing") == F.col("spacing") - 1)
-    return (
-        keyed.withColumn("_cuts", ordered.select(every).scalar())
-        .withColumn("_slice", F.size(F.filter("_cuts", lambda cut: cut < F.col("_key"))))
-        .drop("_cuts")
-    )
+    ranged = keyed.repartitionByRange(slices, "_key") if slices else keyed.repartitionByRange("_key")
+    return materialized(ranged.withColumn("_slice", F.spark_partition_id()))
 
 
 def _match(left: DataFrame, right: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -62,8 +44,7 @@ def value_steps(
     by: Sequence[str] = (),
     weight: str | None = None,
     descending: bool = True,
-    slices: int = SLICES,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int | None = None,
 ) -> DataFrame:
     """One row per distinct (by, value) with everything a rank over that order needs.
 
@@ -73,7 +54,7 @@ def value_steps(
     by = list(by)
     sums = [F.sum(weight).alias("_w")] if weight else []
     steps = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("peers"), *sums)
-    steps = _with_slice(steps, F.struct(F.col(value)), slices, rows_per_slice)
+    steps = _with_slice(steps, F.struct(F.col(value)), slices)
 
     slice_order = F.col("_slice").desc() if descending else F.col("_slice").asc()
     value_order = F.col(value).desc() if descending else F.col(value).asc()
@@ -81,7 +62,7 @@ def value_steps(
     totals = steps.groupBy(*by, "_slice").agg(
         F.sum("peers").alias("_sp"), F.count(F.lit(1)).alias("_sd"), *slice_sums
     )
-    # At most `slices` rows per group reach this window.
+    # One row for each slice and group reaches this window.
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     before = group.orderBy(slice_order).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.select(
@@ -127,23 +108,22 @@ def with_ranks(
     by: Sequence[str] = (),
     weight: str | None = None,
     descending: bool = True,
-    slices: int = SLICES,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    slices: int | None = None,
     stored: bool = False,
     **names: str,
 ) -> DataFrame:
     """``df`` with rank-like columns of ``value`` added; ``names`` maps new column -> step column."""
     df = df if stored else materialized(df)
     steps = value_steps(
-        df, value, by=by, weight=weight, descending=descending, slices=slices, rows_per_slice=rows_per_slice
+        df, value, by=by, weight=weight, descending=descending, slices=slices
     )
     wanted = steps.select(*by, value, *[F.col(step).alias(new) for new, step in names.items()])
     return _match(df, wanted, [*by, value])
 
 
 def with_position(
-    df: DataFrame, name: str, keys: Sequence[Column], *, by: Sequence[str] = (), slices: int = SLICES,
-    rows_per_slice: int = ROWS_PER_SLICE, stored: bool = False,
+    df: DataFrame, name: str, keys: Sequence[Column], *, by: Sequence[str] = (), slices: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """``df`` with its 1-based position in the ascending order of ``keys`` within ``by``.
 
@@ -151,7 +131,7 @@ def with_position(
     """
     by = list(by)
     df = df if stored else materialized(df)
-    sliced = _with_slice(df, F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), slices, rows_per_slice)
+    sliced = _with_slice(df, F.struct(*[k.alias(f"k{i}") for i, k in enumerate(keys)]), slices)
     group = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
     before = group.orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
     offsets = (

@@ -158,15 +158,20 @@ def predict(model: PipelineModel, rows: DataFrame) -> DataFrame:
     return scored.drop("_prediction", "features")
 
 
-def sampled_features(t: SupplyTables, size: int = SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
-    """The training sample, computed once: every model passes over it many times."""
-    return materialized(sample_split(lag_features(monthly_series(t)), size=size, seed=seed))
+def split_features(t: SupplyTables, key: str = "product_id", seed: int = SEED) -> DataFrame:
+    """All feature rows, stored, with ``is_test`` for about a fifth of them by digest."""
+    features = lag_features(monthly_series(t))
+    return materialized(features.withColumn("is_test", F.pmod(_digest_part(key, 9, seed), F.lit(100)) >= TRAIN_PERCENT))
 
 
-def holdout_predictions(name: str, sample: DataFrame, seed: int = SEED) -> DataFrame:
-    """Fit on the training part and predict the test part: (model, product_id, demand_date, actual, predicted)."""
-    model = fit(name, sample.filter(~F.col("is_test")), seed)
-    return predict(model, sample.filter("is_test")).select(
+def training_part(rows: DataFrame, size: int = SAMPLE_SIZE, seed: int = SEED) -> DataFrame:
+    """At most ``size`` of the training rows, stored: every model passes over them many times."""
+    return materialized(sample_split(rows.filter(~F.col("is_test")).drop("is_test"), size=size, seed=seed).drop("is_test"))
+
+
+def holdout_predictions(name: str, rows: DataFrame, training: DataFrame, seed: int = SEED) -> DataFrame:
+    """Fit on ``training`` and predict every test row: (model, product_id, demand_date, actual, predicted)."""
+    return predict(fit(name, training, seed), rows.filter("is_test")).select(
         F.lit(name).alias("model"), "product_id", "demand_date", F.col("demand").alias("actual"), "predicted"
     )
 
@@ -174,9 +179,10 @@ def holdout_predictions(name: str, sample: DataFrame, seed: int = SEED) -> DataF
 def train_models(
     t: SupplyTables, size: int = SAMPLE_SIZE, names: Sequence[str] | None = None, seed: int = SEED
 ) -> DataFrame:
-    """Errors of each model on the held-out rows, the best one marked."""
-    sample = sampled_features(t, size, seed)
-    parts = [holdout_predictions(name, sample, seed) for name in names or regressors(seed)]
+    """Errors of each model on all held-out rows, the best one marked. ``size`` bounds the rows fitted on."""
+    rows = split_features(t, seed=seed)
+    training = training_part(rows, size, seed)
+    parts = [holdout_predictions(name, rows, training, seed) for name in names or regressors(seed)]
     predictions = parts[0]
     for part in parts[1:]:
         predictions = predictions.unionByName(part)
@@ -295,9 +301,9 @@ def seasonal_forecasts(
 
 def model_forecasts(
     t: SupplyTables, model: str = "gradient_boosting", horizons: Sequence[int] = HORIZONS,
-    top: int | None = 100, scores: DataFrame | None = None, seed: int = SEED,
+    top: int | None = None, scores: DataFrame | None = None, seed: int = SEED,
 ) -> DataFrame:
-    """Forecast rows of the top products from a regressor fitted on all feature rows.
+    """Forecast rows from a regressor fitted on all feature rows, of all products or the ``top`` ones.
 
     Each product's newest feature row is used for every month ahead, so its forecast is flat and the
     shorter horizons repeat the start of the longer ones.

@@ -250,7 +250,11 @@ def _features(t: StarTables) -> DataFrame:
 
 
 def _regressor(name: str) -> Query:
-    return lambda t: forecast.holdout_predictions(name, forecast.sampled_features(t))
+    def predictions(t: StarTables) -> DataFrame:
+        rows = forecast.split_features(t)
+        return forecast.holdout_predictions(name, rows, forecast.training_part(rows))
+
+    return predictions
 
 
 def _forecast_run(t: StarTables) -> DataFrame:
@@ -339,8 +343,6 @@ def _report(t: StarTables) -> DataFrame:
     return reporting.executive_summary(t, kpi.executive_kpis(t), insights.generate(t))
 
 
-CARRIERS = [f"Carrier {i}" for i in range(8)]
-
 REPORTS: dict[str, Query] = {
     "rep_executive_summary": _report,
     "rep_executive_text": lambda t: reporting.executive_text(_report(t)),
@@ -363,7 +365,7 @@ REPORTS: dict[str, Query] = {
     "bi_delay_rate": measures.delay_rate,
     "bi_revenue_ytd": measures.revenue_ytd,
     "bi_mom_growth": measures.month_growth,
-    "bi_route_matrix": lambda t: measures.route_matrix(t, CARRIERS),
+    "bi_route_matrix": measures.route_matrix,
     "bi_cost_per_km": measures.cost_per_km,
     "bi_actual_vs_forecast": lambda t: measures.actual_vs_forecast(
         t, forecast.seasonal_forecasts(t, with_scores=False)

@@ -64,27 +64,28 @@ RAW = {
     ),
 }
 
+# Columns and types of the stored tables; totals are wide enough for any volume, and counts are bigint.
 # Stored tables after cleaning; row ids are not stored because (product, warehouse) is the key.
 STORED = {
     **RAW,
     "inventory": _schema(
         "product_id string, warehouse_id string, current_stock int, reorder_point int, safety_stock int, "
-        "max_stock int, last_restocked date, inventory_value decimal(14,2), "
+        "max_stock int, last_restocked date, inventory_value decimal(28,2), "
         "days_of_inventory decimal(10,2), inventory_turnover decimal(10,4), stock_status string"
     ),
     "kpi_inventory": _schema(
         "calculation_date date, warehouse_id string, product_id string, inventory_turnover decimal(10,4), "
-        "days_sales_inventory decimal(10,2), carrying_cost decimal(14,2), inventory_accuracy decimal(5,4), "
-        "stock_out_rate decimal(5,4), fill_rate decimal(5,4), total_inventory_value decimal(16,2)"
+        "days_sales_inventory decimal(10,2), carrying_cost decimal(28,2), inventory_accuracy decimal(5,4), "
+        "stock_out_rate decimal(5,4), fill_rate decimal(5,4), total_inventory_value decimal(28,2)"
     ),
     "kpi_supplier": _schema(
         "calculation_date date, supplier_id string, reliability_score decimal(5,2), "
         "on_time_delivery_pct decimal(5,2), avg_lead_time decimal(8,2), defect_rate decimal(5,4), "
-        "total_orders int, total_spend decimal(16,2), supplier_rank int"
+        "total_orders bigint, total_spend decimal(28,2), supplier_rank bigint"
     ),
     "kpi_logistics": _schema(
         "calculation_date date, carrier string, route string, avg_delivery_time decimal(8,2), "
-        "transportation_cost decimal(14,2), delayed_shipment_rate decimal(5,4), total_shipments int, "
+        "transportation_cost decimal(28,2), delayed_shipment_rate decimal(5,4), total_shipments bigint, "
         "on_time_pct decimal(5,2)"
     ),
     "kpi_service": _schema(
@@ -93,9 +94,9 @@ STORED = {
         "customer_satisfaction decimal(5,2)"
     ),
     "kpi_executive": _schema(
-        "calculation_date date, total_products int, total_inventory_value decimal(16,2), "
+        "calculation_date date, total_products bigint, total_inventory_value decimal(28,2), "
         "stock_out_rate decimal(5,4), fill_rate decimal(5,4), forecast_accuracy decimal(5,4), "
-        "avg_supplier_reliability decimal(5,2), total_orders int, revenue decimal(18,2)"
+        "avg_supplier_reliability decimal(5,2), total_orders bigint, revenue decimal(28,2)"
     ),
     "forecasts": _schema(
         "product_id string, warehouse_id string, region string, forecast_date date, horizon_months int, "

@@ -68,15 +68,15 @@ def reload(df: DataFrame, path: str) -> int:
 
 
 def project(df: DataFrame, table: str | T.StructType) -> DataFrame:
-    """Only the columns of the target table, at its decimal scales; helper columns are left behind."""
+    """Exactly the columns of the target table, in its types; helper columns are left behind.
+
+    A missing column is an error, so that no incomplete table is written.
+    """
     schema = STORED[table] if isinstance(table, str) else table
-    out = []
-    for field in schema.fields:
-        if field.name not in df.columns:
-            continue
-        value = F.col(field.name)
-        out.append(value.cast(field.dataType).alias(field.name) if isinstance(field.dataType, T.DecimalType) else value)
-    return df.select(*out)
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"columns {missing} of the table are missing")
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def replace_day(df: DataFrame, path: str, date_column: str, day: datetime.date) -> int:
@@ -86,8 +86,12 @@ def replace_day(df: DataFrame, path: str, date_column: str, day: datetime.date)
 
 
 def replace_from(df: DataFrame, path: str, date_column: str, day: datetime.date) -> int:
-    """Replace all rows from ``day`` on with ``df``; earlier ones stay."""
+    """Replace all rows from ``day`` on with those of ``df``; earlier ones stay as they are.
+
+    Rows of ``df`` from before ``day`` are left out, so running it again gives the same table.
+    """
     spark = df.sparkSession
+    df = df.filter(F.col(date_column) >= F.lit(day))
     location = spark._jvm.org.apache.hadoop.fs.Path(path)
     if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
         earlier = spark.read.parquet(path).filter(F.col(date_column) < F.lit(day))
