@@ -8,7 +8,8 @@ All comparisons are exact on 64-bit shingle hashes. Tokens are ordered from rare
 overlap enough share some of the first tokens of both ("prefix"), so only those are kept in the matrix. If
 sets of a and b tokens must have o in common, then the first a - o + m tokens of the one and b - o + m of the
 other have at least m in common; m is a twentieth of the tokens here, which rules out most sets that merely
-share a passage.
+share a passage. The larger set of a pair asks and the smaller one is asked: as o is larger for partners that
+are not smaller, a set has a shorter prefix in the matrix than as a query.
 """
 
 from __future__ import annotations
@@ -57,9 +58,15 @@ def margin(n: int) -> int:
 
 
 def prefix_length(n: int, percent: int) -> int:
+    """Of a query, whose partners may be smaller."""
     return n - -(-percent * n // 100) + margin(n)
 
 
+def asked_length(n: int, percent: int) -> int:
+    """Of a set in the matrix, whose partners are not smaller."""
+    return n - least_overlap(n, n, percent) + margin(n)
+
+
 def needed(n: Column, percent: int) -> Column:
     """``margin`` of the smallest set that a set of ``n`` tokens can link with."""
     return F.greatest(F.floor(F.ceil(n * percent / 100) / 20), F.lit(1))
@@ -103,16 +110,17 @@ def _classes(words: int, percent: int, frequency):
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = frequency.value
         for part in slices(batches):
-            n, sig, prefix = [], [], []
+            n, sig, prefix, asked = [], [], [], []
             for tokens in shingle_sets(part, words):
                 n.append(len(tokens))
                 sig.append(xxhash.xxh3_128_digest(tokens))
                 count = order[(tokens >> np.uint64(46)).astype(np.int64)]
                 first = np.argsort(count, kind="stable")[: prefix_length(len(tokens), percent)]
                 prefix.append(tokens[first] if len(tokens) else tokens)
+                asked.append(asked_length(len(tokens), percent))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part.column("doc_id"), "row": part.column("row"), "n": pa.array(n, pa.int64()),
-                "sig": pa.array(sig, pa.binary()), "prefix": _lists(prefix),
+                "sig": pa.array(sig, pa.binary()), "prefix": _lists(prefix), "asked": pa.array(asked, pa.int64()),
             })
 
     return summed
@@ -186,7 +194,7 @@ def _opened(percent: int):
                 own = flat[a:b]
                 low = np.searchsorted(union, own, side="left")
                 times = np.searchsorted(union, own, side="right") - low
-                if 100 * np.count_nonzero(times) < percent * len(own):
+                if np.count_nonzero(times) < max(least_overlap(len(own), int(size.min()), percent), -(-percent * len(own) // 100)):
                     continue  # the token union leaves no room for a link
                 at = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
                 both = np.bincount(owner[at], minlength=len(size))
@@ -263,20 +271,28 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
     frequency = context.broadcast(frequencies(docs, words))
     sets = materialized(rows.mapInArrow(
-        _classes(words, percent, frequency), f"doc_id {key_type}, row string, n long, sig binary, prefix array<long>"
+        _classes(words, percent, frequency), f"doc_id {key_type}, row string, n long, sig binary, prefix array<long>, asked long"
     ))
     classes = materialized(
         sets.where("n > 0").groupBy("sig")
-        .agg(F.min("doc_id").alias("low_doc"), F.min("row").alias("row"), F.max("n").alias("n"), F.max("prefix").alias("prefix"))
+        .agg(F.min("doc_id").alias("low_doc"), F.min("row").alias("row"), F.max("n").alias("n"), F.max("prefix").alias("prefix"),
+             F.max("asked").alias("asked"))
         .withColumn("c", F.monotonically_increasing_id())
     )
     by_token = Window.partitionBy("t")
+    ranked = classes.select(F.posexplode("prefix").alias("place", "t"), "c", "n", "asked")
+    held = F.col("place") < F.col("asked")  # in the matrix, not only in the query
     shared = materialized(
-        classes.select(F.explode("prefix").alias("t"), "c", "n")
-        .withColumn("k", F.count(F.lit(1)).over(by_token)).where("k > 1").drop("k")
+        ranked.withColumn("held", held).withColumn("others", F.count(F.lit(1)).over(by_token) - 1)
+        .withColumn("holders", F.count(F.when(held, 1)).over(by_token) - held.cast("int"))
+        .withColumn("held", held & (F.col("others") > 0)).withColumn("asks", F.col("holders") > 0)
+        .where("held or asks").select("t", "c", "n", "place", "held", "asks")
+    )
+    enough = needed(F.col("n"), percent)
+    met = shared.groupBy("c", "n").agg(F.count_if("held").alias("held"), F.count_if("asks").alias("asks")).where(
+        (F.col("held") >= enough) | (F.col("asks") >= enough)
     )
-    met = shared.groupBy("c", "n").agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= needed(F.col("n"), percent))
-    active = materialized(met.drop("met").join(classes.select("c", "row"), "c"))
+    active = materialized(met.select("c", "n").join(classes.select("c", "row"), "c"))
 
     slot = F.pmod(F.xxhash64("row"), F.lit(FILTER_BITS)).cast("int")
     wanted = context.broadcast(_bits(active.select(slot.alias("slot"))))
@@ -332,33 +348,33 @@ def _groups(members: DataFrame, percent: int) -> DataFrame:
     size = joined.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
     block = F.pmod(F.xxhash64("c"), F.ceil(F.col("size") / MEMBERS))
     return materialized(
-        joined.join(size, "g").join(members.select("c", "n"), "c").select("c", "g", "size", block.alias("block"), "n")
+        joined.join(size, "g").join(members.select("c", "n"), "c").select("c", "g", block.alias("block"), "n")
     )
 
 
 def _cross_links(shared: DataFrame, groups: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """``(c, g, other, other_g)``: links of classes to other groups, one for each class and block at most.
 
-    Of two groups, the classes of the smaller one are the queries.
+    Of two classes, the larger one is the query. A block is opened for a query that has enough of its tokens,
+    the first of them early enough to leave room for the overlap.
     """
     by_token = Window.partitionBy("t")
-    placed = shared.select("t", "c").join(groups, "c")
+    placed = shared.select("t", "c", "place", "held", "asks").join(groups, "c")
     several = materialized(
         placed.withColumn("from", F.min("g").over(by_token)).withColumn("to", F.max("g").over(by_token))
         .where(F.col("from") != F.col("to")).drop("from", "to")
     )
     bounds = groups.groupBy("g", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    matrix = several.select("t", "g", "size", "block").distinct().join(bounds, ["g", "block"]).select(
-        "t", F.col("g").alias("other_g"), F.col("size").alias("other_size"), "block", "least", "most"
+    matrix = several.where("held").select("t", "g", "block").distinct().join(bounds, ["g", "block"]).select(
+        "t", F.col("g").alias("other_g"), "block", "least", "most"
     )
+    n, least = F.col("n"), F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    overlap = F.ceil(percent * (n + least) / (100 + percent))
     pairs = materialized(
-        several.select("t", "c", "g", "size", "n").join(matrix, "t")
-        .where(
-            (F.struct("size", "g") < F.struct("other_size", "other_g"))
-            & (100 * F.col("n") >= percent * F.col("least")) & (percent * F.col("n") <= 100 * F.col("most"))
-        )
-        .groupBy("c", "n", "g", "other_g", "block").agg(F.count(F.lit(1)).alias("met"))
-        .where(F.col("met") >= needed(F.col("n"), percent)).select("c", "g", "other_g", "block")
+        several.where("asks").select("t", "c", "g", "n", "place").join(matrix, "t")
+        .where((F.col("g") != F.col("other_g")) & (F.col("least") <= n) & (percent * n <= 100 * F.col("most")))
+        .groupBy("c", "n", "g", "other_g", "block", "least").agg(F.count(F.lit(1)).alias("met"), F.min("place").alias("place"))
+        .where((F.col("met") >= needed(n, percent)) & (n - F.col("place") >= overlap)).select("c", "g", "other_g", "block")
     )
     count = pairs.groupBy("other_g", "block").agg(F.count(F.lit(1)).alias("asked"))
     chunk = F.pmod(F.xxhash64("c"), F.ceil(F.col("asked") / QUERIES))
