@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidewharf.functions import text
+from tidewharf.functions.scratch import materialized
 from tidewharf.functions.numbers import half_even, half_up, ratio, row_count
 from tidewharf.functions.rules import PRIORITIES, order_in
 from tidewharf.operators import kpi
@@ -123,11 +124,14 @@ def demand_spikes(t: SupplyTables, as_of: Day = None) -> DataFrame:
 def generate(
     t: SupplyTables, kpi_supplier: DataFrame | None = None, kpi_logistics: DataFrame | None = None, as_of: Day = None
 ) -> DataFrame:
-    """All four rules in one table. KPI frames are read at the precision they are stored in."""
+    """All four rules in one table. KPI frames are read at the precision they are stored in.
+
+    Frames that are not given are computed once and stored, as their newest date is looked up in them.
+    """
     if kpi_supplier is None:
-        kpi_supplier = kpi.as_stored(kpi.supplier_kpis(t, as_of), "kpi_supplier")
+        kpi_supplier = materialized(kpi.as_stored(kpi.supplier_kpis(t, as_of), "kpi_supplier"))
     if kpi_logistics is None:
-        kpi_logistics = kpi.as_stored(kpi.logistics_kpis(t, as_of), "kpi_logistics")
+        kpi_logistics = materialized(kpi.as_stored(kpi.logistics_kpis(t, as_of), "kpi_logistics"))
     return reduce(DataFrame.unionByName, [
         stockouts(t, as_of),
         supplier_delays(t, kpi_supplier, as_of),

@@ -20,8 +20,11 @@ def summary(t: SupplyTables) -> DataFrame:
     return logistics_summary(t).orderBy(F.desc("delay_rate_pct"), "route", "carrier")
 
 
-def delayed(t: SupplyTables) -> DataFrame:
+def delayed(t: SupplyTables, n: int | None = None) -> DataFrame:
+    """Delayed shipments, the longest delay first; with ``n`` only so many are joined to their orders."""
     late = t.logistics(*SHIPMENT).filter("is_delayed")
+    if n is not None:
+        late = late.orderBy(F.desc("delay_days"), "shipment_id").limit(n)
     places = t.warehouses("warehouse_id", "warehouse_name")
     return (
         late.join(t.orders("order_id", "product_id"), "order_id", "left")

@@ -50,6 +50,13 @@ def executive_text(summary: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- lookups
 
 
+def _within(value: int, high: int, name: str) -> int:
+    """Arguments of lookups have bounds; outside of them is an error."""
+    if not 1 <= value <= high:
+        raise ValueError(f"{name} must be from 1 to {high}, not {value}")
+    return value
+
+
 def newest_executive(kpi_executive: DataFrame) -> DataFrame:
     return views.executive_dashboard(kpi_executive).limit(1)
 
@@ -65,7 +72,7 @@ def inventory_kpis(kpi_inventory: DataFrame, warehouse_id=None) -> DataFrame:
 
 
 def supplier_kpis(kpi_supplier: DataFrame, top_n: int = 20) -> DataFrame:
-    return _newest_run(kpi_supplier).orderBy("supplier_rank", "supplier_id").limit(top_n)
+    return _newest_run(kpi_supplier).orderBy("supplier_rank", "supplier_id").limit(_within(top_n, 100, "top_n"))
 
 
 def logistics_kpis(kpi_logistics: DataFrame) -> DataFrame:
@@ -89,18 +96,18 @@ def understocked(t: SupplyTables, n: int = 50) -> DataFrame:
 
 
 def delayed(t: SupplyTables, n: int = 50) -> DataFrame:
-    return logistics.delayed(t).limit(n)
+    return logistics.delayed(t, _within(n, 500, "n"))
 
 
 def forecasts(rows: DataFrame, horizon: int = 3, product_id=None, n: int = 500) -> DataFrame:
-    rows = rows.filter(F.col("horizon_months") == horizon)
+    rows = rows.filter(F.col("horizon_months") == _within(horizon, 12, "horizon"))
     if product_id is not None:
         rows = rows.filter(F.col("product_id") == F.lit(product_id))
     return rows.orderBy("forecast_date", "product_id").limit(n)
 
 
 def top_products(t: SupplyTables, n: int = 20) -> DataFrame:
-    return basic.top_products(t, n).withColumnsRenamed(
+    return basic.top_products(t, _within(n, 100, "n")).withColumnsRenamed(
         {"units_sold": "total_quantity", "revenue": "total_revenue"}
     )
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from tidewharf.functions.numbers import half_up
 from tidewharf.functions.rules import economic_order_quantity, safety_stock
-from tidewharf.functions.scratch import new_folder
+from tidewharf.functions.scratch import materialized, new_folder
 from tidewharf.operators import (
     advanced, basic, clean, forecast, insights, intermediate, inventory, kpi, logistics, measures, optimize,
     quality, reporting, suppliers, views,
@@ -329,8 +329,12 @@ PLANNING: dict[str, Query] = {
     "opt_run": _optimized,
     "q41_priority_queue": lambda t: optimize.priority_queue(t, _recommendations(t)),
     "ins_stockout": lambda t: insights.stockouts(_FeedStock(t.spark, t.folder)),
-    "ins_supplier_delay": lambda t: insights.supplier_delays(t, kpi.as_stored(kpi.supplier_kpis(t), "kpi_supplier")),
-    "ins_route_delay": lambda t: insights.route_delays(t, kpi.as_stored(kpi.logistics_kpis(t), "kpi_logistics")),
+    "ins_supplier_delay": lambda t: insights.supplier_delays(
+        t, materialized(kpi.as_stored(kpi.supplier_kpis(t), "kpi_supplier"))
+    ),
+    "ins_route_delay": lambda t: insights.route_delays(
+        t, materialized(kpi.as_stored(kpi.logistics_kpis(t), "kpi_logistics"))
+    ),
     "ins_demand_spike": insights.demand_spikes,
     "ins_generate": insights.generate,
     "ins_get": lambda t: insights.select(insights.generate(t), severity="high"),
