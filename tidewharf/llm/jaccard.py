@@ -7,8 +7,9 @@ the overlap a link needs, so members of a group never meet each other in pairs,
 All comparisons are exact on 64-bit shingle hashes. Tokens are ordered from rare to frequent; two sets that
 overlap enough share some of the first tokens of both ("prefix"), so only those are kept in the matrix. If
 sets of a and b tokens must have o in common, then the first a - o + m tokens of the one and b - o + m of the
-other have at least m in common; m is a twentieth of the tokens here, which rules out most sets that merely
-share a passage. The larger set of a pair asks and the smaller one is asked: as o is larger for partners that
+other have at least m in common; m is an eighth of the tokens here, which rules out most sets that merely
+share a passage. Of its first m tokens, a set has those for itself alone that no other prefix holds, so they
+cannot be in an overlap; if they are too many, nothing can link with the set. The larger set of a pair asks and the smaller one is asked: as o is larger for partners that
 are not smaller, a set has a shorter prefix in the matrix than as a query.
 """
 
@@ -27,6 +28,7 @@ from tidewharf.llm.text import WHITE, Texts, mix, slices, unused, window_hashes
 
 FREQUENCY_BUCKETS = 1 << 18
 FILTER_BITS = 1 << 24
+MARGIN = 8
 MEMBERS = 256
 QUERIES = 512
 NO_TOKEN = np.uint64(0x5851F42D4C957F2D)
@@ -54,7 +56,7 @@ def least_overlap(a: int, b: int, percent: int) -> int:
 
 def margin(n: int) -> int:
     """Prefix tokens that linked sets have in common at least, by the smaller one's size."""
-    return max(n // 20, 1)
+    return max(n // MARGIN, 1)
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -69,7 +71,7 @@ def asked_length(n: int, percent: int) -> int:
 
 def needed(n: Column, percent: int) -> Column:
     """``margin`` of the smallest set that a set of ``n`` tokens can link with."""
-    return F.greatest(F.floor(F.ceil(n * percent / 100) / 20), F.lit(1))
+    return F.greatest(F.floor(F.ceil(n * percent / 100) / MARGIN), F.lit(1))
 
 
 def _frequencies(words: int):
@@ -282,17 +284,20 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     by_token = Window.partitionBy("t")
     ranked = classes.select(F.posexplode("prefix").alias("place", "t"), "c", "n", "asked")
     held = F.col("place") < F.col("asked")  # in the matrix, not only in the query
+    n, enough = F.col("n"), needed(F.col("n"), percent)
     shared = materialized(
         ranked.withColumn("held", held).withColumn("others", F.count(F.lit(1)).over(by_token) - 1)
         .withColumn("holders", F.count(F.when(held, 1)).over(by_token) - held.cast("int"))
-        .withColumn("held", held & (F.col("others") > 0)).withColumn("asks", F.col("holders") > 0)
-        .where("held or asks").select("t", "c", "n", "place", "held", "asks")
+        .withColumn("asks", F.col("holders") > 0).withColumn("leads", F.col("place") < enough)
+        .where("others > 0 and (held or asks or leads)").select("t", "c", "n", "place", "held", "asks", "leads")
     )
-    enough = needed(F.col("n"), percent)
-    met = shared.groupBy("c", "n").agg(F.count_if("held").alias("held"), F.count_if("asks").alias("asks")).where(
-        (F.col("held") >= enough) | (F.col("asks") >= enough)
-    )
-    active = materialized(met.select("c", "n").join(classes.select("c", "row"), "c"))
+    # what is left of a set without the first tokens that are its own bounds every overlap, and so a partner's size
+    rest = n - enough + F.col("leads")
+    met = shared.groupBy("c", "n").agg(*[F.count_if(x).alias(x) for x in ("held", "asks", "leads")]).select(
+        "c", "n", ((F.col("held") >= enough) & (rest >= F.ceil(2 * percent * n / (100 + percent)))).alias("holds"),
+        F.when(F.col("asks") >= enough, F.floor((100 + percent) * rest / percent) - n).otherwise(0).alias("room"),
+    ).where(F.col("holds") | (100 * F.col("room") >= percent * n))
+    active = materialized(met.join(classes.select("c", "row"), "c"))
 
     slot = F.pmod(F.xxhash64("row"), F.lit(FILTER_BITS)).cast("int")
     wanted = context.broadcast(_bits(active.select(slot.alias("slot"))))
@@ -332,7 +337,7 @@ def _bits(slots: DataFrame) -> bytes:
 
 
 def _groups(members: DataFrame, percent: int) -> DataFrame:
-    """``(c, g, block, n)``: a group ``g`` for every class, in blocks of about MEMBERS classes.
+    """``(c, g, block, n, holds, room)``: a group ``g`` for every class, in blocks of about MEMBERS classes.
 
     Two rounds of leaders, each over classes ordered by another minimum hash. The groups only save work:
     links they miss are found by the matrix.
@@ -348,7 +353,8 @@ def _groups(members: DataFrame, percent: int) -> DataFrame:
     size = joined.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
     block = F.pmod(F.xxhash64("c"), F.ceil(F.col("size") / MEMBERS))
     return materialized(
-        joined.join(size, "g").join(members.select("c", "n"), "c").select("c", "g", block.alias("block"), "n")
+        joined.join(size, "g").join(members.select("c", "n", "holds", "room"), "c")
+        .select("c", "g", block.alias("block"), "n", "holds", "room")
     )
 
 
@@ -360,19 +366,20 @@ def _cross_links(shared: DataFrame, groups: DataFrame, members: DataFrame, perce
     """
     by_token = Window.partitionBy("t")
     placed = shared.select("t", "c", "place", "held", "asks").join(groups, "c")
+    placed = placed.where("(held and holds) or (asks and room > 0)")
     several = materialized(
         placed.withColumn("from", F.min("g").over(by_token)).withColumn("to", F.max("g").over(by_token))
         .where(F.col("from") != F.col("to")).drop("from", "to")
     )
-    bounds = groups.groupBy("g", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    matrix = several.where("held").select("t", "g", "block").distinct().join(bounds, ["g", "block"]).select(
+    bounds = groups.where("holds").groupBy("g", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = several.where("held and holds").select("t", "g", "block").distinct().join(bounds, ["g", "block"]).select(
         "t", F.col("g").alias("other_g"), "block", "least", "most"
     )
     n, least = F.col("n"), F.greatest("least", F.ceil(F.col("n") * percent / 100))
     overlap = F.ceil(percent * (n + least) / (100 + percent))
     pairs = materialized(
-        several.where("asks").select("t", "c", "g", "n", "place").join(matrix, "t")
-        .where((F.col("g") != F.col("other_g")) & (F.col("least") <= n) & (percent * n <= 100 * F.col("most")))
+        several.where("asks and room > 0").select("t", "c", "g", "n", "room", "place").join(matrix, "t")
+        .where((F.col("g") != F.col("other_g")) & (F.col("least") <= F.least(n, "room")) & (percent * n <= 100 * F.col("most")))
         .groupBy("c", "n", "g", "other_g", "block", "least").agg(F.count(F.lit(1)).alias("met"), F.min("place").alias("place"))
         .where((F.col("met") >= needed(n, percent)) & (n - F.col("place") >= overlap)).select("c", "g", "other_g", "block")
     )
