@@ -108,7 +108,9 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFr
         rows.where(F.length("url") > 0).select("url", "ruling").distinct()
         .withColumn("test", crc_class(F.col("url"), 5) == 0).withColumn("u", F.monotonically_increasing_id())
     )
-    urls = materialized(urls)
+    # few bytes, but each character becomes a row: spread over all tasks
+    parts = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    urls = materialized(urls.repartition(parts, "u"))
     each = urls.select("u", "ruling", "test", F.explode(grams(shown(F.col("url")))).alias("g"))
     learns = ~F.col("test")
     counts = materialized(each.groupBy("g").agg(
