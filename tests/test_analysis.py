@@ -131,6 +131,25 @@ def test_insight_order_and_tallies(spark):
     assert pct["x", "high"] == 50.0 and pct["y", "critical"] == 100.0
 
 
+def test_recommendation_text_of_one_pair(tables):
+    rows = optimize.recommendations(tables, as_of=day("2024-04-01"))
+    first = rows.select("product_id", "warehouse_id").first()
+    got = optimize.recommendation_text(tables, rows, first.product_id, first.warehouse_id).collect()
+    assert len(got) == 1 and got[0].recommendation.startswith(f"Product ID: {first.product_id}\n")
+    none = optimize.recommendation_text(tables, rows, "nothing", "W9").collect()
+    assert [r.recommendation for r in none] == ["No recommendation for nothing at W9"]
+    with pytest.raises(ValueError):
+        optimize.recommendation_text(tables, rows, "nothing")
+
+
+def test_lookups_have_bounds(tables):
+    from tidewharf.operators import reporting
+
+    for call in (lambda: reporting.top_products(tables, 0), lambda: reporting.delayed(tables, 501)):
+        with pytest.raises(ValueError):
+            call()
+
+
 def test_recommendations_without_forecast(tables):
     got = {(r.product_id, r.warehouse_id): r for r in optimize.recommendations(tables, as_of=day("2024-04-01")).collect()}
     row = got["P00001", "W001"]

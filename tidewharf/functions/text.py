@@ -33,6 +33,7 @@ RECOMMENDATION = (
     "Recommended Reorder: {recommended_reorder} Units\nExpected Demand: {expected_demand:0} Units\n"
     "Safety Stock: {safety_stock} Units\nEOQ: {eoq} Units\nPriority: {priority}"
 )
+NO_RECOMMENDATION = "No recommendation for {product_id} at {warehouse_id}"
 
 ROUTE_DELAY_METRIC = "{delay_rate_pct:1}% delay rate"
 ROUTE_DELAY = (

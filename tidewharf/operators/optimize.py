@@ -89,12 +89,28 @@ def recommendations(t: SupplyTables, forecasts: DataFrame | None = None, as_of:
     )
 
 
-def recommendation_text(t: SupplyTables, rows: DataFrame) -> DataFrame:
-    """A text block for the newest recommendation of each product and warehouse."""
+def recommendation_text(
+    t: SupplyTables, rows: DataFrame, product_id: str | None = None, warehouse_id: str | None = None
+) -> DataFrame:
+    """A text block for the newest recommendation of each product and warehouse, or of the given pair only.
+
+    A given pair without a recommendation gets a sentence that says so.
+    """
+    if (product_id is None) != (warehouse_id is None):
+        raise ValueError("give both product_id and warehouse_id, or neither")
+    if product_id is not None:
+        rows = rows.filter((F.col("product_id") == F.lit(product_id)) & (F.col("warehouse_id") == F.lit(warehouse_id)))
     values = F.struct(*[c for c in rows.columns if c not in ("product_id", "warehouse_id")])
     newest = rows.groupBy("product_id", "warehouse_id").agg(F.max_by(values, "recommendation_date").alias("_r"))
     df = newest.select("product_id", "warehouse_id", "_r.*").join(t.products("product_id", "product_name"), "product_id")
-    return df.select("product_id", "warehouse_id", text.sentence(text.RECOMMENDATION).alias("recommendation"))
+    df = df.select("product_id", "warehouse_id", text.sentence(text.RECOMMENDATION).alias("recommendation"))
+    if product_id is None:
+        return df
+    asked = df.sparkSession.createDataFrame([(product_id, warehouse_id)], "product_id string, warehouse_id string")
+    missing = F.lit(text.NO_RECOMMENDATION.format(product_id=product_id, warehouse_id=warehouse_id))
+    return asked.join(df, ["product_id", "warehouse_id"], "left").withColumn(
+        "recommendation", F.coalesce("recommendation", missing)
+    )
 
 
 def summary(rows: DataFrame) -> DataFrame:

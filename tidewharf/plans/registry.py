@@ -184,6 +184,11 @@ def counts(frames: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def _with_count(bundle: dict[str, DataFrame], part: str, name: str) -> DataFrame:
+    """The summary of an analysis with the number of rows of another part of it."""
+    return bundle["summary"].withColumn(name, _count_of(bundle[part]))
+
+
 def _count_of(df: DataFrame):
     return df.select(F.count(F.lit(1))).scalar()
 
@@ -223,9 +228,7 @@ ANALYSES: dict[str, Query] = {
     "sup_scorecard_text": suppliers.scorecard_text,
     "sup_rank": suppliers.ranking,
     "sup_summary": suppliers.summary,
-    "sup_analyze": lambda t: suppliers.analyze(t)["summary"].withColumn(
-        "scorecards_generated", _count_of(suppliers.analyze(t)["scorecards"])
-    ),
+    "sup_analyze": lambda t: _with_count(suppliers.analyze(t), "scorecards", "scorecards_generated"),
     "log_summary": logistics.summary,
     "log_delayed": logistics.delayed,
     "log_high_risk": logistics.high_risk,
@@ -233,9 +236,7 @@ ANALYSES: dict[str, Query] = {
     "log_carriers": logistics.carriers,
     "log_recommendations": logistics.recommendations,
     "log_totals": logistics.totals,
-    "log_analyze": lambda t: logistics.analyze(t)["summary"].withColumn(
-        "recommendation_count", _count_of(logistics.analyze(t)["recommendations"])
-    ),
+    "log_analyze": lambda t: _with_count(logistics.analyze(t), "recommendations", "recommendation_count"),
 }
 
 # ------------------------------------------------------------------ forecasts and what reads them
