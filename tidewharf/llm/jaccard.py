@@ -177,7 +177,7 @@ def _leaders(by: str, percent: int):
 
 
 def _opened(percent: int):
-    """Links of the queries of one group block: at most one for each query, as the members are linked already."""
+    """Links of the queries of one block: one for each component among its members, as those are linked already."""
     schema = pa.schema([("c", pa.int64()), ("other", pa.int64())])
 
     def linked(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -189,10 +189,10 @@ def _opened(percent: int):
             size = lists.value_lengths().to_numpy()
             order = np.argsort(values, kind="stable")
             union, owner = values[order], np.repeat(np.arange(len(size)), size)[order]
-            names = member["c"].to_numpy()
+            names, parts = member["c"].to_numpy(), member["g"].to_numpy()
             asked = query["tokens"].chunk(0)
             flat, ends = asked.flatten().to_numpy(), np.concatenate(([0], np.cumsum(asked.value_lengths().to_numpy())))
-            for c, a, b in zip(query["c"].to_pylist(), ends[:-1], ends[1:]):
+            for c, g, a, b in zip(query["c"].to_pylist(), query["g"].to_pylist(), ends[:-1], ends[1:]):
                 own = flat[a:b]
                 low = np.searchsorted(union, own, side="left")
                 times = np.searchsorted(union, own, side="right") - low
@@ -200,10 +200,10 @@ def _opened(percent: int):
                     continue  # the token union leaves no room for a link
                 at = np.repeat(low - (np.cumsum(times) - times), times) + np.arange(int(times.sum()))
                 both = np.bincount(owner[at], minlength=len(size))
-                hit = np.flatnonzero((100 + percent) * both >= percent * (len(own) + size))
-                if len(hit):
-                    out_c.append(c)
-                    out_other.append(int(names[hit[0]]))
+                hit = np.flatnonzero(((100 + percent) * both >= percent * (len(own) + size)) & (parts != g))
+                _, first = np.unique(parts[hit], return_index=True)
+                out_c += [c] * len(first)
+                out_other += names[hit[first]].tolist()
         return pa.Table.from_pydict({"c": out_c, "other": out_other}, schema=schema)
 
     return linked
@@ -337,10 +337,12 @@ def _bits(slots: DataFrame) -> bytes:
 
 
 def _groups(members: DataFrame, percent: int) -> DataFrame:
-    """``(c, g, block, n, holds, room)``: a group ``g`` for every class, in blocks of about MEMBERS classes.
+    """``(c, g, k, alone, part, n, holds, room)``: for every class its component so far and its group's block.
 
-    Two rounds of leaders, each over classes ordered by another minimum hash. The groups only save work:
-    links they miss are found by the matrix.
+    Two rounds of leaders, each over classes ordered by another minimum hash, link classes to ``g``. A group
+    ``k`` holds the components with the same minimum hash; it is cut in blocks of about MEMBERS classes. A
+    component larger than that has blocks ``alone``, named by it; others share blocks, where ``alone`` is -1.
+    Rounds and groups only save work: links they miss are found by the matrix.
     """
     def led(rows: DataFrame, by: str, then: str) -> DataFrame:
         ordered = rows.repartitionByRange(by, then, "c").sortWithinPartitions(by, then, "c")
@@ -350,51 +352,51 @@ def _groups(members: DataFrame, percent: int) -> DataFrame:
     heads = first.where("c = leader").select("c")
     second = led(members.join(heads, "c"), "low_2", "low_1")
     joined = first.join(second.select(F.col("c").alias("leader"), F.col("leader").alias("g")), "leader").select("c", "g")
-    size = joined.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    block = F.pmod(F.xxhash64("c"), F.ceil(F.col("size") / MEMBERS))
+    joined = materialized(joined.join(members.select("c", "n", "holds", "room", "low_1"), "c"))
+    parts = joined.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("low_1").alias("k"))
+    sizes = parts.where(F.col("size") <= MEMBERS).groupBy("k").agg(F.sum("size").alias("whole"))
+    large = F.col("size") > MEMBERS
+    part = F.when(large, F.pmod(F.xxhash64("c"), F.ceil(F.col("size") / MEMBERS))).otherwise(
+        F.pmod(F.xxhash64("g"), F.ceil(F.col("whole") / MEMBERS))
+    )
     return materialized(
-        joined.join(size, "g").join(members.select("c", "n", "holds", "room"), "c")
-        .select("c", "g", block.alias("block"), "n", "holds", "room")
+        joined.join(parts.join(sizes, "k", "left"), "g")
+        .select("c", "g", "k", F.when(large, F.col("g")).otherwise(-1).alias("alone"), part.alias("part"), "n", "holds", "room")
     )
 
 
 def _cross_links(shared: DataFrame, groups: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """``(c, g, other, other_g)``: links of classes to other groups, one for each class and block at most.
+    """``(c, g, other, other_g)``: links between components, one for each class and component of a block at most.
 
-    Of two classes, the larger one is the query. A block is opened for a query that has enough of its tokens,
-    the first of them early enough to leave room for the overlap.
+    Of two classes, the larger one is the query. A block, its own too, is opened for a query that has one of
+    its first tokens, early enough to leave room for the overlap. The shortest prefixes suffice here.
     """
-    by_token = Window.partitionBy("t")
+    block, by_token, n = ["k", "alone", "part"], Window.partitionBy("t"), F.col("n")
+    held = F.col("held") & F.col("holds") & (F.col("place") <= n - F.ceil(2 * percent * n / (100 + percent)))
+    asks = F.col("asks") & (F.col("room") > 0) & (F.col("place") <= n - F.ceil(percent * n / 100))
     placed = shared.select("t", "c", "place", "held", "asks").join(groups, "c")
-    placed = placed.where("(held and holds) or (asks and room > 0)")
+    placed = placed.withColumn("held", held).withColumn("asks", asks).where("held or asks")
     several = materialized(
         placed.withColumn("from", F.min("g").over(by_token)).withColumn("to", F.max("g").over(by_token))
         .where(F.col("from") != F.col("to")).drop("from", "to")
     )
-    bounds = groups.where("holds").groupBy("g", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    matrix = several.where("held and holds").select("t", "g", "block").distinct().join(bounds, ["g", "block"]).select(
-        "t", F.col("g").alias("other_g"), "block", "least", "most"
-    )
-    n, least = F.col("n"), F.greatest("least", F.ceil(F.col("n") * percent / 100))
+    bounds = groups.where("holds").groupBy(block).agg(F.min("n").alias("least"), F.max("n").alias("most"))
+    matrix = several.where("held").select("t", *block).distinct().join(bounds, block)
+    least = F.greatest("least", F.ceil(n * percent / 100))
     overlap = F.ceil(percent * (n + least) / (100 + percent))
-    pairs = materialized(
-        several.where("asks and room > 0").select("t", "c", "g", "n", "room", "place").join(matrix, "t")
-        .where((F.col("g") != F.col("other_g")) & (F.col("least") <= F.least(n, "room")) & (percent * n <= 100 * F.col("most")))
-        .groupBy("c", "n", "g", "other_g", "block", "least").agg(F.count(F.lit(1)).alias("met"), F.min("place").alias("place"))
-        .where((F.col("met") >= needed(n, percent)) & (n - F.col("place") >= overlap)).select("c", "g", "other_g", "block")
+    queries = materialized(
+        several.where("asks").select("t", "c", "g", "n", "room", "place").join(matrix, "t")
+        .where((F.col("g") != F.col("alone")) & (F.col("least") <= F.least(n, "room")) & (percent * n <= 100 * F.col("most")))
+        .where(n - F.col("place") >= overlap).select("c", "g", *block).distinct()
     )
-    count = pairs.groupBy("other_g", "block").agg(F.count(F.lit(1)).alias("asked"))
+    count = queries.groupBy(block).agg(F.count(F.lit(1)).alias("asked"))
     chunk = F.pmod(F.xxhash64("c"), F.ceil(F.col("asked") / QUERIES))
-    queries = materialized(pairs.join(count, ["other_g", "block"]).withColumn("chunk", chunk).drop("asked"))
-    slots = queries.select("other_g", "block", "chunk").distinct()
-    tokens = members.select("c", "tokens")
-    left = groups.select("c", F.col("g").alias("other_g"), "block").join(slots, ["other_g", "block"]).join(tokens, "c")
-    right = queries.join(tokens, "c").select(*[F.col(x).alias(x) for x in ("other_g", "block", "chunk", "c", "tokens")])
-    keys = ["other_g", "block", "chunk"]
-    hits = (
-        left.groupBy(keys).cogroup(right.groupBy(keys))
-        .applyInArrow(_opened(percent), "c long, other long")
-    )
+    queries = materialized(queries.join(count, block).withColumn("chunk", chunk).drop("asked"))
+    slots = queries.select(*block, "chunk").distinct()
+    tokens, keys = members.select("c", "tokens"), [*block, "chunk"]
+    left = groups.select("c", "g", *block).join(slots, block).join(tokens, "c")
+    right = queries.join(tokens, "c").select(*[F.col(x).alias(x) for x in (*keys, "c", "g", "tokens")])
+    hits = left.groupBy(keys).cogroup(right.groupBy(keys)).applyInArrow(_opened(percent), "c long, other long")
     return materialized(
         hits.join(groups.select("c", "g"), "c")
         .join(groups.select(F.col("c").alias("other"), F.col("g").alias("other_g")), "other")
