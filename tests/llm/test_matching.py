@@ -171,6 +171,17 @@ def test_contamination_as_brute_force(spark):
     assert left.count() == sum(n for row, n in want.items() if not row[-1])
 
 
+def test_contamination_of_repeated_rows(spark):
+    passage = " ".join(f"p{i}" for i in range(15))
+    rows = [(1, f"before {passage} after")] * 3 + [(None, f"{passage} behind")] * 2 + [(2, passage), (3, "before after behind")]
+    items = [(7, passage)]
+    docs, bench = frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")
+    want = Counter(contaminated(rows, items))
+    assert sum(n for row, n in want.items() if row[-1]) == 6
+    assert Counter(tuple(r) for r in contamination.contamination(docs, bench).collect()) == want
+    assert [r["doc_id"] for r in contamination.without_contaminated(docs, bench).collect()] == [3]
+
+
 def test_contamination_without_items(spark):
     rows, _ = benchmark_case()
     none = spark.createDataFrame([], "item_id long, text string")

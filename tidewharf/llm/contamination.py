@@ -43,8 +43,15 @@ def text_key(docs: DataFrame) -> Column:
 
 
 def build_index(docs: DataFrame) -> Index:
-    """Stores the postings of all words of all texts; no posting leaves the task that reads its text."""
-    rows = docs.select(text_key(docs).alias("t"), terms(F.col("text")).alias("terms"))
+    """Stores the postings of all words of all texts; no posting leaves the task that reads its text.
+
+    Rows repeated in key and text have one text, so their postings are stored once; only they are moved for that.
+    """
+    keyed = docs.select(text_key(docs).alias("t"), "text")
+    repeated = materialized(keyed.groupBy("t").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("t"))
+    once = keyed.join(repeated, "t", "left_anti")
+    again = keyed.join(repeated, "t", "left_semi").dropDuplicates(["t"])
+    rows = once.union(again).select("t", terms(F.col("text")).alias("terms"))
     postings = materialized(
         rows.select("t", F.posexplode("terms").alias("pos", "term")).select("term", "t", "pos").sortWithinPartitions("term")
     )
