@@ -97,6 +97,17 @@ def test_large_group_is_split(spark, monkeypatch):
     assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == Counter(linked(rows, 4, 85))
 
 
+def test_repeated_rows_with_a_near_copy_stay_once_each(spark):
+    rng = random.Random(6)
+    first, second = ([f"{x}{i}" for i in range(80)] for x in "ab")
+    rows = [(1, " ".join(first))] * 3 + [(2, " ".join(edited(rng, first, 1)))]
+    rows += [(None, " ".join(second))] * 2 + [(9, " ".join(edited(rng, second, 1)))]
+    found = jaccard.link_components(frame(spark, rows), 4, 85).collect()
+    want = linked(rows, 4, 85)
+    assert {low for _, _, low in want} == {1, 9}
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found) == Counter(want)
+
+
 def test_one_of_each_group_stays(spark):
     rows = corpus(4)
     docs = frame(spark, rows).withColumn("_row", F.lit("clash")).withColumn("score", F.lit(1))

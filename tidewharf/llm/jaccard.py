@@ -303,7 +303,7 @@ def _linked(docs: DataFrame, words: int, percent: int) -> DataFrame:
     wanted = context.broadcast(_bits(active.select(slot.alias("slot"))))
     whole = rows.select("row", "text", slot.alias("slot")).mapInArrow(
         _members(words, wanted), "row string, low_1 long, low_2 long, tokens array<long>"
-    )
+    ).dropDuplicates(["row"])  # a class enters once, however often its row is repeated
     members = materialized(active.join(whole, "row").drop("row"))
 
     groups = _groups(members, percent)
