@@ -76,6 +76,17 @@ def test_languages_scripts_narrow(spark):
     assert found[1] == "ru" and found[2] == "en" and found[3] in ("en", "ru")
 
 
+def test_languages_of_many_copies_are_learned(spark):
+    rows = [(f"hello world this is text {i % 20}", "en") for i in range(1000)] + [(f"bonjour le monde voici {i}", "fr") for i in range(30)]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    model = languages.train(docs, per_language=20)
+    assert model.allowed[languages.SCRIPTS.index("Latin")].all()
+    test = spark.createDataFrame([(1, "hello this world"), (2, "voici le monde")], "doc_id long, text string")
+    assert {r["doc_id"]: r["lang_pred"] for r in languages.identify(test, model, "doc_id").collect()} == {1: "en", 2: "fr"}
+    once = languages.train(docs.distinct(), per_language=20)
+    assert (model.log_p == once.log_p).all()  # copies change neither the choice nor the counts
+
+
 def test_languages_odd_rows(docs, odd, empty):
     model = languages.train(docs)
     rows = languages.identify(odd, model, "doc_id").collect()

@@ -165,19 +165,21 @@ class Model:
 def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model:
     """N-gram models of the languages in ``lang``.
 
-    Fitted on a sample of about ``per_language`` rows of each language, chosen by a hash of the text; rows
-    without text or language are left out. Languages are few by nature; their counts and at most
+    Fitted on a sample of about ``per_language`` distinct texts of each language, chosen by a hash of the text,
+    each taken once; rows without text or language are left out. Languages are few by nature; their counts and at most
     ``BUCKETS`` sums for each come to the driver.
     """
-    labelled = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    totals = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    labelled = labelled.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select(
+        "text", "lang", F.xxhash64("text").alias("h")
+    )
+    totals = {r["lang"]: r["count"] for r in labelled.select("lang", "h").distinct().groupBy("lang").count().collect()}
     names = sorted(totals)
     if not names:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros((len(SCRIPTS), 0), bool))
     share = F.lit(0.0)
     for name in names:
         share = F.when(F.col("lang") == name, min(1.0, per_language / totals[name])).otherwise(share)
-    sample = labelled.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < share * 1_000_000)
+    sample = labelled.where(F.pmod("h", F.lit(1_000_000)) < share * 1_000_000).dropDuplicates(["lang", "h"]).drop("h")
     counted, cells = _count(names)
     rows = (
         sample.mapInArrow(counted, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
