@@ -68,6 +68,15 @@ def test_languages_viterbi_is_the_best_path():
         assert value(tuple(label[a:b])) == pytest.approx(value(best), abs=1e-4)
 
 
+def test_languages_over_128_names(spark):
+    names = [f"l{i:03}" for i in range(200)]
+    texts = {name: " ".join(f"{chr(97 + i // 26)}{chr(97 + i % 26)}q{x}" for x in "abcdefgh") for i, name in enumerate(names)}
+    rows = spark.createDataFrame([(i, texts[name], name) for i, name in enumerate(names)], "doc_id long, text string, lang string")
+    found = languages.identify(rows.coalesce(1), languages.train(rows), "doc_id").collect()
+    assert {r["doc_id"]: r["lang_pred"] for r in found} == dict(enumerate(names))
+    assert all([s["lang"] for s in r["spans"]] == [names[r["doc_id"]]] for r in found)
+
+
 def test_languages_scripts_narrow(spark):
     rows = [(i, "привет мир это текст", "ru") for i in range(20)] + [(i + 20, "hello world this is text", "en") for i in range(20)]
     model = languages.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))

@@ -195,14 +195,15 @@ def train(labelled: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model
 
 def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np.ndarray:
     """The best label of each word; all texts advance together, word by word."""
-    label = np.zeros(len(scores), np.int8)
+    kind = np.min_scalar_type(-max(scores.shape[1], 1))  # the smallest signed type that holds every label
+    label = np.zeros(len(scores), kind)
     length = np.diff(first)
     order = np.argsort(-length, kind="stable")
     start, left = first[:-1][order], length[order]
     longest = int(left[0]) if len(left) else 0
     active = np.searchsorted(-left, -np.arange(longest), side="left")  # texts with more than t words
-    back = np.empty(scores.shape, np.int8)
-    own = np.arange(scores.shape[1], dtype=np.int8)
+    back = np.empty(scores.shape, kind)
+    own = np.arange(scores.shape[1], dtype=kind)
     state = np.zeros((len(left), scores.shape[1]), np.float32)
     for t in range(longest):
         n = active[t]
@@ -213,7 +214,7 @@ def viterbi(scores: np.ndarray, first: np.ndarray, switch: float = SWITCH) -> np
             back[at] = np.where(change > now, best[:, None], own)
             np.maximum(now, change, out=now)
         now += scores[at]
-    tag = state.argmax(axis=1).astype(np.int8)
+    tag = state.argmax(axis=1).astype(kind)
     for t in range(longest - 1, -1, -1):
         n = active[t]
         at = start[:n] + t
