@@ -64,6 +64,18 @@ def test_warc_members_and_framing():
     assert [r["verified"] for r in warc.read_records(io.BytesIO(wrong))] == [False]
 
 
+def test_warc_url_of_megabytes(spark):
+    url = "data:text/html," + "ab c" * 1_000_000
+    rows = [(1, url, LONG), (2, "u", "short"), (3, url, LONG)]
+    found = warc.read(warc.write(spark.createDataFrame(rows, PAGES), new_folder(spark, "warc")), payloads=True).collect()
+    by = {r["page_id"]: r for r in found}
+    assert len(found) == 3 and all(r["verified"] for r in found)
+    assert by[1]["target_uri"] == by[3]["target_uri"] == url.replace(" ", "%20")
+    assert by[1]["payload"] == LONG.encode() and by[3]["refers_to"] == 1 and by[2]["payload"] == b"short"
+    with pytest.raises(ValueError):
+        list(warc.read_records(io.BytesIO(gzip.compress(b"WARC/1.1\r\nno end"))))
+
+
 def ruling(url, rules=urls.RULES):
     rest = url.split("://", 1)[1] if url and "://" in url else ""
     host = re.split("[/?#]", rest, maxsplit=1)[0]

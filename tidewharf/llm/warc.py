@@ -149,20 +149,17 @@ class Members:
         out, self.ready = self.ready[:n], self.ready[n:]
         return out
 
-    def head(self, limit: int = 1 << 20) -> bytes:
-        """Bytes up to an empty line, which is consumed."""
-        while b"\r\n\r\n" not in self.ready:
-            if len(self.ready) > limit or not self._more_after():
+    def head(self) -> bytes:
+        """Bytes up to an empty line, which is consumed. Only the member's end bounds a head, as urls are of any length."""
+        pieces, edge = [], b""
+        while (at := (piece := edge + self.ready).find(b"\r\n\r\n")) < 0:
+            cut = max(len(piece) - 3, 0)  # the empty line may lie across pieces
+            pieces.append(piece[:cut])
+            edge, self.ready = piece[cut:], b""
+            if not self._more():
                 raise ValueError("a record's head has no end")
-        out, _, self.ready = self.ready.partition(b"\r\n\r\n")
-        return out
-
-    def _more_after(self) -> bool:
-        before = self.ready
-        self.ready = b""
-        more = self._more()
-        self.ready = before + self.ready
-        return more
+        self.ready = piece[at + 4 :]
+        return b"".join([*pieces, piece[:at]])
 
 
 def fields(head: bytes) -> dict[str, str]:
@@ -236,7 +233,7 @@ def read(archives: DataFrame, payloads: bool = False, rows_at_once: int = 256) -
                             continue
                         row = (_number(r["id"]), r["kind"], r["uri"], r["size"], r["digest"], _number(r["refers"]), r["verified"], archive)
                         rows.append(row + (r["payload"],) * payloads)
-                        held += len(r["payload"] or b"")
+                        held += len(r["payload"] or b"") + len(r["uri"] or "")
                         if len(rows) >= rows_at_once or held > 16 << 20:
                             yield packed(rows)
                             rows, held = [], 0
