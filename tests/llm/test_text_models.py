@@ -247,6 +247,16 @@ def test_licenses_edits_and_repeats(spark, odd, empty):
     assert licenses.scan(odd).count() == 0 and licenses.scan(empty).count() == 0
 
 
+def test_licenses_many_notices_side_by_side(spark):
+    credit, mit = "Photo by Ann Lee. Licensed under CC BY-NC 4.0. ", "Released under the MIT License. "
+    texts = [credit * 500, (mit + "see it ") * 40, mit + "as the MIT License says; " * 3 + mit, mit * 30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [(r["doc_id"], r["license"], r["first_word"], r["coverage"]) for r in licenses.scan(df).collect() if r["coverage"] == 1]
+    want = [(0, "CC-BY-NC-4.0", 11 * i + 4, 1) for i in range(500)] + [(1, "MIT", 7 * i, 1) for i in range(40)]
+    want += [(2, "MIT", 0, 1), (2, "MIT", 5 + 3 * 5, 1)] + [(3, "MIT", 5 * i, 1) for i in range(30)]
+    assert sorted(found) == want
+
+
 def test_licenses_winnowing_guarantee():
     import numpy as np
 

@@ -94,21 +94,21 @@ def align(template: np.ndarray, part: np.ndarray, middle: int, band: int) -> tup
     width = 2 * band + 1
     score = np.zeros((len(template) + 1, width + 1), np.int64)
     step = np.zeros((len(template) + 1, width + 1), np.int8)
-    top, end = 0, (0, 0)
+    top, end, across = 0, (0, 0), np.arange(width)
     for i in range(1, len(template) + 1):
-        for k in range(width):
-            j = i + middle + k - band  # words of part, counted from 1
-            if not 1 <= j <= len(part):
-                continue
-            same = template[i - 1] == part[j - 1]
-            options = [
-                (0, 0), (score[i - 1, k] + (2 if same else -1), 1), (score[i - 1, k + 1] - 1, 2),
-                ((score[i, k - 1] if k else 0) - 1, 3),
-            ]
-            value, how = max(options, key=lambda o: (o[0], -o[1]))
-            score[i, k], step[i, k] = value, how
-            if value > top:
-                top, end = value, (i, k)
+        j = i + middle + across - band  # words of part, counted from 1
+        a, b = np.searchsorted(j, (1, len(part) + 1))
+        if a == b:
+            continue
+        diagonal = score[i - 1, a:b] + np.where(part[j[a:b] - 1] == template[i - 1], 2, -1)
+        above = score[i - 1, a + 1 : b + 1] - 1
+        best = np.maximum(np.maximum(diagonal, above), 0)
+        value = np.maximum.accumulate(best + across[a:b]) - across[a:b]  # steps along the row cost 1 each
+        score[i, a:b] = value
+        step[i, a:b] = np.select([value == 0, value == diagonal, value == above], [0, 1, 2], 3)
+        k = a + int(value.argmax())
+        if score[i, k] > top:
+            top, end = score[i, k], (i, k)
     i, k = end
     matched, first, last = 0, -1, -1
     while i > 0 and step[i, k]:
@@ -137,20 +137,45 @@ def matches(words: np.ndarray, index: Index, band: int, least: float) -> list[tu
     which, diagonal = index.which[entry], at - index.place[entry]
     found = []
     for t in np.unique(which):
-        template = index.words[t]
-        covered = -1
-        lines = np.unique(diagonal[which == t])
-        group = np.concatenate(([0], np.cumsum(np.diff(lines) > band)))
-        for g in range(int(group[-1]) + 1):
-            own = lines[group == g]
-            begin = max(int(own[0]) - band, 0)
-            stop = min(int(own[-1]) + len(template) + band, len(words))
-            middle = int(own[len(own) // 2]) - begin
-            reach = max(band, int(own[-1] - own[0]))
-            matched, first, last = align(template, words[begin:stop], middle, reach)
-            if matched >= least * len(template) and begin + first > covered:
-                found.append((int(t), matched, begin + first, begin + last))
-                covered = begin + last
+        own = np.flatnonzero(which == t)
+        own = own[np.argsort(diagonal[own], kind="stable")]
+        gram = min(index.gram, len(words))
+        places = occurrences(index.words[t], words, at[own], diagonal[own], 0, len(words), gram, band, least)
+        found += [(int(t), *place) for place in places]
+    return found
+
+
+def occurrences(template: np.ndarray, words: np.ndarray, at: np.ndarray, line: np.ndarray, low: int, high: int,
+                gram: int, band: int, least: float) -> list[tuple[int, int, int]]:
+    """``(matched, first, last)`` of the template's occurrences inside words ``low`` to ``high``, from the left.
+
+    ``at`` are the places of shared grams and ``line`` their diagonals, ascending. Diagonals that follow each
+    other within ``band``, over no more words than an alignment can skip, are aligned together; after a
+    match the words before it and behind it are searched, without one the next diagonal begins.
+    """
+    found, i, spread = [], 0, max(band, 2 * len(template))
+    while i < len(line):
+        if not low <= at[i] <= high - gram:
+            i += 1
+            continue
+        stop = i + int(np.searchsorted(line[i:], line[i] + spread, side="right"))
+        inside = line[i:stop][(at[i:stop] >= low) & (at[i:stop] <= high - gram)]
+        apart = np.flatnonzero(np.diff(inside) > band)
+        lines = np.unique(inside[: apart[0] + 1] if len(apart) else inside)
+        begin = max(int(lines[0]) - band, low)
+        part = words[begin : min(int(lines[-1]) + len(template) + band, high)]
+        matched = 0
+        if np.count_nonzero(np.isin(template, part)) >= least * len(template):
+            reach = max(band, int(lines[-1] - lines[0]))
+            matched, first, last = align(template, part, int(lines[len(lines) // 2]) - begin, reach)
+        if matched and matched >= least * len(template):
+            first, last = begin + first, begin + last
+            until = i + int(np.searchsorted(line[i:], first, side="left"))
+            found += occurrences(template, words, at[i:until], line[i:until], low, first, gram, band, least)
+            found.append((matched, first, last))
+            low = last + 1
+        else:
+            i += int(np.searchsorted(line[i:], line[i], side="right"))
     return found
 
 
@@ -161,7 +186,7 @@ def scan(docs: DataFrame, key: str | Column = "doc_id", templates: Sequence[tupl
     One row for each occurrence of a template of which at least the share ``least`` is matched; words are
     runs of letters and digits, counted from 0, with A to Z lower-cased. Null and empty texts have none;
     repeated rows are reported for each. A winnowed index finds every shared run of ``gram`` + ``window`` - 1
-    words. Notices that repeat side by side within ``band`` words count once.
+    words. Notices side by side each have a row, however near; spans of one template do not overlap.
     """
     index = docs.sparkSession.sparkContext.broadcast(Index(templates, gram, window))
     inner = docs.select(F.col(key).alias("k") if isinstance(key, str) else key.alias("k"), "text")
