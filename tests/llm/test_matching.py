@@ -208,3 +208,12 @@ def test_phrases_and_proximity(spark):
     assert [(key[r["t"]], r["start"], r["size"]) for r in contamination.phrase_matches(index, wins).collect()] == [(1, 1, 4)]
     near = {key[r["t"]] for r in contamination.proximity_matches(index, wins, slop=2).collect()}
     assert {1, 2} <= near and 4 not in near
+
+
+def test_proximity_passes_over_absent_terms(spark):
+    words = [f"p{i}" for i in range(13)]
+    index = contamination.build_index(frame(spark, [(1, " ".join([*words[:6], "edited", *words[7:]])), (2, "p0 p1")]))
+    wins, _ = contamination.windows(spark.createDataFrame([(1, " ".join(words))], "item_id long, text string"))
+    assert contamination.phrase_matches(index, wins).count() == 0
+    near = contamination.proximity_matches(index, wins).join(index.texts, "t").collect()
+    assert near and {(r["doc_id"], r["n_near"]) for r in near} == {(1, 3)}

@@ -76,14 +76,17 @@ def windows(items: DataFrame, length: int = WINDOW) -> tuple[DataFrame, DataFram
 
 
 def _ranked(index: Index, wins: DataFrame) -> DataFrame:
-    """``(w, term, place, turn, size)``: the terms of every window from the rarest in the index to the commonest."""
+    """``(w, term, place, turn, size, absent)``: a window's terms in the index from the rarest to the commonest.
+
+    ``absent`` tells that the index lacks a term of the window.
+    """
     each = wins.select("w", F.size("terms").alias("size"), F.posexplode("terms").alias("place", "term"))
     asked = materialized(each.select("term").distinct())
     found = materialized(index.postings.join(asked, "term").groupBy("term").agg(F.count(F.lit(1)).alias("df")))
     turn = F.row_number().over(Window.partitionBy("w").orderBy("df", "place"))
     absent = F.count("df").over(Window.partitionBy("w")) < F.col("size")
-    known = each.join(found, "term", "left").withColumn("absent", absent).where(~F.col("absent"))
-    return materialized(known.select("w", "term", "place", turn.alias("turn"), "size"))
+    known = each.join(found, "term", "left").withColumn("absent", absent).where("df is not null")
+    return materialized(known.select("w", "term", "place", turn.alias("turn"), "size", "absent"))
 
 
 def phrase_matches(index: Index, wins: DataFrame) -> DataFrame:
@@ -91,7 +94,7 @@ def phrase_matches(index: Index, wins: DataFrame) -> DataFrame:
 
     A window with a term that the index lacks is dropped at once.
     """
-    ranked = _ranked(index, wins)
+    ranked = _ranked(index, wins).where("not absent")
     first = F.col("pos") - F.col("place")
     step = ranked.where("turn = 1").select("w", "term", "place", "size")
     found = materialized(index.postings.join(step, "term").select("w", "t", first.alias("start"), "size").where("start >= 0"))
@@ -117,7 +120,8 @@ def proximity_matches(index: Index, wins: DataFrame, slop: int = 8, terms_needed
     """``(w, t, start, n_near)``: places where a window's rarest terms stand close together, in any order.
 
     Around each posting of the rarest term, the next ``terms_needed`` - 1 terms count as near if they are at
-    most ``slop`` words off their place in the window. Windows of fewer terms need all of them.
+    most ``slop`` words off their place in the window. Windows of fewer terms need all of them. Terms that the
+    index lacks are passed over.
     """
     ranked = _ranked(index, wins).where(F.col("turn") <= terms_needed)
     lists = index.postings.join(ranked, "term").select("w", "t", (F.col("pos") - F.col("place")).alias("start"), "turn", "size")
