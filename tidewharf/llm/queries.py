@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tidewharf.functions.scratch import new_folder
 from tidewharf.llm import (
-    contamination, divergence, jaccard, languages, licenses, mixing, quality_model, statements, tokens, urls, warc,
+    collocations, contamination, divergence, fim, jaccard, languages, licenses, mixing, quality_model, simhash, statements, tokens,
+    urls, warc,
 )
 
 
@@ -74,6 +75,23 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, folder, "documents")).select("doc_id", "fingerprint", "component_id")
+
+
+def op12_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    cut = fim.transform(table(spark, folder, "documents"), "doc_id")
+    return cut.select(
+        "doc_id", "n", "form", F.col("prefix_units").alias("prefix_chars"), F.col("middle_units").alias("middle_chars"),
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(fim.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+def op13_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    found = collocations.collocations(table(spark, folder, "documents"))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mixing": op1_mixing,
     "op2_license_scan": op2_license_scan,
@@ -85,10 +103,15 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_warc": op9_warc,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_simhash": op11_simhash,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_collocations": op13_collocations,
 }
 LLM_STATEMENTS: dict[str, str] = {
     "op1_mixing": statements.MIXING,
     "op7_jaccard_join": statements.JACCARD,
     "op9_warc": statements.WARC,
     "op8_decontamination": statements.DECONTAMINATION,
+    "op12_fill_in_middle": statements.FILL_IN_MIDDLE,
+    "op13_collocations": statements.COLLOCATIONS,
 }

@@ -109,3 +109,60 @@ WITH RECURSIVE doc AS (
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
 FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
+
+FILL_IN_MIDDLE = r"""
+WITH doc AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents
+), draw AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n, CAST('0x' || substr(d, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(d, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(d, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(d, 25, 8) AS BIGINT) AS h4
+  FROM doc
+), cut AS (
+  SELECT doc_id, t, n, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM draw
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t
+    WHEN 'psm' THEN '<P>' || substring(t, 1, a) || '<S>' || substring(t, b + 1) || '<M>' || substring(t, a + 1, b - a)
+    ELSE '<S>' || substring(t, b + 1) || '<P>' || substring(t, 1, a) || '<M>' || substring(t, a + 1, b - a) END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+
+COLLOCATIONS = r"""
+WITH piece AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+  FROM documents WHERE text IS NOT NULL
+), seq AS (
+  SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM piece
+), total AS (
+  SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM seq GROUP BY lang
+), gram AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(list_slice(w, i, i + k - 1), ' '))) AS phrase
+  FROM seq, (SELECT unnest([1, 2, 3, 4]) AS k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, CAST(count(*) AS BIGINT) AS c FROM gram GROUP BY ALL HAVING count(*) >= 30
+), cand AS (
+  SELECT lang, k, phrase, c AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1
+), cuts AS (
+  SELECT lang, phrase, a, cut, array_to_string(list_slice(w, 1, cut), ' ') AS first, array_to_string(list_slice(w, cut + 1, k), ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM cand)
+), scored AS (
+  SELECT cuts.*, x.c AS l, y.c AS r, CAST((2000000 * CAST(a AS HUGEINT)) // (CAST(x.c AS HUGEINT) + y.c) AS BIGINT) AS score
+  FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = cuts.first JOIN f y ON y.lang = cuts.lang AND y.phrase = cuts.rest
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, sub, max(a) AS longer FROM (
+    SELECT lang, a, unnest(list_transform(range(1, k - s + 2), lambda i: array_to_string(list_slice(w, i, i + s - 1), ' '))) AS sub
+    FROM cand, (SELECT unnest([2, 3]) AS s) WHERE s < k
+  ) GROUP BY lang, sub
+)
+SELECT best.lang, row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM best JOIN total ON total.lang = best.lang LEFT JOIN inside ON inside.lang = best.lang AND inside.sub = best.phrase
+WHERE longer IS NULL OR 100 * CAST(longer AS HUGEINT) < 80 * CAST(a AS HUGEINT)
+QUALIFY row_number() OVER (PARTITION BY best.lang ORDER BY score DESC, a DESC, encode(phrase)) <= 2000
+"""
