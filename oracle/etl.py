@@ -192,6 +192,36 @@ def union(parts):
     return "\nUNION ALL\n".join(parts)
 
 
+# The CSV files: malformed lines are set aside, and keys are text, which orders repeated rows in another way.
+BROKEN = {
+    "products": "product_id % 97 = 0", "warehouses": "capacity_units % 1000 = 7 AND warehouse_id % 4 = 1",
+    "suppliers": "supplier_id % 89 = 0", "product_suppliers": "product_id % 83 = 0", "inventory": "product_id % 101 = 0",
+    "orders": "product_id % 103 = 0", "logistics": "delay_days = 3", "demand_history": "product_id % 79 = 0",
+}
+ONE = {
+    "products": ("t_one_product", PRODUCTS), "warehouses": ("t_one_warehouse", WAREHOUSES), "suppliers": ("t_one_supplier", SUPPLIERS),
+    "product_suppliers": ("t_ok_pairs", PAIRS), "inventory": ("t_one_stock", STOCK), "orders": ("t_one_order", ORDERS),
+    "logistics": ("t_one_ship", LOGISTICS), "demand_history": ("t_one_demand", DEMAND),
+}
+TEXT_KEYS = "product_id warehouse_id supplier_id origin_warehouse".split()
+CSV_CLEAN = {}
+for t, (one, names) in ONE.items():
+    text = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in TEXT_KEYS if c in names)
+    replaced = f"* REPLACE ({text})" if text else "*"
+    CTES[f"t_csv_{t}"] = f"SELECT {replaced} FROM {RAW[t]} WHERE NOT COALESCE({BROKEN[t]}, FALSE)"
+    CTES[f"t_csv_one_{t}"] = first_row(f"t_csv_{t}", names, KEYS[t])
+    CSV_CLEAN[t] = f"t_csv_one_{t}"
+    if one != "t_ok_pairs":
+        ok = "t_ok_stock" if t == "inventory" else CLEAN[t]
+        CTES[f"t_csv_ok_{t}"] = CTES[ok].replace(one, f"t_csv_one_{t}")
+        CSV_CLEAN[t] = f"t_csv_ok_{t}"
+CTES["t_csv_totals"] = "SELECT " + ", ".join(
+    "(" + " + ".join(f"(SELECT COUNT(*) FROM {source(t)})" for t in TABLES) + f") AS {name}"
+    for name, source in (
+        ("accepted", lambda t: f"t_csv_{t}"), ("rejected", lambda t: f"{RAW[t]} WHERE {BROKEN[t]}"), ("loaded", lambda t: CSV_CLEAN[t]),
+    )
+)
+
 LEAD = """SELECT o.*, lead_time_days AS contracted_lead_time, delivery_date - order_date AS actual_lead_time,
   delivery_date - order_date - lead_time_days AS lead_time_variance"""
 LEAD_NAMES = [*ORDERS, "contracted_lead_time", "actual_lead_time", "lead_time_variance"]
@@ -240,7 +270,18 @@ BODIES = {
         [*STOCK, "inventory_value", "days_of_inventory", "inventory_turnover", "stock_status"],
         ["inventory_value", "days_of_inventory", "inventory_turnover"],
     ),
-    "etl_run": union(f"SELECT '{t}' AS table_name, COUNT(*) AS rows_loaded FROM {CLEAN[t]}" for t in TABLES),
+    "etl_run": union(f"SELECT '{t}' AS table_name, COUNT(*) AS rows_loaded FROM {CSV_CLEAN[t]}" for t in TABLES),
+    "src_csv_quarantine": union(
+        f"""SELECT '{t}' AS table_name, COUNT(*) FILTER (WHERE NOT COALESCE({BROKEN[t]}, FALSE)) AS accepted,
+        COUNT(*) FILTER (WHERE {BROKEN[t]}) AS rejected FROM {RAW[t]}""" for t in TABLES
+    ),
+    "etl_resume": f"""SELECT 'supply_chain_etl' AS pipeline_name, stage, status, {big('done')} AS records_processed,
+        {big('lost')} AS records_failed, error_message FROM (
+          SELECT 'extract' AS stage, 'success' AS status, accepted AS done, rejected AS lost, CAST(NULL AS VARCHAR) AS error_message
+            FROM t_csv_totals
+          UNION ALL SELECT 'transform', 'failed', 0, 0, 'ConnectionError: the connection was lost'
+          UNION ALL SELECT 'transform', 'success', loaded, accepted - loaded, NULL FROM t_csv_totals
+          UNION ALL SELECT 'load', 'success', loaded, 0, NULL FROM t_csv_totals)""",
     "dq_unique": union(
         f"""SELECT '{t}' AS table_name, '{', '.join(KEYS[t])}' AS key_columns, COUNT(*) AS duplicated_keys,
         {big('COALESCE(SUM(n - 1), 0)')} AS surplus_rows
@@ -275,17 +316,17 @@ BODIES |= {
     "src_csv": f"SELECT {CSV_ORDER} FROM t_raw_orders",
     "src_sql": f"""SELECT customer_region, COUNT(*) AS order_count, {dbl('SUM(total_amount)')} AS revenue FROM t_orders
         WHERE order_status = 'Delivered' AND quantity >= 10 GROUP BY customer_region""",
-    "sink_csv": union(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {CLEAN[t]}" for t in ("products", "suppliers", "warehouses")),
+    "sink_csv": union(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {CLEAN[t]}" for t in TABLES),
     "sink_append": union(["SELECT supplier_id, supplier_name, lead_time_days FROM t_suppliers"] * 2),
     "sink_full_reload": "SELECT order_id, order_status, quantity FROM t_orders WHERE order_status = 'Delivered'",
-    "sink_project_schema": plain("t_orders", ORDERS, O_OUT),
+    "sink_project_schema": f"SELECT {CSV_ORDER} FROM t_orders",
     "sink_snapshot_replace": "SELECT * REPLACE (DATE '2001-08-01' AS calculation_date) FROM t_kpi_service",
     "sink_range_replace": f"""SELECT product_id, demand_date, CASE WHEN demand_date >= DATE '2000-01-01' THEN demand * 2 ELSE demand END AS demand
         FROM ({DEMAND_DAY})""",
     "sink_metrics_json": "SELECT *, TRUE AS is_best FROM t_scores",
     "sink_audit": union(
         f"""SELECT 'supply_chain_etl' AS pipeline_name, 'extract_{t}' AS stage, COUNT(*) AS records_processed, 0::BIGINT AS records_failed,
-        'success' AS status, 1.5::DOUBLE AS duration_seconds FROM {RAW[t]}""" for t in ("orders", "products")
+        'success' AS status, 1.5::DOUBLE AS duration_seconds FROM {RAW[t]}""" for t in TABLES
     ),
 }
 

@@ -1,12 +1,16 @@
 import datetime
+import glob
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import day
+from tidewharf.operators import clean
 from tidewharf.plans import flow
-from tidewharf.schemas import STORED
-from tidewharf.sources import sinks
+from tidewharf.plans.ledger import Ledger, Outcome
+from tidewharf.schemas import RAW, SOURCE_TABLES, STORED
+from tidewharf.sources import files, sinks, versions
 from tidewharf.sources.tables import stored_tables
 
 
@@ -58,8 +62,8 @@ def test_projection_casts_and_is_complete(spark):
 def test_reload_may_read_its_own_table(spark, tmp_path):
     path = f"{tmp_path}/t"
     assert sinks.reload(spark.range(10), path) == 10
-    assert sinks.reload(spark.read.parquet(path).filter("id < 3"), path) == 3
-    assert spark.read.parquet(path).count() == 3
+    assert sinks.reload(sinks.read(spark, path).filter("id < 3"), path) == 3
+    assert sinks.read(spark, path).count() == 3
 
 
 def test_append_counts_rows_and_projection_drops_helpers(spark, cleaned, tmp_path):
@@ -83,7 +87,7 @@ def test_load_then_kpis(spark, raw, cleaned, tmp_path):
     counts = flow.load_tables(spark, raw, folder)
     assert counts["orders"] == 5 and counts["products"] == 3
     assert flow.load_tables(spark, raw, folder) == counts
-    stored = spark.read.parquet(f"{folder}/inventory")
+    stored = sinks.read(spark, f"{folder}/inventory")
     same = cleaned["inventory"].select(stored.columns)
     assert sorted(map(str, stored.collect())) == sorted(map(str, same.collect()))
     t = stored_tables(spark, folder)
@@ -91,4 +95,122 @@ def test_load_then_kpis(spark, raw, cleaned, tmp_path):
         flow.run_kpis(t, folder, day("2024-03-31"))
     assert spark.read.parquet(f"{folder}/kpi_executive").count() == 1
     assert spark.read.parquet(f"{folder}/kpi_service").count() == 2
-    assert spark.read.parquet(f"{folder}/etl_audit_log").count() == 2
+    log = spark.read.parquet(f"{folder}/etl_audit_log").groupBy("stage").count()
+    assert {r["stage"]: r["count"] for r in log.collect()} == {"extract": 2, "transform": 2, "load": 2}
+    dropped = {r["table_name"]: r for r in sinks.read(spark, f"{folder}/etl_drop_stats").collect()}
+    for name in raw:
+        before, after = raw[name].count(), cleaned[name].count()
+        row = dropped[name]
+        assert (row["rows_before"], row["rows_after"], row["rows_dropped"]) == (before, after, before - after)
+        assert row["repeated_keys"] + row["missing_values"] == row["rows_dropped"]
+
+
+def part_files(path):
+    return {os.path.relpath(f, path) for f in glob.glob(f"{path}/*/*.parquet")}
+
+
+def test_reader_sees_one_version_throughout_a_reload(spark, tmp_path):
+    path = f"{tmp_path}/v"
+    sinks.reload(spark.range(10), path)
+    reader = sinks.read(spark, path)
+    staged = versions.stage(spark.range(100, 103), path)
+    assert sinks.read(spark, path).count() == 10  # written, but not the table yet
+    versions.commit(spark, path, staged)
+    assert reader.count() == 10 and sinks.read(spark, path).count() == 3
+    versions.commit(spark, path, staged)  # again, as after an interruption
+    assert len(versions.numbers(spark, path)) == 2
+    sinks.reload(spark.range(1), path)
+    assert len(versions.numbers(spark, path)) == versions.KEEP and sinks.read(spark, path).count() == 1
+    assert len(glob.glob(f"{path}/data-*")) == versions.KEEP
+
+
+def test_interrupted_reload_leaves_the_old_version(spark, tmp_path):
+    path = f"{tmp_path}/v"
+    sinks.reload(spark.range(10), path)
+    with pytest.raises(Exception):
+        sinks.reload(spark.range(5).selectExpr("id", "raise_error('lost')"), path)
+    versions.stage(spark.range(7), path)  # the writer went before its commit
+    versions.put_text(spark, f"{path}/{versions.MANIFESTS}/000000000002.json", '{"folder": "data-')  # or during it
+    assert sinks.read(spark, path).count() == 10
+    assert versions.vacuum(spark, path) and sinks.read(spark, path).count() == 10
+    assert sinks.reload(spark.range(4), path) == 4 and sinks.read(spark, path).count() == 4
+
+
+def test_late_writer_is_told(spark, tmp_path):
+    path = f"{tmp_path}/v"
+    sinks.reload(spark.range(1), path)
+    versions.put_text(spark, f"{path}/{versions.MANIFESTS}/000000000002.json", "{}")
+    with pytest.raises(Exception):
+        versions.put_text(spark, f"{path}/{versions.MANIFESTS}/000000000002.json", "{}")
+
+
+def test_range_replace_touches_its_months_only(spark, tmp_path):
+    path = f"{tmp_path}/m"
+    rows = [(day(f"2024-{m:02}-{d:02}"), m) for m in (1, 2, 3, 4) for d in (5, 20)] + [(None, 9)]
+    sinks.write_months(frame(spark, rows), path, "d")
+    before = part_files(path)
+    new = [(day("2024-02-10"), 20), (day("2024-04-20"), 40), (day("2024-02-06"), 99)]
+    assert sinks.replace_from(frame(spark, new), path, "d", day("2024-02-10")) == 3
+    want = [("2024-01-05", 1), ("2024-01-20", 1), ("2024-02-05", 2), ("2024-02-10", 20), ("2024-04-20", 40), ("None", 9)]
+    for _ in range(2):
+        assert values(spark, path) == want and sinks.read(spark, path).columns == ["d", "v"]
+        kept = {f for f in before if "2024-01" in f or "HIVE" in f}
+        assert kept and kept < part_files(path) and not (before - kept) & part_files(path)
+        sinks.replace_from(frame(spark, new), path, "d", day("2024-02-10"))
+    sinks.replace_from(frame(spark, []), path, "d", day("2024-01-20"))
+    assert values(spark, path) == [("2024-01-05", 1), ("None", 9)]
+
+
+def test_failed_stage_is_recorded_and_the_rerun_skips_what_is_done(spark, tmp_path):
+    ran, broken = [], [True]
+
+    def one(notes):
+        ran.append("one")
+        return Outcome(5, 1, {"x": 7})
+
+    def two(notes):
+        ran.append("two")
+        if broken:
+            raise OSError("disk is full")
+        return Outcome(notes["one"]["x"])
+
+    ledger = Ledger(spark, str(tmp_path), "p", "night")
+    with pytest.raises(OSError):
+        ledger.run_all([("one", one), ("two", two)])
+    broken.clear()
+    assert Ledger(spark, str(tmp_path), "p", "night").run_all([("one", one), ("two", two)]) == {"one": {"x": 7}, "two": {}}
+    assert ran == ["one", "two", "two"]
+    log = spark.read.parquet(f"{tmp_path}/etl_audit_log").orderBy("completed_at").collect()
+    assert [(r["stage"], r["status"], r["records_processed"], r["records_failed"], r["error_message"]) for r in log] == [
+        ("one", "success", 5, 1, None), ("two", "failed", 0, 0, "OSError: disk is full"), ("two", "success", 7, 0, None),
+    ]
+    versions.delete(spark, f"{tmp_path}/_runs/night/two.json")
+    versions.put_text(spark, f"{tmp_path}/_runs/night/two.json", "{")  # stopped while it was written
+    assert ledger.finished("two") is None
+
+
+def test_malformed_csv_lines_are_set_aside(spark, raw, cleaned, tmp_path):
+    folder, out = f"{tmp_path}/csv", f"{tmp_path}/out"
+    for name in SOURCE_TABLES:
+        columns = [c if c in raw[name].columns else f"cast(null as string) as {c}" for c in RAW[name].fieldNames()]
+        sinks.write(raw[name].selectExpr(*columns), f"{folder}/{name}.csv", "csv")
+    bad = ["P9,no price,c,s,cheap,2,1,true", "P8,too,few", "P7,x,c,s,1,2,1,true,and,more"]
+    with open(f"{folder}/products.csv/more.csv", "w") as more:
+        more.write("\n".join(["product_id,product_name,category,subcategory,unit_cost,selling_price,weight_kg,is_active", *bad]) + "\n")
+    source = files.extract(spark, folder)
+    counts = flow.load_tables(spark, source, out, run="first")
+    assert counts == {name: cleaned[name].count() for name in SOURCE_TABLES}
+    aside = flow.rejected_rows(spark, source, out, "first")
+    assert sorted(r["_corrupt"] for r in aside["products"].collect()) == sorted(bad)
+    assert all(df.count() == 0 for name, df in aside.items() if name != "products")
+    log = {r["stage"]: r for r in spark.read.parquet(f"{out}/etl_audit_log").collect()}
+    assert log["extract"]["records_failed"] == 3 and log["load"]["records_processed"] == sum(counts.values())
+    assert flow.load_tables(spark, {}, out, run="first") == counts  # all is done
+
+
+def test_steps_read_the_source_once(spark, raw):
+    steps = clean.Steps()
+    df = clean.clean_orders(raw["orders"], steps)
+    assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+    df.write.format("noop").mode("overwrite").save()
+    assert steps.rows()["read"] == raw["orders"].count() and steps.rows()["complete"] == df.count()

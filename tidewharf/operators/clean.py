@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -30,6 +30,28 @@ def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.dropna(subset=list(columns))
 
 
+class Steps:
+    """Counts of the rows between the steps of a cleaning, taken by the run that writes the table."""
+
+    def __init__(self):
+        self._seen: dict[str, Observation] = {}
+
+    def counted(self, df: DataFrame, step: str) -> DataFrame:
+        self._seen[step] = Observation(step)
+        return df.observe(self._seen[step], F.count(F.lit(1)).alias("rows"))
+
+    def rows(self) -> dict[str, int]:
+        """Rows read, left without repeated keys (``unique``), and left with the required values (``complete``)."""
+        return {step: seen.get["rows"] for step, seen in self._seen.items()}
+
+
+def _kept(raw: DataFrame, keys: Sequence[str], required: Sequence[str], steps: Steps | None) -> DataFrame:
+    """One row per key, with the required values."""
+    count = steps.counted if steps else lambda df, step: df
+    df = count(dedupe(count(raw, "read"), keys), "unique")
+    return count(require(df, required) if required else df, "complete")
+
+
 def fill(value: Column, default, kind: str | None = None) -> Column:
     default = default if isinstance(default, Column) else F.lit(default)
     out = F.coalesce(value, default)
@@ -61,11 +83,8 @@ def lookup(df: DataFrame, dimension: DataFrame, key: str, dimension_key: str, **
 # --------------------------------------------------------------------------- tables
 
 
-def clean_products(raw: DataFrame) -> DataFrame:
-    df = require(
-        dedupe(raw, ["product_id"]),
-        ["product_id", "product_name", "category", "unit_cost", "selling_price"],
-    )
+def clean_products(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
+    df = _kept(raw, ["product_id"], ["product_id", "product_name", "category", "unit_cost", "selling_price"], steps)
     df = df.withColumn("unit_cost", cap(F.col("unit_cost"), low=0).cast("decimal(12,2)"))
     return df.withColumns({
         "selling_price": cap(F.col("selling_price"), low=F.col("unit_cost")).cast("decimal(12,2)"),
@@ -73,16 +92,16 @@ def clean_products(raw: DataFrame) -> DataFrame:
     })
 
 
-def clean_warehouses(raw: DataFrame) -> DataFrame:
-    df = require(dedupe(raw, ["warehouse_id"]), ["warehouse_id", "location", "capacity_units"])
+def clean_warehouses(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
+    df = _kept(raw, ["warehouse_id"], ["warehouse_id", "location", "capacity_units"], steps)
     return df.withColumns({
         "capacity_units": cap(F.col("capacity_units"), low=1),
         "current_utilization": cap(F.col("current_utilization"), 0, 1).cast("decimal(5,2)"),
     })
 
 
-def clean_suppliers(raw: DataFrame) -> DataFrame:
-    df = require(dedupe(raw, ["supplier_id"]), ["supplier_id", "supplier_name", "lead_time_days"])
+def clean_suppliers(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
+    df = _kept(raw, ["supplier_id"], ["supplier_id", "supplier_name", "lead_time_days"], steps)
     return df.withColumns({
         "lead_time_days": cap(F.col("lead_time_days"), low=0),
         "reliability_score": cap(F.col("reliability_score"), 0, 100).cast("decimal(5,2)"),
@@ -90,20 +109,20 @@ def clean_suppliers(raw: DataFrame) -> DataFrame:
     })
 
 
-def clean_product_suppliers(raw: DataFrame) -> DataFrame:
-    return dedupe(raw, ["product_id", "supplier_id"])
+def clean_product_suppliers(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
+    return _kept(raw, ["product_id", "supplier_id"], [], steps)
 
 
-def clean_inventory(raw: DataFrame) -> DataFrame:
+def clean_inventory(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
     """Unique (product, warehouse) rows with counts that are present and not negative."""
     keys = ["product_id", "warehouse_id"]
     counts = ["current_stock", "reorder_point", "safety_stock"]
-    df = require(dedupe(raw, keys), keys)
+    df = _kept(raw, keys, keys, steps)
     return df.withColumns({c: cap(fill(F.col(c), 0, "int"), low=0) for c in counts})
 
 
-def clean_orders(raw: DataFrame) -> DataFrame:
-    df = require(dedupe(raw, ["order_id"]), ["order_id", "product_id", "quantity", "order_date"])
+def clean_orders(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
+    df = _kept(raw, ["order_id"], ["order_id", "product_id", "quantity", "order_date"], steps)
     return df.withColumns({
         "quantity": cap(F.col("quantity"), low=1).cast("int"),
         "fill_rate": cap(fill(F.col("fill_rate"), 1), 0, 1).cast("decimal(5,4)"),
@@ -113,8 +132,8 @@ def clean_orders(raw: DataFrame) -> DataFrame:
     })
 
 
-def clean_logistics(raw: DataFrame) -> DataFrame:
-    df = require(dedupe(raw, ["shipment_id"]), ["shipment_id", "carrier", "route", "shipping_cost"])
+def clean_logistics(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
+    df = _kept(raw, ["shipment_id"], ["shipment_id", "carrier", "route", "shipping_cost"], steps)
     df = df.withColumns({
         "shipping_cost": cap(F.col("shipping_cost"), low=0).cast("decimal(12,2)"),
         "delay_days": cap(fill(F.col("delay_days"), 0, "int"), low=0),
@@ -122,9 +141,9 @@ def clean_logistics(raw: DataFrame) -> DataFrame:
     return df.withColumn("is_delayed", fill(F.col("is_delayed"), F.col("delay_days") > 0))
 
 
-def clean_demand_history(raw: DataFrame) -> DataFrame:
-    df = dedupe(raw, ["product_id", "warehouse_id", "demand_date"])
-    df = require(df, ["product_id", "demand_date", "demand_quantity"])
+def clean_demand_history(raw: DataFrame, steps: Steps | None = None) -> DataFrame:
+    keys = ["product_id", "warehouse_id", "demand_date"]
+    df = _kept(raw, keys, ["product_id", "demand_date", "demand_quantity"], steps)
     return df.withColumn("demand_quantity", cap(F.col("demand_quantity"), low=0).cast("int"))
 
 
@@ -235,12 +254,17 @@ def transform(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def dropped_rows(raw: DataFrame, clean: DataFrame, table: str) -> DataFrame:
-    """One row: how many rows cleaning removed."""
+    """One row: how many rows cleaning removed, from two tables that are there. A load counts by ``Steps``."""
     before = raw.agg(row_count().alias("rows_before"))
     after = clean.agg(row_count().alias("rows_after")).scalar()
     return before.select(
-        F.lit(table).alias("table_name"),
-        "rows_before",
-        after.alias("rows_after"),
-        (F.col("rows_before") - after).alias("rows_dropped"),
+        F.lit(table).alias("table_name"), "rows_before", after.alias("rows_after"), (F.col("rows_before") - after).alias("rows_dropped")
+    )
+
+
+def drop_report(spark: SparkSession, rows: dict[str, dict[str, int]]) -> DataFrame:
+    """How many rows cleaning removed, a row for each table, from the counts between its steps."""
+    values = [(t, n["read"], n["complete"], n["read"] - n["complete"], n["read"] - n["unique"], n["unique"] - n["complete"]) for t, n in rows.items()]
+    return spark.createDataFrame(
+        values, "table_name string, rows_before long, rows_after long, rows_dropped long, repeated_keys long, missing_values long"
     )

@@ -1,64 +1,126 @@
 """Runs that write: loading cleaned tables, and the whole sequence from raw tables to reports.
 
 Each stage writes its result and the next reads what was written. Shared work is done once, a lost
-executor costs at most the running stage, and no result has to stay cached.
+executor costs at most the running stage, and no result has to stay cached. Stages are recorded in a
+ledger: a run with the name of one that was stopped skips what that one has finished.
 """
 
 from __future__ import annotations
 
 import datetime
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewharf.operators import (
     clean, forecast, insights, inventory, kpi, logistics, optimize, reporting, suppliers,
 )
+from tidewharf.plans.ledger import AUDIT, Ledger, Outcome
 from tidewharf.schemas import SOURCE_TABLES
-from tidewharf.sources import sinks
+from tidewharf.sources import sinks, versions
+from tidewharf.sources.files import CORRUPT
 from tidewharf.sources.tables import SupplyTables, stored_tables
 
 PIPELINE = "supply_chain_etl"
+REJECTED = "rejected"
 
 # Rows of a file are kept in date order, so a date filter skips most of each file's row groups.
 DATE_ORDER = {"orders": "order_date", "logistics": "ship_date", "demand_history": "demand_date"}
 
+Stage = tuple[str, Callable[[dict], Outcome]]
 
-def _now() -> datetime.datetime:
-    return datetime.datetime.now(datetime.timezone.utc).replace(tzinfo=None)
 
+def extracted_path(folder: str, run: str, name: str) -> str:
+    return f"{folder}/_extract/{run}/{name}"
 
-def load_tables(spark: SparkSession, raw: dict[str, DataFrame], folder: str) -> dict[str, int]:
-    """Clean raw tables and replace the stored ones. Returns rows per table.
 
-    Orders and products are stored before the inventory figures are derived from them, so cleaning
-    runs once per table.
+def _extract_table(df: DataFrame, path: str) -> dict[str, int]:
+    """One pass over a source: good rows and malformed ones into folders of their own, both counted."""
+    bad = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
+    seen = Observation()
+    marked = df.withColumn(REJECTED, bad)
+    marked = marked.observe(seen, F.count_if(~F.col(REJECTED)).alias("good"), F.count_if(F.col(REJECTED)).alias("bad"))
+    marked.write.mode("overwrite").partitionBy(REJECTED).parquet(path)
+    return {"good": seen.get["good"], "bad": seen.get["bad"]}
+
+
+def _extracted(spark: SparkSession, df: DataFrame, path: str, rejected: bool) -> DataFrame:
+    """The good or the malformed rows of a source that was extracted."""
+    schema = T.StructType([*df.schema.fields, T.StructField(REJECTED, T.BooleanType())])
+    return spark.read.schema(schema).parquet(path).filter(F.col(REJECTED) == rejected).drop(REJECTED)
+
+
+def extracted_rows(spark: SparkSession, df: DataFrame, folder: str, run: str, name: str) -> DataFrame:
+    return _extracted(spark, df, extracted_path(folder, run, name), False).drop(CORRUPT)
+
+
+def rejected_rows(spark: SparkSession, raw: dict[str, DataFrame], folder: str, run: str) -> dict[str, DataFrame]:
+    """The quarantine of a run by table: columns as far as they could be read, and the line in ``_corrupt``."""
+    return {name: _extracted(spark, raw[name], extracted_path(folder, run, name), True) for name in SOURCE_TABLES}
+
+
+def load_stages(spark: SparkSession, raw: dict[str, DataFrame], folder: str, run: str) -> list[Stage]:
+    """Extract, transform, load. Tables change in the last stage only, by a small write for each."""
+
+    def extract(notes: dict) -> Outcome:
+        counts = {name: _extract_table(raw[name], extracted_path(folder, run, name)) for name in SOURCE_TABLES}
+        good, bad = (sum(n[x] for n in counts.values()) for x in ("good", "bad"))
+        return Outcome(good, bad, counts)
+
+    def transform(notes: dict) -> Outcome:
+        staged, rows = {}, {}
+
+        def source(name: str) -> DataFrame:
+            return extracted_rows(spark, raw[name], folder, run, name)
+
+        def put(name: str, df: DataFrame) -> None:
+            df = sinks.project(df, name)
+            if name in DATE_ORDER:
+                df = df.sortWithinPartitions(DATE_ORDER[name])
+            staged[name] = versions.stage(df, f"{folder}/{name}")
+
+        def back(name: str) -> DataFrame:
+            return versions.read_version(spark, f"{folder}/{name}", staged[name])
+
+        for name in SOURCE_TABLES:
+            if name != "inventory":
+                steps = clean.Steps()
+                put(name, clean.CLEANERS[name](source(name), steps))
+                rows[name] = steps.rows()
+        steps = clean.Steps()
+        valued = clean.with_inventory_value(clean.clean_inventory(source("inventory"), steps), back("products"))
+        put("inventory", clean.inventory_metrics(valued, back("orders")))
+        rows["inventory"] = steps.rows()
+        sinks.reload(clean.drop_report(spark, rows), f"{folder}/etl_drop_stats")
+        kept = sum(n["complete"] for n in rows.values())
+        return Outcome(kept, sum(n["read"] for n in rows.values()) - kept, {"staged": staged, "rows": rows})
+
+    def load(notes: dict) -> Outcome:
+        staged = notes["transform"]["staged"]
+        counts = {name: versions.commit(spark, f"{folder}/{name}", staged[name]) for name in SOURCE_TABLES}
+        for name in SOURCE_TABLES:  # the quarantine stays
+            versions.delete(spark, f"{extracted_path(folder, run, name)}/{REJECTED}=false")
+        return Outcome(sum(counts.values()), 0, counts)
+
+    return [("extract", extract), ("transform", transform), ("load", load)]
+
+
+def load_tables(spark: SparkSession, raw: dict[str, DataFrame], folder: str, run: str | None = None) -> dict[str, int]:
+    """Extract, clean and replace the stored tables. Returns rows per table.
+
+    Orders and products are written before the inventory figures are derived from them, so cleaning
+    runs once per table. ``run`` names the run; one that was stopped goes on under the same name.
     """
-    started = _now()
-    counts: dict[str, int] = {}
-
-    def store(name: str, df: DataFrame) -> None:
-        df = sinks.project(df, name)
-        if name in DATE_ORDER:
-            df = df.sortWithinPartitions(DATE_ORDER[name])
-        counts[name] = sinks.reload(df, f"{folder}/{name}")
-
-    for name in SOURCE_TABLES:
-        if name != "inventory":
-            store(name, clean.CLEANERS[name](raw[name]))
-    done = stored_tables(spark, folder, ("products", "orders"))
-    valued = clean.with_inventory_value(clean.clean_inventory(raw["inventory"]), done.products())
-    store("inventory", clean.inventory_metrics(valued, done.orders()))
-    sinks.audit(
-        spark, f"{folder}/etl_audit_log", PIPELINE, "load", sum(counts.values()), 0, "success", started, _now()
-    )
-    return counts
+    ledger = Ledger(spark, folder, PIPELINE, run)
+    return ledger.run_all(load_stages(spark, raw, folder, ledger.name))["load"]
 
 
 def counts_frame(spark: SparkSession, folder: str, names) -> DataFrame:
     """Rows per written table, read from the files."""
     parts = [
-        spark.read.parquet(f"{folder}/{name}").agg(
+        sinks.read(spark, f"{folder}/{name}").agg(
             F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows_loaded")
         )
         for name in names
@@ -69,57 +131,83 @@ def counts_frame(spark: SparkSession, folder: str, names) -> DataFrame:
     return out
 
 
-def run_kpis(t: SupplyTables, folder: str, day: datetime.date) -> None:
+def run_kpis(t: SupplyTables, folder: str, day: datetime.date) -> int:
     """All KPI snapshots of one date; the executive one is last because it reads the supplier's."""
+    rows = 0
     for name, frame in (
         ("kpi_inventory", kpi.inventory_kpis), ("kpi_supplier", kpi.supplier_kpis),
         ("kpi_logistics", kpi.logistics_kpis), ("kpi_service", kpi.service_kpis),
     ):
         df = sinks.project(frame(t, day), name)
-        sinks.replace_day(df, f"{folder}/{name}", "calculation_date", day)
+        rows += sinks.replace_day(df, f"{folder}/{name}", "calculation_date", day)
     stored = df.sparkSession.read.parquet(f"{folder}/kpi_supplier").filter(F.col("calculation_date") == F.lit(day))
     executive = kpi.executive_kpis(t, day, suppliers=stored)
-    sinks.replace_day(sinks.project(executive, "kpi_executive"), f"{folder}/kpi_executive", "calculation_date", day)
+    return rows + sinks.replace_day(
+        sinks.project(executive, "kpi_executive"), f"{folder}/kpi_executive", "calculation_date", day
+    )
 
 
-def run_all(
-    spark: SparkSession, raw: dict[str, DataFrame], folder: str, quick: bool = False
-) -> dict[str, DataFrame]:
-    """Every stage in order; returns the written results as frames by name."""
-    load_tables(spark, raw, folder)
-    t = stored_tables(spark, folder)
-    day = t.latest_day().first()["day"]  # one value
+def analysis_stages(spark: SparkSession, folder: str, quick: bool = False) -> list[Stage]:
+    """What follows a load: KPIs, alerts and scorecards, forecasts, recommendations, insights, the report."""
 
     def stored(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}")
-
-    run_kpis(t, folder, day)
-    snapshots = [
-        ("inventory_alerts", inventory.alerts(t, day), "alert_date"),
-        ("supplier_scorecards", suppliers.scorecards(t, day), "scorecard_date"),
+        return sinks.read(spark, f"{folder}/{name}")
+
+    def day(notes: dict) -> datetime.date:
+        return datetime.date.fromisoformat(notes["kpis"]["day"])
+
+    def kpis(notes: dict) -> Outcome:
+        t = stored_tables(spark, folder)
+        newest = t.latest_day().first()["day"]  # one value
+        return Outcome(run_kpis(t, folder, newest), 0, {"day": newest.isoformat()})
+
+    def snapshots(notes: dict) -> Outcome:
+        t, rows = stored_tables(spark, folder), 0
+        for name, frame, column in (
+            ("inventory_alerts", inventory.alerts, "alert_date"), ("supplier_scorecards", suppliers.scorecards, "scorecard_date"),
+        ):
+            df = sinks.project(frame(t, day(notes)), name)
+            rows += sinks.replace_day(df, f"{folder}/{name}", column, day(notes))
+        return Outcome(rows + sinks.write(logistics.recommendations(t), f"{folder}/logistics_recommendations"))
+
+    def forecasts(notes: dict) -> Outcome:
+        out = forecast.run(stored_tables(spark, folder), quick)
+        sinks.write_metrics(out["metrics"], f"{folder}/forecast_metrics")
+        df = sinks.project(out["forecasts"], "forecasts")
+        return Outcome(sinks.replace_from(df, f"{folder}/forecasts", "forecast_date", day(notes)))
+
+    def recommendations(notes: dict) -> Outcome:
+        df = optimize.recommendations(stored_tables(spark, folder), stored("forecasts"), day(notes))
+        return Outcome(sinks.replace_day(
+            sinks.project(df, "inventory_recommendations"), f"{folder}/inventory_recommendations", "recommendation_date",
+            day(notes),
+        ))
+
+    def findings(notes: dict) -> Outcome:
+        found = insights.generate(stored_tables(spark, folder), stored("kpi_supplier"), stored("kpi_logistics"), day(notes))
+        df = sinks.project(found.withColumn("is_acknowledged", F.lit(False)), "business_insights")
+        return Outcome(sinks.replace_day(df, f"{folder}/business_insights", "insight_date", day(notes)))
+
+    def report(notes: dict) -> Outcome:
+        t = stored_tables(spark, folder)
+        summary = reporting.executive_summary(t, stored("kpi_executive"), stored("business_insights"))
+        return Outcome(sinks.write(reporting.executive_text(summary), f"{folder}/executive_summary"))
+
+    return [
+        ("kpis", kpis), ("snapshots", snapshots), ("forecasts", forecasts), ("recommendations", recommendations),
+        ("insights", findings), ("report", report),
     ]
-    for name, df, column in snapshots:
-        sinks.replace_day(sinks.project(df, name), f"{folder}/{name}", column, day)
-    sinks.write(logistics.recommendations(t), f"{folder}/logistics_recommendations")
-
-    out = forecast.run(t, quick)
-    sinks.write_metrics(out["metrics"], f"{folder}/forecast_metrics")
-    sinks.replace_from(sinks.project(out["forecasts"], "forecasts"), f"{folder}/forecasts", "forecast_date", day)
-
-    recommendations = optimize.recommendations(t, stored("forecasts"), day)
-    sinks.replace_day(
-        sinks.project(recommendations, "inventory_recommendations"),
-        f"{folder}/inventory_recommendations", "recommendation_date", day,
-    )
-    found = insights.generate(t, stored("kpi_supplier"), stored("kpi_logistics"), day)
-    found = found.withColumn("is_acknowledged", F.lit(False))
-    sinks.replace_day(sinks.project(found, "business_insights"), f"{folder}/business_insights", "insight_date", day)
 
-    summary = reporting.executive_summary(t, stored("kpi_executive"), stored("business_insights"))
-    sinks.write(reporting.executive_text(summary), f"{folder}/executive_summary")
+
+def run_all(
+    spark: SparkSession, raw: dict[str, DataFrame], folder: str, quick: bool = False, run: str | None = None
+) -> dict[str, DataFrame]:
+    """Every stage in order; returns the written results as frames by name."""
+    ledger = Ledger(spark, folder, PIPELINE, run)
+    ledger.run_all(load_stages(spark, raw, folder, ledger.name) + analysis_stages(spark, folder, quick))
     names = [
         "kpi_inventory", "kpi_supplier", "kpi_logistics", "kpi_service", "kpi_executive", "inventory_alerts",
         "supplier_scorecards", "logistics_recommendations", "forecasts", "inventory_recommendations",
-        "business_insights", "executive_summary", "etl_audit_log",
+        "business_insights", "executive_summary", AUDIT,
     ]
-    return {name: stored(name) for name in (*SOURCE_TABLES, *names)}
+    return {name: sinks.read(spark, f"{folder}/{name}") for name in (*SOURCE_TABLES, *names)}

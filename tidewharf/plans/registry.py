@@ -18,6 +18,7 @@ from tidewharf.operators import (
     quality, reporting, suppliers, views,
 )
 from tidewharf.plans import flow
+from tidewharf.plans.ledger import AUDIT, Ledger
 from tidewharf.schemas import SOURCE_TABLES
 from tidewharf.sources import feeds, files, sinks
 from tidewharf.sources.star import StarTables
@@ -48,9 +49,13 @@ def _ok(t: StarTables, name: str) -> DataFrame:
 
 
 def _drop_stats(t: StarTables) -> DataFrame:
-    names = ("products", "inventory", "orders")
-    parts = [clean.dropped_rows(_dirty(t, n), _ok(t, n), n) for n in names]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Counted between the steps while the cleaned rows are computed; each feed is read once."""
+    rows = {}
+    for name in ("products", "inventory", "orders"):
+        steps = clean.Steps()
+        clean.CLEANERS[name](_dirty(t, name), steps).write.format("noop").mode("overwrite").save()
+        rows[name] = steps.rows()
+    return clean.drop_report(t.spark, rows).drop("repeated_keys", "missing_values")
 
 
 def _raw_frame(t: StarTables):
@@ -435,11 +440,10 @@ def _src_sql(t: StarTables) -> DataFrame:
 
 
 def _sink_csv(t: StarTables) -> DataFrame:
-    """Cleaned tables as one CSV folder each, counted after reading them back."""
+    """All cleaned tables as one CSV folder each, counted after reading them back."""
     folder = new_folder(t.spark, "processed")
-    names = ("products", "suppliers", "warehouses")
-    sinks.write_all({f"{n}.csv": _ok(t, n) for n in names}, folder, "csv")
-    back = {n: t.spark.read.option("header", True).csv(f"{folder}/{n}.csv") for n in names}
+    sinks.write_all({f"{n}.csv": _ok(t, n) for n in SOURCE_TABLES}, folder, "csv")
+    back = {n: t.spark.read.option("header", True).csv(f"{folder}/{n}.csv") for n in SOURCE_TABLES}
     return counts(back)
 
 
@@ -455,8 +459,8 @@ def _sink_reload(t: StarTables) -> DataFrame:
     """A table replaced by a projection of itself."""
     path = new_folder(t.spark, "reload")
     sinks.reload(t.orders("order_id", "order_status", "quantity"), path)
-    sinks.reload(t.spark.read.parquet(path).filter("order_status = 'Delivered'"), path)
-    return t.spark.read.parquet(path)
+    sinks.reload(sinks.read(t.spark, path).filter("order_status = 'Delivered'"), path)
+    return sinks.read(t.spark, path)
 
 
 def _sink_snapshot(t: StarTables) -> DataFrame:
@@ -474,11 +478,10 @@ def _sink_range(t: StarTables) -> DataFrame:
     """Daily demand replaced from 2000 on by twice its quantity."""
     path = new_folder(t.spark, "range")
     day = datetime.date(2000, 1, 1)
-    demand = forecast.daily_demand(t)
-    sinks.replace_from(demand, path, "demand_date", day)
-    doubled = t.spark.read.parquet(path).filter(F.col("demand_date") >= F.lit(day))
-    sinks.replace_from(doubled.withColumn("demand", F.col("demand") * 2), path, "demand_date", day)
-    return t.spark.read.parquet(path)
+    sinks.write_months(forecast.daily_demand(t), path, "demand_date")
+    doubled = sinks.read(t.spark, path).withColumn("demand", F.col("demand") * 2)
+    sinks.replace_from(doubled, path, "demand_date", day)
+    return sinks.read(t.spark, path)
 
 
 def _sink_metrics(t: StarTables) -> DataFrame:
@@ -490,7 +493,7 @@ def _sink_metrics(t: StarTables) -> DataFrame:
 def _sink_audit(t: StarTables) -> DataFrame:
     """Audit rows of an extract that counts its rows while it writes them."""
     folder = new_folder(t.spark, "audit")
-    for name in ("orders", "products"):
+    for name in SOURCE_TABLES:
         started = datetime.datetime(2001, 8, 1)
         rows = sinks.write(_dirty(t, name), f"{folder}/{name}")
         ended = started + datetime.timedelta(seconds=1.5)
@@ -499,12 +502,54 @@ def _sink_audit(t: StarTables) -> DataFrame:
     return log.select("pipeline_name", "stage", "records_processed", "records_failed", "status", "duration_seconds")
 
 
+def _csv_folder(t: StarTables) -> str:
+    """The eight feeds as CSV files, some of their lines malformed."""
+    folder = new_folder(t.spark, "csv")
+    sinks.write_all({f"{name}.csv": feeds.csv_lines(t, name) for name in SOURCE_TABLES}, folder, "csv")
+    return folder
+
+
+def _csv_quarantine(t: StarTables) -> DataFrame:
+    """Rows that an extract takes and sets aside, counted in what it has written."""
+    raw, folder = files.extract(t.spark, _csv_folder(t)), new_folder(t.spark, "extract")
+    dict(flow.load_stages(t.spark, raw, folder, "first"))["extract"]({})
+    good = {n: flow.extracted_rows(t.spark, raw[n], folder, "first", n) for n in SOURCE_TABLES}
+    bad = flow.rejected_rows(t.spark, raw, folder, "first")
+    return counts(good).withColumnRenamed("row_count", "accepted").join(
+        counts(bad).withColumnRenamed("row_count", "rejected"), "table_name"
+    )
+
+
 def _etl_run(t: StarTables) -> DataFrame:
     folder = new_folder(t.spark, "load")
-    flow.load_tables(t.spark, feeds.extract(t), folder)
+    flow.load_tables(t.spark, files.extract(t.spark, _csv_folder(t)), folder)
     return flow.counts_frame(t.spark, folder, SOURCE_TABLES)
 
 
+def _resumed(t: StarTables) -> DataFrame:
+    """The audit rows of a load whose transform fails once, and which goes on there when it is run again."""
+    folder = new_folder(t.spark, "resume")
+    ledger = Ledger(t.spark, folder, flow.PIPELINE, "nightly")
+    stages = flow.load_stages(t.spark, files.extract(t.spark, _csv_folder(t)), folder, ledger.name)
+    lost = ["the connection was lost"]
+
+    def unsteady(work):
+        def attempt(notes):
+            if lost:
+                raise ConnectionError(lost.pop())
+            return work(notes)
+
+        return attempt
+
+    stages = [(name, unsteady(work) if name == "transform" else work) for name, work in stages]
+    try:
+        ledger.run_all(stages)
+    except ConnectionError:
+        ledger.run_all(stages)
+    log = t.spark.read.parquet(f"{folder}/{AUDIT}")
+    return log.select("pipeline_name", "stage", "status", "records_processed", "records_failed", "error_message")
+
+
 def _pipe_full(t: StarTables) -> DataFrame:
     return counts(flow.run_all(t.spark, feeds.extract(t), new_folder(t.spark, "full")))
 
@@ -522,7 +567,9 @@ FLOWS: dict[str, Query] = {
     "sink_range_replace": _sink_range,
     "sink_metrics_json": _sink_metrics,
     "sink_audit": _sink_audit,
+    "src_csv_quarantine": _csv_quarantine,
     "etl_run": _etl_run,
+    "etl_resume": _resumed,
     "pipe_full": _pipe_full,
 }
 

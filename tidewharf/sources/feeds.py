@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidewharf.functions.numbers import ratio, row_count, total
 from tidewharf.operators import clean
+from tidewharf.schemas import RAW, STORED
 from tidewharf.sources.star import DEMAND_COLUMNS, LOGISTICS_COLUMNS, ORDER_COLUMNS, StarTables
 
 
@@ -176,5 +177,43 @@ def frame(t: StarTables, name: str, *columns: str) -> DataFrame:
     return df.select(*columns) if columns else df
 
 
+# What the table definition puts in for a column that a row does not give.
+DEFAULTS = {"is_active": True}
+
+
+def complete(df: DataFrame, name: str) -> DataFrame:
+    """A feed with every column of its file that the table keeps; those it does not carry hold their default or null."""
+    fields = [f for f in RAW[name].fields if f.name in STORED[name].fieldNames()]
+    return df.select(*[
+        F.col(f.name) if f.name in df.columns else F.lit(DEFAULTS.get(f.name)).cast(f.dataType).alias(f.name) for f in fields
+    ])
+
+
 def extract(t: StarTables) -> dict[str, DataFrame]:
-    return {name: feed(t) for name, feed in FEEDS.items()}
+    return {name: complete(feed(t), name) for name, feed in FEEDS.items()}
+
+
+# Lines of the CSV files with a word in place of a number or date: the column, and which rows.
+BROKEN = {
+    "products": ("unit_cost", "product_id % 97 = 0"),
+    "warehouses": ("capacity_units", "capacity_units % 1000 = 7 AND warehouse_id % 4 = 1"),
+    "suppliers": ("lead_time_days", "supplier_id % 89 = 0"),
+    "product_suppliers": ("unit_cost", "product_id % 83 = 0"),
+    "inventory": ("current_stock", "product_id % 101 = 0"),
+    "orders": ("order_date", "product_id % 103 = 0"),
+    "logistics": ("ship_date", "delay_days = 3"),
+    "demand_history": ("demand_quantity", "product_id % 79 = 0"),
+}
+
+
+def csv_lines(t: StarTables, name: str) -> DataFrame:
+    """The text values of a feed's CSV file, some of them malformed."""
+    column, rows = BROKEN[name]
+    df = complete(FEEDS[name](t), name)
+    if "inventory_id" in RAW[name].fieldNames():
+        df = df.select(F.lit(None).cast("string").alias("inventory_id"), *df.columns)
+    text = {c: F.col(c).cast("string") for c in df.columns}
+    return df.select(*[
+        (F.when(F.coalesce(F.expr(rows), F.lit(False)), F.lit("unknown")).otherwise(x) if c == column else x).alias(c)
+        for c, x in text.items()
+    ])

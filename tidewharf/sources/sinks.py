@@ -1,30 +1,27 @@
 """Writing tables: append, full reload, dated snapshots, range replacement, metrics and audit rows.
 
-Nothing is overwritten while it is being read. A reload or range replacement is written beside the
-table and then renamed into place; a snapshot replaces only its own date's directory, so running it
-again gives the same table and an empty result clears the date.
+Nothing is overwritten while it is being read. A reload is a new version that one small file makes current
+(``versions``); a range replacement rewrites the months it touches; a snapshot replaces only its own date's
+directory, so running it again gives the same table and an empty result clears the date.
 """
 
 from __future__ import annotations
 
 import datetime
-import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewharf.schemas import STORED
+from tidewharf.sources import versions
 
-
-def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
-    seen = Observation()
-    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+MONTH = "__month"
 
 
 def write(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite") -> int:
     """Write and return the number of rows, counted by the write itself."""
-    counted, seen = _counted(df)
+    counted, seen = versions.counted(df)
     writer = counted.write.mode(mode).format(kind)
     if kind == "csv":
         writer = writer.option("header", True)
@@ -45,26 +42,18 @@ def write_all(frames: dict[str, DataFrame], folder: str, kind: str = "parquet")
     return {name: write(df, f"{folder}/{name}", kind) for name, df in frames.items()}
 
 
-def swap(spark: SparkSession, new: str, live: str) -> None:
-    """Put a freshly written folder in place of a live one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    files = path(live).getFileSystem(spark._jsc.hadoopConfiguration())
-    old = f"{live}__old-{uuid.uuid4().hex}"
-    replaced = files.exists(path(live))
-    if replaced and not files.rename(path(live), path(old)):
-        raise OSError(f"could not set {live} aside")
-    if not files.rename(path(new), path(live)):
-        raise OSError(f"could not move {new} to {live}")
-    if replaced:
-        files.delete(path(old), True)
-
-
 def reload(df: DataFrame, path: str) -> int:
     """Replace a whole table, even one that ``df`` reads from."""
-    new = f"{path}__new-{uuid.uuid4().hex}"
-    rows = write(df, new)
-    swap(df.sparkSession, new, path)
-    return rows
+    return versions.commit(df.sparkSession, path, versions.stage(df, path))
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table: its current version, or all files where it has no versions."""
+    version = versions.current(spark, path)
+    if version:
+        return versions.read_version(spark, path, version)
+    df = spark.read.parquet(path)
+    return df.drop(*[c for c in df.columns if c.endswith(MONTH)])
 
 
 def project(df: DataFrame, table: str | T.StructType) -> DataFrame:
@@ -85,18 +74,34 @@ def replace_day(df: DataFrame, path: str, date_column: str, day: datetime.date)
     return write(rows, f"{path}/{date_column}={day.isoformat()}")
 
 
+def write_months(df: DataFrame, path: str, date_column: str) -> int:
+    """Write the months that ``df`` has rows of, each in place of what the table holds of it; other months stay as they are."""
+    month = F.date_format(date_column, "yyyy-MM")
+    counted, seen = versions.counted(df.withColumn(f"{date_column}{MONTH}", month))
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(f"{date_column}{MONTH}").parquet(path)
+    return seen.get["rows"]
+
+
 def replace_from(df: DataFrame, path: str, date_column: str, day: datetime.date) -> int:
-    """Replace all rows from ``day`` on with those of ``df``; earlier ones stay as they are.
+    """Replace all rows from ``day`` on with those of ``df``; earlier ones stay as they are. Returns the rows written.
 
-    Rows of ``df`` from before ``day`` are left out, so running it again gives the same table.
+    The table is partitioned by month. Only the months from ``day`` on are written: the first of them together with its
+    rows before ``day``, and later ones that ``df`` has no rows of are cleared. Rows of ``df`` from before ``day`` are left
+    out, so running it again gives the same table, also after an interruption.
     """
-    spark = df.sparkSession
+    spark, first = df.sparkSession, day.replace(day=1)
     df = df.filter(F.col(date_column) >= F.lit(day))
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
-        earlier = spark.read.parquet(path).filter(F.col(date_column) < F.lit(day))
-        df = earlier.unionByName(df)
-    return reload(df, path)
+    folders = [x for x in versions.names(spark, path) if x.startswith(f"{date_column}{MONTH}=")]
+    later = [x for x in folders if x.split("=")[1] >= f"{first:%Y-%m}" and not x.endswith("__")]  # not the one of null dates
+    before = {x: versions.names(spark, f"{path}/{x}") for x in later}
+    if f"{date_column}{MONTH}={first:%Y-%m}" in later:
+        own = spark.read.parquet(path).filter(F.col(f"{date_column}{MONTH}") == f"{first:%Y-%m}")
+        df = own.filter(F.col(date_column) < F.lit(day)).drop(f"{date_column}{MONTH}").unionByName(df)
+    rows = write_months(df, path, date_column)
+    for folder, old in before.items():  # a month that was written anew has other files
+        if old and versions.names(spark, f"{path}/{folder}") == old:
+            versions.delete(spark, f"{path}/{folder}")
+    return rows
 
 
 def write_metrics(metrics: DataFrame, path: str) -> None:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewharf.schemas import SOURCE_TABLES
+from tidewharf.sources import sinks
 
 
 class SupplyTables:
@@ -60,5 +61,5 @@ class SupplyTables:
 
 
 def stored_tables(spark: SparkSession, folder: str, names=SOURCE_TABLES) -> SupplyTables:
-    """Tables a load wrote as parquet, one folder each."""
-    return SupplyTables({name: spark.read.parquet(f"{folder}/{name}") for name in names})
+    """Tables a load wrote, one folder each."""
+    return SupplyTables({name: sinks.read(spark, f"{folder}/{name}") for name in names})
