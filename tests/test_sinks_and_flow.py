@@ -197,7 +197,7 @@ def test_malformed_csv_lines_are_set_aside(spark, raw, cleaned, tmp_path):
     bad = ["P9,no price,c,s,cheap,2,1,true", "P8,too,few", "P7,x,c,s,1,2,1,true,and,more"]
     with open(f"{folder}/products.csv/more.csv", "w") as more:
         more.write("\n".join(["product_id,product_name,category,subcategory,unit_cost,selling_price,weight_kg,is_active", *bad]) + "\n")
-    source = files.extract(spark, folder)
+    source = files.extract_checked(spark, folder)
     counts = flow.load_tables(spark, source, out, run="first")
     assert counts == {name: cleaned[name].count() for name in SOURCE_TABLES}
     aside = flow.rejected_rows(spark, source, out, "first")

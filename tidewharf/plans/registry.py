@@ -511,7 +511,7 @@ def _csv_folder(t: StarTables) -> str:
 
 def _csv_quarantine(t: StarTables) -> DataFrame:
     """Rows that an extract takes and sets aside, counted in what it has written."""
-    raw, folder = files.extract(t.spark, _csv_folder(t)), new_folder(t.spark, "extract")
+    raw, folder = files.extract_checked(t.spark, _csv_folder(t)), new_folder(t.spark, "extract")
     dict(flow.load_stages(t.spark, raw, folder, "first"))["extract"]({})
     good = {n: flow.extracted_rows(t.spark, raw[n], folder, "first", n) for n in SOURCE_TABLES}
     bad = flow.rejected_rows(t.spark, raw, folder, "first")
@@ -522,7 +522,7 @@ def _csv_quarantine(t: StarTables) -> DataFrame:
 
 def _etl_run(t: StarTables) -> DataFrame:
     folder = new_folder(t.spark, "load")
-    flow.load_tables(t.spark, files.extract(t.spark, _csv_folder(t)), folder)
+    flow.load_tables(t.spark, files.extract_checked(t.spark, _csv_folder(t)), folder)
     return flow.counts_frame(t.spark, folder, SOURCE_TABLES)
 
 
@@ -530,7 +530,7 @@ def _resumed(t: StarTables) -> DataFrame:
     """The audit rows of a load whose transform fails once, and which goes on there when it is run again."""
     folder = new_folder(t.spark, "resume")
     ledger = Ledger(t.spark, folder, flow.PIPELINE, "nightly")
-    stages = flow.load_stages(t.spark, files.extract(t.spark, _csv_folder(t)), folder, ledger.name)
+    stages = flow.load_stages(t.spark, files.extract_checked(t.spark, _csv_folder(t)), folder, ledger.name)
     lost = ["the connection was lost"]
 
     def unsteady(work):
