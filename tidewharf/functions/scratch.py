@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,6 +33,47 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+class Temporary:
+    """The folders that ``materialized`` has made in a ``temporary`` block."""
+
+    def __init__(self):
+        self.paths: dict[str, None] = {}
+        self.kept: set[str] = set()
+
+    def keep(self, *frames: DataFrame) -> DataFrame:
+        """The results of ``materialized`` that are still read after the block; returns the first of them."""
+        for df in frames:
+            self.kept |= {path for path in self.paths if any(path.rsplit("/", 1)[-1] in name for name in df.inputFiles())}
+        return frames[0]
+
+
+_blocks: list[Temporary] = []
+
+
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[Temporary]:
+    """A block after which the tables that ``materialized`` has stored in it are deleted, but for those kept.
+
+    For operators whose result rests on one or two small tables, so that what led to them need not fill the shared
+    folder for as long as the session lives. If the block fails, all go.
+    """
+    made = Temporary()
+    _blocks.append(made)
+    try:
+        yield made
+    except BaseException:
+        made.kept.clear()
+        raise
+    finally:
+        _blocks.remove(made)
+        for path in made.paths:
+            if path not in made.kept:
+                location = spark._jvm.org.apache.hadoop.fs.Path(path)
+                location.getFileSystem(spark._jsc.hadoopConfiguration()).delete(location, True)
+            elif _blocks:
+                _blocks[-1].paths[path] = None
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared folder, so later passes read it and survive lost executors.
 
@@ -39,5 +82,7 @@ def materialized(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, "step")
+    if _blocks:
+        _blocks[-1].paths[path] = None
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
