@@ -17,6 +17,9 @@ from tidewharf.functions.scratch import materialized
 WEIGHTS = (3, 1, 2)
 BUDGET_PERCENT = 150
 MAX_EPOCHS = 2
+# The default curriculum: knots (moment, share) for each weight in turn. Sources of the first weight begin strong and
+# give way to those of the third; those of the second stay even.
+CURRICULUM = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 1.0)), ((0.0, 0.5), (1.0, 1.5)))
 RESULTS = ("size", "source_size", "target", "taken", "first_position", "last_position")
 
 
@@ -38,8 +41,9 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, percent
     """
     everything = Window.partitionBy(F.lit(0))
     named = everything.orderBy(F.col("source").asc_nulls_last())
-    turn = (F.row_number().over(named) - 1) % len(weights)
-    rows = sizes.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (turn + 1).cast("int")))
+    rows = sizes.withColumn("turn", F.row_number().over(named) - 1)
+    turn = F.col("turn") % len(weights) + 1
+    rows = rows.withColumn("weight", F.element_at(F.array(*[F.lit(float(w)) for w in weights]), turn.cast("int")))
     filled = everything.orderBy(F.col("source_size") / F.col("weight"), F.col("source").asc_nulls_last())
     before = filled.rowsBetween(Window.unboundedPreceding, -1)
     limit = epochs * F.col("source_size")
@@ -52,15 +56,27 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, percent
     level = F.min(open_).over(everything)
     share = level["rest"] * F.col("weight") / level["weight_left"]
     target = F.when(F.col("full"), limit.cast("double")).otherwise(share)
-    return rows.select("source", "source_size", "weight", F.coalesce(target, F.lit(0.0)).alias("target"))
+    return rows.select("source", "source_size", "weight", F.coalesce(target, F.lit(0.0)).alias("target"), "turn")
 
 
-def demand_curves(targets: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
+Knots = Sequence[tuple[float, float]]
+
+
+def integrated(knots: Knots) -> list[tuple[float, float, float]]:
+    """``(at, share, done)``: the area under the share up to each knot."""
+    out = [(*knots[0], 0.0)]
+    for at, share in knots[1:]:
+        before = out[-1]
+        out.append((at, share, before[2] + (at - before[0]) * (share + before[1]) / 2))
+    return out
+
+
+def demand_curves(targets: DataFrame, schedule: DataFrame | Sequence[Knots] | None = None) -> DataFrame:
     """``targets`` with ``knots``: a source's demand in words as an array of ``(at, share, done)``.
 
-    ``schedule`` holds ``(source, at, share)``: shares of the stream at moments from 0 to 1, linear between.
-    ``done`` integrates the share up to a knot, scaled so that the whole run takes the target. Sources
-    without a schedule are drawn evenly. A source has few knots; they lie in one row.
+    A schedule holds shares of the stream at moments from 0 to 1, linear between: as ``(source, at, share)`` rows, or as
+    lists of ``(at, share)`` that the sources take in turn. ``done`` integrates the share up to a knot, scaled so that
+    the whole run takes the target. Sources without a schedule are drawn evenly. A source has few knots; they lie in one row.
     """
     even = F.array(*[
         F.struct(F.lit(t).alias("at"), F.col("target").alias("share"), (F.col("target") * t).alias("done"))
@@ -68,19 +84,25 @@ def demand_curves(targets: DataFrame, schedule: DataFrame | None = None) -> Data
     ])
     if schedule is None:
         return targets.withColumn("knots", even)
-    by_source = Window.partitionBy("source").orderBy("at")
-    step = (F.col("at") - F.lag("at").over(by_source)) * (F.col("share") + F.lag("share").over(by_source)) / 2
-    done = F.sum(F.coalesce(step, F.lit(0.0))).over(by_source)
-    curves = schedule.withColumn("done", done).groupBy(F.col("source").alias("named")).agg(
-        F.sort_array(F.collect_list(F.struct("at", "share", "done"))).alias("knots")
-    )
+    names = ("at", "share", "done")
+    if isinstance(schedule, DataFrame):
+        by_source = Window.partitionBy("source").orderBy("at")
+        step = (F.col("at") - F.lag("at").over(by_source)) * (F.col("share") + F.lag("share").over(by_source)) / 2
+        done = F.sum(F.coalesce(step, F.lit(0.0))).over(by_source)
+        curves = schedule.withColumn("done", done).groupBy(F.col("source").alias("named")).agg(
+            F.sort_array(F.collect_list(F.struct(*names))).alias("knots")
+        )
+        joined = targets.join(curves, F.col("source").eqNullSafe(F.col("named")), "left").drop("named")
+    else:
+        lists = [F.array(*[F.struct(*[F.lit(x).alias(n) for n, x in zip(names, knot)]) for knot in integrated(own)]) for own in schedule]
+        turn = (F.col("turn") % len(lists) + 1).cast("int")
+        joined = targets.withColumn("knots", F.element_at(F.array(*lists), turn))
     whole = F.element_at("knots", -1)["done"]
     factor = F.col("target") / whole
     scaled = F.transform("knots", lambda k: F.struct(
         k["at"].alias("at"), (k["share"] * factor).alias("share"), (k["done"] * factor).alias("done")
     ))
-    joined = targets.join(curves, F.col("source").eqNullSafe(F.col("named")), "left")
-    return joined.withColumn("knots", F.when(whole > 0, scaled).otherwise(even)).drop("named")
+    return joined.withColumn("knots", F.when(whole > 0, scaled).otherwise(even))
 
 
 def position(knots: Column, words: Column) -> Column:
@@ -96,14 +118,15 @@ def position(knots: Column, words: Column) -> Column:
 
 
 def assigned(docs: DataFrame, weights: Sequence[float] = WEIGHTS, percent: int = BUDGET_PERCENT,
-             epochs: int = MAX_EPOCHS, schedule: DataFrame | None = None) -> DataFrame:
+             epochs: int = MAX_EPOCHS, schedule: DataFrame | Sequence[Knots] | None = None) -> DataFrame:
     """The rows of ``docs`` with ``size``, ``source_size``, ``target``, ``taken``, ``first_position``, ``last_position``.
 
     A source's documents are read in the order of a hash, again from the start up to ``epochs`` times, until
     the target is reached; the last one is cut there. ``taken`` are the words read of a document, repeats
     counted; positions are null for documents that are not read. Needs ``doc_id``, ``text`` and ``source``;
     other columns stay as they are, but for those with the names of results, which are replaced. Null texts have no words and are never read. Equal rows are told apart
-    only by their order, which does not matter as they are equal. Reruns agree.
+    only by their order, which does not matter as they are equal. Reruns agree. Without a ``schedule`` sources are drawn evenly;
+    ``CURRICULUM`` is the one of the registered query and the pipeline.
 
     A source's running sum is taken in two steps, inside slices and over slices, both of about the square
     root of the number of documents; so no task holds a whole source.

@@ -19,7 +19,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    rows = mixing.assigned(table(spark, folder, "documents"))
+    rows = mixing.assigned(table(spark, folder, "documents"), schedule=mixing.CURRICULUM)
     return mixing.by_position(
         rows.select("doc_id", "size", "source_size", "target", "taken", "first_position", "last_position")
     )

@@ -40,7 +40,9 @@ WITH doc AS (
   FROM documents
 ), src AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
-    CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight
+    CAST(CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 1.5 WHEN 1 THEN 1.0 ELSE 0.5 END::DOUBLE AS at_start,
+    CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 1.0 ELSE 1.5 END::DOUBLE AS at_end
   FROM doc GROUP BY source
 ), filled AS (
   SELECT *, source_size / weight AS fill,
@@ -52,22 +54,24 @@ WITH doc AS (
   SELECT rest, weight_left FROM filled WHERE rest * weight < 2 * source_size * weight_left
   ORDER BY fill, source NULLS LAST LIMIT 1
 ), aim AS (
-  SELECT source, source_size,
+  SELECT source, source_size, at_start, at_end,
     coalesce(CASE WHEN rest * weight >= 2 * source_size * weight_left THEN CAST(2 * source_size AS DOUBLE)
       ELSE (SELECT rest FROM level) * weight / (SELECT weight_left FROM level) END, 0) AS target
   FROM filled
 ), placed AS (
-  SELECT doc_id, size, source_size, target, CAST(round(target) AS BIGINT) AS whole,
+  SELECT doc_id, size, source_size, target, at_start * target AS a, at_end * target - at_start * target AS bend,
+    CAST(round(target) AS BIGINT) AS whole,
     CAST(coalesce(sum(size) OVER (PARTITION BY doc.source ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
   FROM doc JOIN aim ON doc.source IS NOT DISTINCT FROM aim.source
 ), cut AS (
   SELECT *, greatest(least(size, whole - start), 0) AS once, greatest(least(size, whole - start - source_size), 0) AS twice
   FROM placed
 )
+-- the share runs from one value to the other, so the demand is a parabola, whose root is the position
 SELECT doc_id, size, source_size, target, CAST(once + twice AS BIGINT) AS taken,
-  CASE WHEN once + twice > 0 THEN least(start / target, 1.0) END AS first_position,
-  CASE WHEN once + twice > 0 THEN least((start + CASE WHEN twice > 0 THEN source_size ELSE 0 END) / target, 1.0) END AS last_position
-FROM cut
+  CASE WHEN once + twice > 0 THEN least(2.0::DOUBLE * need / (a + sqrt(greatest(a * a + 2.0::DOUBLE * bend * need, 0))), 1) END AS first_position,
+  CASE WHEN once + twice > 0 THEN least(2.0::DOUBLE * again / (a + sqrt(greatest(a * a + 2.0::DOUBLE * bend * again, 0))), 1) END AS last_position
+FROM (SELECT *, CAST(start AS DOUBLE) AS need, CAST(start + CASE WHEN twice > 0 THEN source_size ELSE 0 END AS DOUBLE) AS again FROM cut)
 """
 
 WARC = r"""
