@@ -221,3 +221,39 @@ def test_pipeline_run_is_its_stages(spark):
 
 def test_all_ten_are_registered():
     assert {name.split("_")[0] for name in LLM_QUERIES} == {f"op{n}" for n in range(1, 11)}
+
+
+def test_mixing_default_curriculum_bends_each_weight_in_turn(spark):
+    """Positions are the inverse of the integrated share, and the shares over the run follow the schedule."""
+    docs = spark.range(900).selectExpr("id as doc_id", "concat('s', id % 3) as source", "repeat('w ', 20) as text")
+    rows = mixing.assigned(docs, weights=(1, 1, 1), percent=100, schedule=mixing.CURRICULUM).collect()
+    early = {}
+    for row in rows:
+        turn = int(row["source"][1])
+        (_, a), (_, b) = mixing.CURRICULUM[turn]
+        t = row["first_position"]
+        assert a * t + (b - a) * t * t / 2 == pytest.approx(round(300 * (a * t + (b - a) * t * t / 2)) / 300, abs=1e-9)
+        early[turn] = early.get(turn, 0) + (t < 0.5)
+    assert early == {0: 188, 1: 150, 2: 113}  # of 300: shares of 5/8, 1/2 and 3/8 in the first half
+
+
+def test_integral_of_a_schedule():
+    assert mixing.integrated([(0.0, 2.0), (0.5, 1.0), (1.0, 0.0)]) == [(0.0, 2.0, 0.0), (0.5, 1.0, 0.75), (1.0, 0.0, 1.0)]
+
+
+def test_long_urls_and_hosts(spark):
+    """Characters are counted one by one, so a URL of a megabyte takes seconds, not hours."""
+    rows = [(i, f"https://a{i}.{'net' if i % 2 else 'org/fr'}/p{i}") for i in range(40)]
+    deep = ".".join(f"l{i}" for i in range(10_000))
+    rows += [(100, "https://long.com/" + "x" * 1_000_000), (101, f"https://{deep}.net/"), (102, f"https://{deep}.com/"), (103, None), (104, "")]
+    rows += [(105, "https://é中\U0001f600.com/"), (None, None)]
+    found = {r["page_id"]: r for r in urls.judged(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert found[101]["rule"] == "net/" and found[101]["verdict"] == "block" and found[102]["rule"] is None
+    assert found[100]["host"] == "long.com" and found[103]["verdict"] == found[104]["verdict"] == "block" and len(found) == len(rows)
+    assert found[100]["score"] is not None and found[105]["score"] is not None
+
+
+def test_grams_of_characters_beyond_two_bytes(spark):
+    row = spark.createDataFrame([("a\U0001f600é",)], "t string").select(urls.grams(F.col("t"), 2).alias("g")).first()
+    s, e = urls.START, urls.END
+    assert row["g"] == [s + s + "a", s + "a\U0001f600", "a\U0001f600é", "\U0001f600é" + e]

@@ -47,8 +47,13 @@ def ruled(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFra
     parts = [(verdict, rule, rule.partition("/")[0], "/" + rule.partition("/")[2]) for verdict, rule in rules]
     book = spark.createDataFrame(parts, "ruling string, rule string, domain string, begin string")
     rows = pages.withColumn("host", host(F.col("url"))).withColumn("path", path(F.col("url")))
-    labels = F.split("host", r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    # of a host's parent domains, only those with as many labels as a rule's can fit
+    depths = sorted({domain.count(".") + 1 for _, _, domain, _ in parts})
+    last = F.slice(F.reverse(F.split("host", r"\.")), 1, max(depths, default=1))
+    parents = F.transform(
+        F.filter(F.array(*[F.lit(d) for d in depths]).cast("array<int>"), lambda d: d <= F.size(last)),
+        lambda d: F.array_join(F.reverse(F.slice(last, 1, d)), "."),
+    )
     fits = (
         rows.select("host").distinct().withColumn("domain", F.explode(parents)).join(book, "domain")
         .groupBy("host").agg(F.collect_list(F.struct(F.length("rule").alias("n"), "rule", "ruling", "begin")).alias("fits"))
@@ -68,7 +73,10 @@ def shown(url: Column) -> Column:
 def grams(text: Column, order: int = ORDER) -> Column:
     """Each character, and the end, with the ``order`` characters before it."""
     padded = F.concat(F.lit(START * order), text, F.lit(END))
-    return F.transform(F.sequence(F.lit(1), F.length(text) + 1), lambda i: F.substr(padded, i, F.lit(order + 1)))
+    # the list in a list binds the characters once, so the work is in proportion to the length
+    return F.transform(F.array(F.split(padded, "")), lambda chars: F.transform(
+        F.sequence(F.lit(1), F.size(chars) - order), lambda i: F.array_join(F.slice(chars, i, F.lit(order + 1)), "")
+    ))[0]
 
 
 def log_ratios(counts: DataFrame, order: int = ORDER, strength: float = STRENGTH) -> DataFrame:
@@ -100,7 +108,7 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFr
 
     Both models learn from distinct URLs with a ruling, four fifths of them; the others calibrate the cut,
     the middle of the blocked URLs' 95th and the allowed URLs' 5th percentile. ``score`` is null for URLs a
-    rule decides. A null or empty URL, for which nothing can speak, is blocked. If the rules leave one model
+    rule decides. A null or empty URL, for which nothing can speak, is blocked. Work grows in proportion to a URL's length. If the rules leave one model
     without URLs, others are allowed. Equal URLs are judged once; repeated rows agree.
     """
     rows = ruled(pages.select("page_id", "url"), rules)
@@ -130,6 +138,9 @@ def judged(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES) -> DataFr
     cut = None if known["allowed"] is None or known["blocked"] is None else (known["allowed"] + known["blocked"]) / 2
     cut = F.lit(cut).cast("double")
     verdict = F.when(F.coalesce(F.length("url"), F.lit(0)) == 0, "block").when(F.col("score") < cut, "block").otherwise("allow")
-    return rows.join(scores.where(F.col("ruling").isNull()).select("url", "score"), "url", "left").select(
+    # rows without a URL have no score to find; a key each spreads them
+    key = F.coalesce("url", F.concat(F.lit(END), F.xxhash64("page_id").cast("string")))
+    scores = scores.where(F.col("ruling").isNull()).select(F.col("url").alias("_key"), "score")
+    return rows.withColumn("_key", key).join(scores, "_key", "left").select(
         "page_id", "host", "path", "rule", F.coalesce("ruling", verdict).alias("verdict"), "score", cut.alias("cut")
     )
