@@ -1,7 +1,9 @@
 import re
+import time
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +266,23 @@ def test_licenses_winnowing_guarantee():
     h = rng.integers(0, 9, 200).astype(np.uint64)
     at = set(licenses.winnow(h, 4).tolist())
     assert all(at & set(range(i, i + 4)) for i in range(len(h) - 3))
+
+
+def test_long_words_count_as_in_the_trie(spark, monkeypatch):
+    """The forward pass of a long word and the trie agree, also across its steps."""
+    book = tokens.Vocabulary(tokens.unigram_scores(tokens.default_vocabulary()))
+    rng = np.random.default_rng(4)
+    words = [bytes(rng.choice(np.frombuffer("abcdethé中文字ing0123=".encode(), np.uint8), n)) for n in (1, 2, 7, 300, 700)]
+    words += [("的一是不了人我在" * 40).encode(), b"YWJjZGVm" * 60, b"=" * 500]
+    data = np.frombuffer(b"".join(words), np.uint8)
+    end = np.cumsum([len(w) for w in words])
+    start = end - [len(w) for w in words]
+    expected = book.shared(data, start, end)
+    for step in (3, 64, 1 << 16):
+        monkeypatch.setattr(tokens, "STEP", step)
+        assert [book.forward(np.concatenate((book.mark, np.frombuffer(w, np.uint8)))) for w in words] == expected.tolist()
+    assert book.count(data, start, end).tolist() == expected.tolist()
+    began = time.perf_counter()
+    huge = np.frombuffer(b"QUJD0123" * 125_000, np.uint8)
+    assert book.count(huge, np.array([0]), np.array([len(huge)]))[0] > 1000
+    assert time.perf_counter() - began < 30

@@ -21,6 +21,8 @@ from tidewharf.llm.text import WHITE, Texts, mix, powers, slices
 MARK = "▁"
 UNKNOWN = -20.0
 MEMORY = 1 << 19
+LONG = 256  # bytes; a longer word shares no prefix worth a trie, as in texts without spaces
+STEP = 1 << 16
 
 
 def default_vocabulary() -> str:
@@ -66,7 +68,48 @@ class Vocabulary:
             self.tables[n] = h[order], np.array([scores[p] for p in pieces])[order]
 
     def count(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Tokens of the best segmentation of each word of ``data``; ties go to the longer last piece.
+        """Tokens of the best segmentation of each word of ``data``; ties go to the longer last piece."""
+        out = np.zeros(len(start), np.int64)
+        long = end - start > LONG
+        out[~long] = self.shared(data, start[~long], end[~long])
+        for i in np.flatnonzero(long):
+            out[i] = self.forward(np.concatenate((self.mark, data[start[i] : end[i]])))
+        return out
+
+    def _pieces(self, word: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where a piece begins from ``first`` to ``last`` (excluded), its length and score, by place."""
+        values = word[first : last + self.longest - 1].astype(np.uint64) + np.uint64(1)
+        sums, power, found = np.zeros(last - first, np.uint64), powers(self.longest), []
+        for n in range(1, min(self.longest, len(values)) + 1):
+            fit = min(last - first, len(values) - n + 1)
+            sums[:fit] += values[n - 1 : n - 1 + fit] * power[n - 1]
+            if n in self.tables:
+                known, score = self.tables[n]
+                h = mix(sums[:fit])
+                place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                hit = np.flatnonzero(known[place] == h)
+                found.append((hit, np.full(len(hit), n), score[place[hit]]))
+        at, n, score = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(at, kind="stable")
+        return at[order] + first, n[order], score[order]
+
+    def forward(self, word: np.ndarray) -> int:
+        """Tokens of one word, byte by byte, in time and memory in proportion to its length and the longest piece's."""
+        size = self.longest + 1  # no piece reaches further, so scores are kept in a ring
+        best, tokens, here = [-math.inf] * size, [0] * size, 0
+        best[0] = 0.0
+        for base in range(0, len(word), STEP):
+            for i, n, score in zip(*(x.tolist() for x in self._pieces(word, base, min(base + STEP, len(word))))):
+                if i > here:
+                    best[here % size] = -math.inf
+                    here = i
+                value, to = best[i % size] + score, (i + n) % size
+                if value > best[to]:  # of equal values the first stays, which has the longer piece
+                    best[to], tokens[to] = value, tokens[i % size] + 1
+        return tokens[len(word) % size]
+
+    def shared(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The counts of many words through a trie.
 
         Level by level through the trie: a node of depth d is a distinct prefix of d bytes, kept as the hash
         of those bytes, with the place of one word below it and the node above.
@@ -121,7 +164,7 @@ def count_tokens(docs: DataFrame, *keys: str | Column, vocabulary: str | dict[by
 
     ``vocabulary`` is the path of a sentencepiece file or a dict of pieces and log probabilities. Distinct
     words are inserted in a trie for each slice of texts; a task remembers the counts of words it has met, a
-    bounded number of them. Null and blank texts have no words and no tokens.
+    bounded number of them. Words of over ``LONG`` bytes are scored on their own, as each level of a trie costs some time. Null and blank texts have no words and no tokens.
     """
     scores = vocabulary if isinstance(vocabulary, dict) else unigram_scores(vocabulary or default_vocabulary())
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(scores))
