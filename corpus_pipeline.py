@@ -48,7 +48,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix reads, in training order, with the words taken and the positions."""
-    return mixing.training_order(mixing.assigned(docs))
+    return mixing.training_order(mixing.assigned(docs, schedule=mixing.CURRICULUM))
 
 
 STAGES = [
