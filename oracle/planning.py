@@ -60,6 +60,54 @@ SELECT product_id, CAST(NULL AS VARCHAR) AS warehouse_id, CAST(NULL AS VARCHAR)
   (SELECT mape FROM t_scores) AS mape
 FROM t_ahead, (VALUES (3), (6), (12)) v(h) WHERE step <= h"""
 
+# The trend of straight pieces: the normal equations of each product, their Cholesky factor and both substitutions.
+SINES = {
+    "sin1": [500, 866, 1000, 866, 500, 0, -500, -866, -1000, -866, -500, 0], "cos1": [866, 500, 0, -500, -866, -1000, -866, -500, 0, 500, 866, 1000],
+    "sin2": [866, 866, 0, -866, -866, 0, 866, 866, 0, -866, -866, 0], "cos2": [500, -500, -1000, -500, 500, 1000, 500, -500, -1000, -500, 500, 1000],
+}
+PIECES = [  # value, divisor, ridge
+    ("1", 1, 0), ("x", 1, 500), ("GREATEST(x - CAST(floor(span * 1 / 3) AS BIGINT), 0)", 1, 5000),
+    ("GREATEST(x - CAST(floor(span * 2 / 3) AS BIGINT), 0)", 1, 5000), *[(f"{values}[moy]", 1000, 50) for values in SINES.values()],
+]
+
+
+def solved(rows: str) -> str:
+    """Coefficients w0 to w7 of each product from relation ``rows`` (product_id, x, moy, span, demand)."""
+    ids = range(len(PIECES))
+    value = ", ".join(f"CAST({v} AS BIGINT) AS f{i}" for i, (v, _, _) in enumerate(PIECES))
+    lower = [(i, j) for i in ids for j in ids if j <= i]
+    gram = ", ".join(f"SUM(f{i} * f{j})::DOUBLE / {float(PIECES[i][1] * PIECES[j][1])}::DOUBLE + {float(PIECES[i][2] if i == j else 0)}::DOUBLE AS g{i}{j}" for i, j in lower)
+    right = ", ".join(f"SUM(f{i} * demand)::DOUBLE / {float(PIECES[i][1])}::DOUBLE AS b{i}" for i in ids)
+    out = f"SELECT product_id, {gram}, {right} FROM (SELECT product_id, demand, {value} FROM {rows}) GROUP BY product_id"
+    for j in ids:
+        out = f"SELECT *, sqrt(g{j}{j}{''.join(f' - l{j}{k} * l{j}{k}' for k in range(j))}) AS l{j}{j} FROM ({out})"
+        for i in range(j + 1, len(PIECES)):
+            out = f"SELECT *, (g{i}{j}{''.join(f' - l{i}{k} * l{j}{k}' for k in range(j))}) / l{j}{j} AS l{i}{j} FROM ({out})"
+    for i in ids:
+        out = f"SELECT *, (b{i}{''.join(f' - l{i}{k} * z{k}' for k in range(i))}) / l{i}{i} AS z{i} FROM ({out})"
+    for i in reversed(ids):
+        out = f"SELECT *, (z{i}{''.join(f' - l{k}{i} * w{k}' for k in range(i + 1, len(PIECES)))}) / l{i}{i} AS w{i} FROM ({out})"
+    return out
+
+
+LEVEL = "w0" + "".join(f" + w{i} * (CAST({v} AS DOUBLE) / {float(d)}::DOUBLE)" for i, (v, d, _) in enumerate(PIECES) if i)
+CTES["t_span"] = """
+SELECT product_id, MIN(demand_date) AS first_day, MAX(demand_date) AS last_day, date_diff('month', MIN(demand_date), MAX(demand_date)) AS whole
+FROM t_monthly GROUP BY product_id HAVING COUNT(*) >= 12"""
+CTES["t_pieces"] = """
+SELECT product_id, demand_date, demand, date_diff('month', first_day, demand_date) AS x, month(demand_date) AS moy, whole,
+  CAST(floor(whole * 8 / 10) AS BIGINT) AS span FROM t_monthly JOIN t_span USING (product_id)"""
+CTES["t_pieces_seen"] = "SELECT * FROM t_pieces WHERE x <= span"
+CTES["t_pieces_all"] = "SELECT * REPLACE (whole AS span) FROM t_pieces"
+CTES["t_pieces_held"] = f"""
+SELECT 'piecewise_trend' AS model, product_id, demand_date, demand AS actual, {up(f'GREATEST({LEVEL}, 0)', 4)} AS predicted
+FROM t_pieces JOIN ({solved('t_pieces_seen')}) USING (product_id) WHERE x > span"""
+CTES["t_pieces_scores"] = f"SELECT model, {METRICS} FROM t_pieces_held GROUP BY model"
+CTES["t_pieces_ahead"] = f"""
+SELECT product_id, last_day, step, {up(f'GREATEST({LEVEL}, 0)', 4)} AS predicted FROM (
+  SELECT product_id, last_day, step, whole AS span, whole + step AS x, month(last_day + to_months(CAST(step AS INTEGER))) AS moy
+  FROM t_span, generate_series(1, 12) g(step)) JOIN ({solved('t_pieces_all')}) USING (product_id)"""
+
 CTES["t_stats"] = f"""
 SELECT product_id, warehouse_id, {mean('demand_quantity')} AS avg_daily_demand, {big('SUM(demand_quantity)')} AS total_demand
 FROM t_demand GROUP BY product_id, warehouse_id"""
@@ -204,6 +252,14 @@ BODIES = {
     "fc_mape": f"""SELECT product_id, {up('COALESCE(AVG(abs((actual - predicted) / actual)) FILTER (WHERE actual <> 0) * 100, 0)', 6)} AS mape
         FROM t_holdout GROUP BY product_id""",
     "fc_seasonal_forecasts": "SELECT * FROM t_forecasts",
+    "fc_piecewise": "SELECT * FROM t_pieces_held",
+    "fc_piecewise_metrics": "SELECT * FROM t_pieces_scores UNION ALL SELECT * FROM t_scores",
+    "fc_piecewise_forecasts": f"""SELECT product_id, CAST(NULL AS VARCHAR) AS warehouse_id, CAST(NULL AS VARCHAR) AS region,
+        CAST(last_day + to_months(CAST(step AS INTEGER)) AS DATE) AS forecast_date, CAST(h AS INTEGER) AS horizon_months,
+        'piecewise_trend' AS model_name, {even('predicted', 2)} AS predicted_demand, {even('predicted * 0.85::DOUBLE', 2)} AS lower_bound,
+        {even('predicted * 1.15::DOUBLE', 2)} AS upper_bound, (SELECT rmse FROM t_pieces_scores) AS rmse,
+        (SELECT mae FROM t_pieces_scores) AS mae, (SELECT mape FROM t_pieces_scores) AS mape
+        FROM t_pieces_ahead, (VALUES (3), (6), (12)) v(h) WHERE step <= h""",
     "q38_forecast_accuracy": f"""SELECT product_id, model_name, horizon_months, {up('AVG(mape)', 2)} AS avg_mape, {up('AVG(rmse)', 2)} AS avg_rmse,
         COUNT(*) AS forecast_count FROM t_forecasts GROUP BY product_id, model_name, horizon_months
         ORDER BY avg_mape, product_id, model_name, horizon_months LIMIT 20""",

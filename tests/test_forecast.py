@@ -1,9 +1,10 @@
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewharf.operators import forecast
+from tidewharf.operators import forecast, piecewise
 
 
 def month(n):
@@ -101,3 +102,43 @@ def test_flat_forecasts_repeat_over_horizons(spark, monthly, cleaned):
     assert per == {"p1": (21, 1), "p2": (21, 1)}
     assert got.filter("lower_bound > predicted_demand OR predicted_demand > upper_bound OR predicted_demand < 0").count() == 0
     assert str(got.agg(F.min("forecast_date")).first()[0]) == "2022-07-01"
+
+
+def by_hand(x, moy, span, y):
+    """Coefficients from the same normal equations, solved by numpy."""
+    columns = [np.ones(len(x)), x, np.maximum(x - span // 3, 0), np.maximum(x - 2 * span // 3, 0)]
+    columns += [np.array(piecewise.wave(f, k))[moy - 1] / piecewise.WAVE for k in (1, 2) for f in ("sin", "cos")]
+    rows = np.stack(columns, 1).astype(float)
+    ridge = np.diag([0, piecewise.LINE_RIDGE, *[piecewise.CHANGE_RIDGE] * 2, *[piecewise.WAVE_RIDGE] * 4])
+    return np.linalg.solve(rows.T @ rows + ridge, rows.T @ y)
+
+
+def test_piecewise_coefficients_equal_a_plain_solution(spark):
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for p, n in enumerate((12, 25, 90)):
+        x = np.sort(rng.choice(n * 2, n, replace=False)) if p else np.arange(n)
+        y = rng.integers(0, 500, n)
+        rows += [(p, int(i), int(i % 12 + 1), int(x[-1]), int(v)) for i, v in zip(x, y)]
+        want[p] = by_hand(x, x % 12 + 1, x[-1], y)
+    df = spark.createDataFrame(rows, "product_id int, x long, moy int, span long, demand long").repartition(5)
+    for row in piecewise.coefficients(df, "product_id").collect():
+        assert np.allclose(row[1:], want[row["product_id"]], rtol=1e-8)
+
+
+def test_piecewise_follows_a_bend_that_a_line_misses(spark):
+    values = [int(20 + 2 * min(i, 40) + 9 * max(i - 40, 0) + 30 * np.sin(2 * np.pi * (i % 12 + 1) / 12)) for i in range(100)]
+    monthly = spark.createDataFrame([("p", month(i), v) for i, v in enumerate(values)], "product_id string, demand_date date, demand bigint")
+    both = {r.model: r for r in forecast.metrics(piecewise.holdout(monthly).unionByName(forecast.seasonal_holdout(monthly))).collect()}
+    assert both[piecewise.MODEL].mape < 0.6 * both[forecast.SEASONAL].mape
+    ahead = piecewise.steps(monthly).orderBy("step").collect()
+    assert len(ahead) == 12 and [r.step for r in ahead] == list(range(1, 13)) and ahead[-1].predicted > values[-1]
+    assert piecewise.holdout(monthly.limit(5)).count() == 0
+
+
+def test_piecewise_is_better_than_the_line_on_held_out_months(spark):
+    from tidewharf.sources.star import StarTables
+
+    monthly = forecast.monthly_series(StarTables(spark, "/root/testdata/sf0.01"))
+    both = {r.model: r for r in forecast.metrics(piecewise.holdout(monthly).unionByName(forecast.seasonal_holdout(monthly))).collect()}
+    assert both[piecewise.MODEL].mape < both[forecast.SEASONAL].mape and both[piecewise.MODEL].mae < both[forecast.SEASONAL].mae

@@ -266,7 +266,7 @@ def seasonal_steps(monthly: DataFrame, key: str = "product_id", months: int = ma
 # --------------------------------------------------------------------------- forecasts
 
 
-def _records(steps: DataFrame, model: str, scores: DataFrame | None) -> DataFrame:
+def records(steps: DataFrame, model: str, scores: DataFrame | None) -> DataFrame:
     """Forecast table rows of (product_id, last_month, step, horizon_months, predicted)."""
     def score(name: str) -> Column:
         if scores is None:
@@ -296,7 +296,7 @@ def seasonal_forecasts(
     steps = seasonal_steps(monthly, months=max(horizons))
     reached = F.filter(F.array(*[F.lit(h) for h in horizons]), lambda h: h >= F.col("step"))
     steps = steps.withColumn("horizon_months", F.explode(reached))
-    return _records(steps, SEASONAL, metrics(seasonal_holdout(monthly)) if with_scores else None)
+    return records(steps, SEASONAL, metrics(seasonal_holdout(monthly)) if with_scores else None)
 
 
 def model_forecasts(
@@ -318,7 +318,7 @@ def model_forecasts(
     steps = flat.withColumn("_ahead", F.explode(F.array(*pairs))).select(
         "product_id", F.col("demand_date").alias("last_month"), "_ahead.step", "_ahead.horizon_months", "predicted"
     )
-    return _records(steps, model, scores)
+    return records(steps, model, scores)
 
 
 def run(t: SupplyTables, quick: bool = False) -> dict[str, DataFrame]:

@@ -15,7 +15,7 @@ from tidewharf.functions.rules import economic_order_quantity, safety_stock
 from tidewharf.functions.scratch import materialized, new_folder
 from tidewharf.operators import (
     advanced, basic, clean, forecast, insights, intermediate, inventory, kpi, logistics, measures, optimize,
-    quality, reporting, suppliers, views,
+    piecewise, quality, reporting, suppliers, views,
 )
 from tidewharf.plans import flow
 from tidewharf.plans.ledger import AUDIT, Ledger
@@ -321,6 +321,11 @@ FORECASTS: dict[str, Query] = {
     "fc_train_select": _selected,
     "fc_seasonal": _holdout,
     "fc_seasonal_forecasts": forecast.seasonal_forecasts,
+    "fc_piecewise": lambda t: piecewise.holdout(forecast.monthly_series(t)),
+    "fc_piecewise_metrics": lambda t: forecast.metrics(
+        piecewise.holdout(forecast.monthly_series(t)).unionByName(_holdout(t))
+    ),
+    "fc_piecewise_forecasts": piecewise.forecasts,
     "fc_top_products": lambda t: forecast.top_products(_features(t)),
     "fc_generate": _generated,
     "fc_run": _forecast_run,
