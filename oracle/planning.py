@@ -239,11 +239,11 @@ BODIES = {
         SELECT *, {DIGEST} AS d, CAST('0x' || {DIGEST}[1:8] AS BIGINT) AS u FROM t_lags ORDER BY u, product_id, demand_date LIMIT 50000)""",
     "fc_top_products": f"SELECT product_id, {big('SUM(demand)')} AS total_demand FROM t_lags GROUP BY product_id ORDER BY SUM(demand) DESC, product_id LIMIT 100",
     "fc_linear": HELD_OUT.format(name="linear_regression", last="CAST(demand AS DOUBLE) AS predicted"),
-    "fc_random_forest": HELD_OUT.format(name="random_forest", last="true AS in_training_range"),
-    "fc_gbt": HELD_OUT.format(name="gradient_boosting", last="true AS not_negative"),
-    "fc_train_select": """SELECT model, model = 'linear_regression' AS is_best, count(*) > 0 AS errors_agree
+    "fc_random_forest_range": HELD_OUT.format(name="random_forest", last="true AS in_training_range"),
+    "fc_gbt_sign": HELD_OUT.format(name="gradient_boosting", last="true AS not_negative"),
+    "fc_train_select_errors": """SELECT model, model = 'linear_regression' AS is_best, count(*) > 0 AS errors_agree
         FROM t_lags, (VALUES ('linear_regression'), ('random_forest'), ('gradient_boosting')) v(model) GROUP BY model""",
-    "fc_generate": """SELECT product_id, CAST(d + to_months(CAST(m AS INTEGER)) AS DATE) AS forecast_date, h AS horizon_months,
+    "fc_generate_bounds": """SELECT product_id, CAST(d + to_months(CAST(m AS INTEGER)) AS DATE) AS forecast_date, h AS horizon_months,
         'gradient_boosting' AS model_name, true AS bounds_agree
         FROM (SELECT product_id, MAX(demand_date) AS d FROM t_lags GROUP BY product_id), (VALUES (3), (6), (12)) v(h), generate_series(1, 12) s(m)
         WHERE m <= h""",

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewharf.operators import forecast, piecewise
+from tidewharf.operators import boosting, forecast, piecewise
 
 
 def month(n):
@@ -142,3 +142,53 @@ def test_piecewise_is_better_than_the_line_on_held_out_months(spark):
     monthly = forecast.monthly_series(StarTables(spark, "/root/testdata/sf0.01"))
     both = {r.model: r for r in forecast.metrics(piecewise.holdout(monthly).unionByName(forecast.seasonal_holdout(monthly))).collect()}
     assert both[piecewise.MODEL].mape < both[forecast.SEASONAL].mape and both[piecewise.MODEL].mae < both[forecast.SEASONAL].mae
+
+
+def plain_boosting(x, y, edges, base, trees, depth, step, l2, least):
+    """The same trees from all rows in memory."""
+    bins = np.stack([(np.array(e)[None, :] < x[:, i : i + 1]).sum(1) for i, e in enumerate(edges)], 1)
+    p = np.full(len(y), base)
+    for _ in range(trees):
+        g = np.array([int(np.floor(abs(v) + 0.5)) * (1 if v >= 0 else -1) for v in (p - y) * boosting.FINE])
+        node, open_, weight = np.ones(len(y), int), [1], {1: -step * (g.sum() / boosting.FINE) / (len(y) + l2)}
+        for _ in range(depth):
+            below = []
+            for k in open_:
+                own, best, cut = node == k, 1e-9, None
+                score = lambda m: (int(g[m].sum()) / boosting.FINE) ** 2 / (m.sum() + l2)
+                for f in range(x.shape[1]):
+                    for b in sorted(set(bins[own, f]))[:-1]:
+                        left, right = own & (bins[:, f] <= b), own & (bins[:, f] > b)
+                        gain = score(left) + score(right) - score(own)
+                        if min(left.sum(), right.sum()) >= least and gain > best:
+                            best, cut = gain, (left, right)
+                if cut:
+                    for child, rows in zip((2 * k, 2 * k + 1), cut):
+                        node[rows] = child
+                        weight[child] = -step * (int(g[rows].sum()) / boosting.FINE) / (rows.sum() + l2)
+                        below.append(child)
+            open_ = below
+        p = p + np.array([weight[k] for k in node])
+    return np.maximum(p, 0)
+
+
+def test_newton_boosting_equals_brute_force(spark):
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 20, (300, 3)).astype(float)
+    y = np.round(3 * x[:, 0] + np.where(x[:, 1] > 9, 40, 0) + rng.normal(0, 2, 300), 2)
+    rows = [(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))] + [(999, 1.0, 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, y double")
+    settings = {"trees": 4, "depth": 3, "step": 0.3, "l2": 2.0, "least_rows": 4}
+    model = boosting.fit(df.repartition(5), ["a", "b", "c"], "y", bins=8, **settings)
+    again = boosting.fit(df.repartition(2), ["a", "b", "c"], "y", bins=8, **settings)
+    assert [t.splits for t in model.trees] == [t.splits for t in again.trees]
+    got = {r["id"]: r["predicted"] for r in boosting.predict(model, df).collect()}
+    want = plain_boosting(x, y, model.edges, model.base, 4, 3, 0.3, 2.0, 4)
+    assert np.allclose([got[i] for i in range(300)], want) and 999 in got
+    assert np.mean(np.abs(want - y)) < 0.5 * np.mean(np.abs(y - y.mean()))
+
+
+def test_newton_boosting_on_one_value(spark):
+    df = spark.createDataFrame([(1.0, 5.0)] * 20, "a double, y double")
+    model = boosting.fit(df, ["a"], "y", trees=3)
+    assert len(model.trees) == 1 and boosting.predict(model, df).first()["predicted"] == 5.0

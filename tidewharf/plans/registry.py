@@ -14,7 +14,7 @@ from tidewharf.functions.numbers import half_up
 from tidewharf.functions.rules import economic_order_quantity, safety_stock
 from tidewharf.functions.scratch import materialized, new_folder
 from tidewharf.operators import (
-    advanced, basic, clean, forecast, insights, intermediate, inventory, kpi, logistics, measures, optimize,
+    advanced, basic, boosting, clean, forecast, insights, intermediate, inventory, kpi, logistics, measures, optimize,
     piecewise, quality, reporting, suppliers, views,
 )
 from tidewharf.plans import flow
@@ -255,13 +255,16 @@ def _features(t: StarTables) -> DataFrame:
     return forecast.lag_features(forecast.monthly_series(t))
 
 
-def _held_out(name: str, checked: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
-    """Predictions for all held-out rows, with what is certain about them whatever the fit."""
+def _held_out(name: str, checked: Callable[[DataFrame, DataFrame], DataFrame], whole: bool = True) -> Query:
+    """Predictions for all held-out rows; ``checked`` adds what is certain about them whatever the fit.
+
+    Without ``whole`` that alone is returned, which SQL can state.
+    """
     def predictions(t: StarTables) -> DataFrame:
         rows = forecast.split_features(t)
         training = forecast.training_part(rows)
         found = checked(forecast.holdout_predictions(name, rows, training), training)
-        return found.select("model", "product_id", "demand_date", "actual", found.columns[-1])
+        return found if whole else found.select("model", "product_id", "demand_date", "actual", found.columns[-1])
 
     return predictions
 
@@ -281,13 +284,13 @@ def _not_negative(found: DataFrame, training: DataFrame) -> DataFrame:
     return found.withColumn("not_negative", F.col("predicted") >= 0)
 
 
-def _selected(t: StarTables) -> DataFrame:
+def _sound_scores(t: StarTables) -> DataFrame:
     scores = forecast.train_models(t)
     sound = (F.col("mae") >= 0) & (F.col("mae") <= F.col("rmse") + 1e-6) & (F.col("mape") >= 0)
     return scores.select("model", "is_best", sound.alias("errors_agree"))
 
 
-def _generated(t: StarTables) -> DataFrame:
+def _sound_bounds(t: StarTables) -> DataFrame:
     predicted = F.col("predicted_demand")
     sound = (predicted >= 0) & (F.abs(F.col("lower_bound") - predicted * forecast.LOWER) < 0.011) & (
         F.abs(F.col("upper_bound") - predicted * forecast.UPPER) < 0.011
@@ -317,8 +320,12 @@ FORECASTS: dict[str, Query] = {
     "fc_sample_split": lambda t: forecast.sample_split(_features(t)),
     "fc_linear": _held_out("linear_regression", _exact),
     "fc_random_forest": _held_out("random_forest", _inside),
+    "fc_random_forest_range": _held_out("random_forest", _inside, whole=False),
     "fc_gbt": _held_out("gradient_boosting", _not_negative),
-    "fc_train_select": _selected,
+    "fc_gbt_sign": _held_out("gradient_boosting", _not_negative, whole=False),
+    "fc_newton": boosting.holdout,
+    "fc_train_select": forecast.train_models,
+    "fc_train_select_errors": _sound_scores,
     "fc_seasonal": _holdout,
     "fc_seasonal_forecasts": forecast.seasonal_forecasts,
     "fc_piecewise": lambda t: piecewise.holdout(forecast.monthly_series(t)),
@@ -327,7 +334,8 @@ FORECASTS: dict[str, Query] = {
     ),
     "fc_piecewise_forecasts": piecewise.forecasts,
     "fc_top_products": lambda t: forecast.top_products(_features(t)),
-    "fc_generate": _generated,
+    "fc_generate": forecast.model_forecasts,
+    "fc_generate_bounds": _sound_bounds,
     "fc_run": _forecast_run,
     "q38_forecast_accuracy": lambda t: forecast.accuracy(forecast.seasonal_forecasts(t)),
 }
