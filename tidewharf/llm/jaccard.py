@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewharf.functions.scratch import materialized
+from tidewharf.functions.scratch import materialized, temporary
 from tidewharf.llm.text import WHITE, Texts, mix, slices, unused, window_hashes
 
 FREQUENCY_BUCKETS = 1 << 18
@@ -233,11 +233,12 @@ def link_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found from a class to others that the components rest on. Null texts and texts without words have no
     shingles and link with nothing. Repeated rows fall in one class. Null keys are never the smallest.
     """
-    return _linked(docs, words, percent).select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).alias("n_links"),
-        F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"),
-    )
+    with temporary(docs.sparkSession) as made:
+        return made.keep(materialized(_linked(docs, words, percent).select(
+            "doc_id", F.col("n").alias("n_shingles"), F.col("c").alias("class_id"),
+            F.coalesce("n_links", F.lit(0)).alias("n_links"),
+            F.when(F.col("n") > 0, F.col("low")).otherwise(F.col("doc_id")).alias("component_id"),
+        )))
 
 
 def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -245,19 +246,28 @@ def one_per_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFra
 
     Texts without words link with nothing and all stay. Of rows repeated in key and text one stays.
     """
+    with temporary(docs.sparkSession) as made:
+        leaves, repeated = _surplus(docs, words, percent)
+        made.keep(leaves, repeated)
+    own = unused(docs.columns, "_row")
+    keyed = docs.withColumn(own, row_key())
+    rest = keyed.join(leaves.select(F.col("leaves").alias(own)), own, "left_anti")
+    again = keyed.join(repeated.select(F.col("repeated").alias(own)), own, "left_semi").dropDuplicates([own])
+    return rest.unionByName(again).select(*docs.columns)
+
+
+def _surplus(docs: DataFrame, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Keys of the rows that are not the first of their component, and of first rows that are repeated."""
     found = materialized(_linked(docs, words, percent).where("n > 0").select("doc_id", "row", "root"))
     kinds = found.groupBy("root", "row").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("times"))
     kinds = materialized(kinds)
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "row")
-    first = kinds.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first.row").alias("first"))
+    # stored, so that the join with a root's many kinds can be split
+    first = materialized(kinds.groupBy("root").agg(F.min(order).alias("first")).select("root", F.col("first.row").alias("first")))
     marked = kinds.join(first, "root").withColumn("stays", F.col("row") == F.col("first"))
     leaves = materialized(marked.where("not stays or times > 1").select(F.col("row").alias("leaves")))
     repeated = materialized(marked.where("stays and times > 1").select(F.col("row").alias("repeated")))
-    own = unused(docs.columns, "_row")
-    keyed = docs.withColumn(own, row_key())
-    rest = keyed.join(leaves.select(F.col("leaves").alias(own)), own, "left_anti")
-    again = keyed.join(repeated.select(F.col("repeated").alias(own)), own, "left_semi").dropDuplicates([own])
-    return rest.unionByName(again).select(*docs.columns)
+    return leaves, repeated
 
 
 def row_key() -> Column:
@@ -340,9 +350,11 @@ def _groups(members: DataFrame, percent: int) -> DataFrame:
     """``(c, g, k, alone, part, n, holds, room)``: for every class its component so far and its group's block.
 
     Two rounds of leaders, each over classes ordered by another minimum hash, link classes to ``g``. A group
-    ``k`` holds the components with the same minimum hash; it is cut in blocks of about MEMBERS classes. A
-    component larger than that has blocks ``alone``, named by it; others share blocks, where ``alone`` is -1.
-    Rounds and groups only save work: links they miss are found by the matrix.
+    ``k`` holds components that are similar: a component takes the smallest name of those with which one of its
+    classes shares a minimum hash, in two steps, so that copies edited in many places still fall into the group of
+    the others and not into one each. It is cut in blocks of about MEMBERS classes. A component larger than that has
+    blocks ``alone``, named by it; others share blocks, where ``alone`` is -1. Rounds and groups only save work: links
+    they miss are found by the matrix.
     """
     def led(rows: DataFrame, by: str, then: str) -> DataFrame:
         ordered = rows.repartitionByRange(by, then, "c").sortWithinPartitions(by, then, "c")
@@ -352,8 +364,13 @@ def _groups(members: DataFrame, percent: int) -> DataFrame:
     heads = first.where("c = leader").select("c")
     second = led(members.join(heads, "c"), "low_2", "low_1")
     joined = first.join(second.select(F.col("c").alias("leader"), F.col("leader").alias("g")), "leader").select("c", "g")
-    joined = materialized(joined.join(members.select("c", "n", "holds", "room", "low_1"), "c"))
-    parts = joined.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min("low_1").alias("k"))
+    joined = materialized(joined.join(members.select("c", "n", "holds", "room", "low_1", "low_2"), "c"))
+    names = joined.groupBy("g").agg(F.min("low_1").alias("k"))
+    for low in ("low_2", "low_1"):
+        named = materialized(joined.select("g", low).distinct().join(names, "g"))
+        shared = materialized(named.groupBy(low).agg(F.min("k").alias("k")))
+        names = materialized(named.select("g", low).join(shared, low).groupBy("g").agg(F.min("k").alias("k")))
+    parts = materialized(joined.groupBy("g").agg(F.count(F.lit(1)).alias("size")).join(names, "g"))
     sizes = parts.where(F.col("size") <= MEMBERS).groupBy("k").agg(F.sum("size").alias("whole"))
     large = F.col("size") > MEMBERS
     part = F.when(large, F.pmod(F.xxhash64("c"), F.ceil(F.col("size") / MEMBERS))).otherwise(
