@@ -171,6 +171,7 @@ BODIES = {
     "sup_analyze": f"SELECT *, (SELECT COUNT(*) FROM t_cards) AS scorecards_generated FROM ({SUP_SUMMARY})",
     "log_summary": "SELECT * FROM t_routes",
     "log_delayed": LATE,
+    "log_delayed_buckets": LATE,
     "log_high_risk": "SELECT * FROM t_routes WHERE delay_rate_pct >= 20",
     "log_expensive": "SELECT * FROM t_routes ORDER BY avg_shipping_cost DESC, route, carrier LIMIT 20",
     "log_carriers": "SELECT * FROM t_carriers",

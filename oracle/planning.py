@@ -298,6 +298,9 @@ BODIES = {
         ORDER BY t_health.inventory_value DESC, product_id, warehouse_id LIMIT 50""",
     "api_understocked": f"SELECT {HEALTH_OUT} FROM t_health WHERE {LOW} ORDER BY {URGENCY} LIMIT 50",
     "api_delayed": f"{LATE} ORDER BY delay_days DESC, shipment_id LIMIT 50",
+    "api_forecast_lookup": """SELECT * EXCLUDE (rmse, mae, mape) FROM t_forecasts WHERE horizon_months = 12 AND product_id = (
+        SELECT product_id FROM t_forecasts WHERE horizon_months = 12 GROUP BY product_id
+        ORDER BY SUM(CAST(predicted_demand AS DECIMAL(18,2))) DESC, product_id LIMIT 1)""",
     "api_forecasts": "SELECT * FROM t_forecasts WHERE horizon_months = 3 ORDER BY forecast_date, product_id LIMIT 500",
     "api_top_products": f"""SELECT product_id, product_name, category, {big('SUM(quantity)')} AS total_quantity, {dbl('SUM(total_amount)')} AS total_revenue
         FROM t_orders JOIN t_products USING (product_id) WHERE order_status = 'Delivered' GROUP BY product_id, product_name, category

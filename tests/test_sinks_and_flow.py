@@ -6,12 +6,13 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import day
-from tidewharf.operators import clean
+from tidewharf.operators import clean, logistics, optimize, summaries
 from tidewharf.plans import flow
 from tidewharf.plans.ledger import Ledger, Outcome
 from tidewharf.schemas import RAW, SOURCE_TABLES, STORED
-from tidewharf.sources import files, sinks, versions
-from tidewharf.sources.tables import stored_tables
+from tidewharf.sources import buckets, files, sinks, versions
+from tidewharf.sources.star import StarTables
+from tidewharf.sources.tables import SupplyTables, stored_tables
 
 
 def frame(spark, rows):
@@ -214,3 +215,74 @@ def test_steps_read_the_source_once(spark, raw):
     assert df._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
     df.write.format("noop").mode("overwrite").save()
     assert steps.rows()["read"] == raw["orders"].count() and steps.rows()["complete"] == df.count()
+
+
+def rows_scanned(df):
+    """Rows that the scans of a plan gave out when it ran, before any filter."""
+    df.collect()
+    plan, total = df._jdf.queryExecution().executedPlan(), 0
+    nodes = [plan]
+    while nodes:
+        node = nodes.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            nodes.append(node.executedPlan())
+            continue
+        if node.getClass().getSimpleName() == "FileSourceScanExec":
+            total += node.metrics().apply("numOutputRows").value()
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_lookup_skips_what_cannot_hold_the_value(spark, tmp_path):
+    rows = spark.range(200_000).selectExpr("concat('P', lpad(string(id * 7919 % 20000), 6, '0')) AS product_id", "id AS v")
+    path = f"{tmp_path}/t"
+    assert sinks.write(rows, path, lookup=("product_id",)) == 200_000
+    found = spark.read.parquet(path).filter("product_id = 'P001234'")
+    assert found.count() == 10 and rows_scanned(found) <= 0.25 * 200_000
+    assert rows_scanned(spark.read.parquet(path).filter("product_id = 'P0012345'")) == 0  # inside the ranges; the bloom filter tells
+
+
+def test_bucketed_orders_and_shipments_join_without_a_shuffle(spark, tmp_path):
+    t = StarTables(spark, "/root/testdata/sf0.001")
+    stored = buckets.by_order(t, spark, str(tmp_path), "test_join", 4)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = stored.logistics("order_id", "is_delayed").filter("is_delayed").join(stored.orders("order_id", "product_id"), "order_id")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        want = t.logistics("order_id", "is_delayed").filter("is_delayed").join(t.orders("order_id", "product_id"), "order_id")
+        assert joined.count() == want.count() > 0
+        again = buckets.declare(spark, "test_again", f"{tmp_path}/orders_by_order", spark.table("test_join_orders")._jdf.schema().toDDL(), "order_id", 4)
+        assert "Exchange" not in again.groupBy("order_id").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    late, same = logistics.delayed(stored), logistics.delayed(t)
+    assert sorted(map(str, late.collect())) == sorted(map(str, same.collect()))
+    assert buckets.buckets_for(10) == 8 and buckets.buckets_for(10**10) == 4096
+
+
+def test_new_month_updates_its_sums_only(spark, tmp_path):
+    def demand(rows):
+        return SupplyTables({"demand_history": spark.createDataFrame(rows, "product_id string, warehouse_id string, demand_date date, demand_quantity int")})
+
+    path = f"{tmp_path}/pair_months"
+    rows = [("p", "w", day(f"2024-0{m}-{d:02}"), m * d) for m in (1, 2, 3) for d in (1, 9)] + [("p", None, day("2024-01-05"), None)]
+    summaries.refresh(demand(rows), path)
+    before = part_files(path)
+    rows += [("p", "w", day("2024-03-20"), 100), ("q", "w", day("2024-04-02"), 7)]
+    summaries.refresh(demand(rows), path, day("2024-03-15"))
+    stored = SupplyTables({"pair_months": sinks.read(spark, path)})
+    kept = {f for f in before if "2024-03" not in f}
+    assert kept < part_files(path)
+    key = lambda df: sorted(map(str, df.select("product_id", "warehouse_id", "avg_daily_demand", "total_demand").collect()))
+    assert key(optimize.demand_stats(stored)) == key(optimize.demand_stats(demand(rows)))
+    assert "month=2024-04" in str(part_files(path)) and stored.pair_months().count() == 5
+
+
+def test_planning_reads_the_line_items_once(spark):
+    t = StarTables(spark, "/root/testdata/sf0.001")
+    once = t.summarised()
+    for name, plain in (("demand", optimize.demand_stats(t)), ("stock", optimize.supply_terms(t))):
+        shared = optimize.demand_stats(once) if name == "demand" else optimize.supply_terms(once)
+        assert not any("lineitem" in f for f in shared.inputFiles())
+        assert sorted(map(str, shared.collect())) == sorted(map(str, plain.collect()))

@@ -85,6 +85,8 @@ def daily_demand(t: SupplyTables, level: str = "product") -> DataFrame:
 def monthly_series(t: SupplyTables, level: str = "product") -> DataFrame:
     """Units per entity and month. Only months with demand appear."""
     key = LEVELS[level]
+    if level != "region":
+        return t.pair_months().groupBy(key, F.col("month").alias("demand_date")).agg(F.sum("units").alias("demand"))
     rows = t.demand_history(key, "demand_date", "demand_quantity")
     return rows.groupBy(key, F.trunc("demand_date", "MM").alias("demand_date")).agg(
         F.sum("demand_quantity").alias("demand")

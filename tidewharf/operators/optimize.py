@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewharf.functions import text
-from tidewharf.functions.numbers import half_even, mean, row_count
+from tidewharf.functions.numbers import half_even, mean, ratio, row_count
 from tidewharf.functions.ranking import with_position
 from tidewharf.functions.rules import (
     DEFAULT_LEAD_TIME, PRIORITIES, economic_order_quantity, order_in, safety_stock,
@@ -20,10 +20,9 @@ Day = datetime.date | None
 
 def demand_stats(t: SupplyTables) -> DataFrame:
     """Mean and total demand per product and warehouse; the mean is over days that had demand."""
-    rows = t.demand_history("product_id", "warehouse_id", "demand_date", "demand_quantity")
-    return rows.groupBy("product_id", "warehouse_id").agg(
-        mean(F.col("demand_quantity")).alias("avg_daily_demand"),
-        F.sum("demand_quantity").alias("total_demand"),
+    return t.pair_months().groupBy("product_id", "warehouse_id").agg(
+        ratio(F.sum("units"), F.sum("days")).alias("avg_daily_demand"),
+        F.sum("units").alias("total_demand"),
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewharf.operators import (
-    clean, forecast, insights, inventory, kpi, logistics, optimize, reporting, suppliers,
+    clean, forecast, insights, inventory, kpi, logistics, optimize, reporting, summaries, suppliers,
 )
 from tidewharf.plans.ledger import AUDIT, Ledger, Outcome
 from tidewharf.schemas import SOURCE_TABLES
@@ -100,6 +100,7 @@ def load_stages(spark: SparkSession, raw: dict[str, DataFrame], folder: str, run
     def load(notes: dict) -> Outcome:
         staged = notes["transform"]["staged"]
         counts = {name: versions.commit(spark, f"{folder}/{name}", staged[name]) for name in SOURCE_TABLES}
+        summaries.refresh(stored_tables(spark, folder), f"{folder}/pair_months")
         for name in SOURCE_TABLES:  # the quarantine stays
             versions.delete(spark, f"{extracted_path(folder, run, name)}/{REJECTED}=false")
         return Outcome(sum(counts.values()), 0, counts)
@@ -163,24 +164,25 @@ def analysis_stages(spark: SparkSession, folder: str, quick: bool = False) -> li
 
     def snapshots(notes: dict) -> Outcome:
         t, rows = stored_tables(spark, folder), 0
-        for name, frame, column in (
-            ("inventory_alerts", inventory.alerts, "alert_date"), ("supplier_scorecards", suppliers.scorecards, "scorecard_date"),
+        for name, frame, column, lookup in (
+            ("inventory_alerts", inventory.alerts, "alert_date", ("product_id",)),
+            ("supplier_scorecards", suppliers.scorecards, "scorecard_date", ("supplier_id",)),
         ):
             df = sinks.project(frame(t, day(notes)), name)
-            rows += sinks.replace_day(df, f"{folder}/{name}", column, day(notes))
+            rows += sinks.replace_day(df, f"{folder}/{name}", column, day(notes), lookup)
         return Outcome(rows + sinks.write(logistics.recommendations(t), f"{folder}/logistics_recommendations"))
 
     def forecasts(notes: dict) -> Outcome:
         out = forecast.run(stored_tables(spark, folder), quick)
         sinks.write_metrics(out["metrics"], f"{folder}/forecast_metrics")
         df = sinks.project(out["forecasts"], "forecasts")
-        return Outcome(sinks.replace_from(df, f"{folder}/forecasts", "forecast_date", day(notes)))
+        return Outcome(sinks.replace_from(df, f"{folder}/forecasts", "forecast_date", day(notes), ("product_id",)))
 
     def recommendations(notes: dict) -> Outcome:
         df = optimize.recommendations(stored_tables(spark, folder), stored("forecasts"), day(notes))
         return Outcome(sinks.replace_day(
             sinks.project(df, "inventory_recommendations"), f"{folder}/inventory_recommendations", "recommendation_date",
-            day(notes),
+            day(notes), ("product_id", "warehouse_id"),
         ))
 
     def findings(notes: dict) -> Outcome:

@@ -20,7 +20,7 @@ from tidewharf.operators import (
 from tidewharf.plans import flow
 from tidewharf.plans.ledger import AUDIT, Ledger
 from tidewharf.schemas import SOURCE_TABLES
-from tidewharf.sources import feeds, files, sinks
+from tidewharf.sources import buckets, feeds, files, sinks
 from tidewharf.sources.star import StarTables
 
 Query = Callable[[StarTables], DataFrame]
@@ -342,21 +342,29 @@ FORECASTS: dict[str, Query] = {
 
 
 def _recommendations(t: StarTables) -> DataFrame:
+    t = t.summarised()
     return optimize.recommendations(t, forecast.seasonal_forecasts(t, with_scores=False))
 
 
 def _optimized(t: StarTables) -> DataFrame:
+    t = t.summarised()
     out = optimize.run(t, forecast.seasonal_forecasts(t, with_scores=False))
     return out["summary"].withColumn("recommendations_count", _count_of(out["recommendations"]))
 
 
+def _capacity(t: StarTables) -> DataFrame:
+    t = t.summarised()
+    return measures.capacity_planning(t, forecast.seasonal_forecasts(t, with_scores=False))
+
+
 def _eoq(t: StarTables) -> DataFrame:
-    df = optimize.demand_stats(t).join(t.products("product_id", "unit_cost"), "product_id")
+    df = optimize.demand_stats(t.summarised()).join(t.products("product_id", "unit_cost"), "product_id")
     eoq = economic_order_quantity(F.col("avg_daily_demand") * 365, F.col("unit_cost"))
     return df.select("product_id", "warehouse_id", eoq.alias("eoq"))
 
 
 def _safety(t: StarTables) -> DataFrame:
+    t = t.summarised()
     lead = t.primary_suppliers().join(t.suppliers("supplier_id", "lead_time_days"), "supplier_id")
     df = optimize.demand_stats(t).join(lead, "product_id")
     buffer = safety_stock(F.col("avg_daily_demand"), F.col("lead_time_days"))
@@ -375,7 +383,7 @@ PLANNING: dict[str, Query] = {
     "opt_safety_stock": _safety,
     "opt_demand_stats": optimize.demand_stats,
     "opt_expected_demand": lambda t: optimize.expected_demand(forecast.seasonal_forecasts(t, with_scores=False)),
-    "opt_primary_supplier": optimize.supply_terms,
+    "opt_primary_supplier": lambda t: optimize.supply_terms(t.summarised()),
     "opt_recommendations": _recommendations,
     "opt_recommendation_text": lambda t: optimize.recommendation_text(t, _recommendations(t)),
     "opt_summary": lambda t: optimize.summary(_recommendations(t)),
@@ -428,9 +436,7 @@ REPORTS: dict[str, Query] = {
         t, forecast.seasonal_forecasts(t, with_scores=False)
     ),
     "bi_model_comparison": lambda t: measures.model_comparison(forecast.seasonal_forecasts(t)),
-    "bi_capacity_planning": lambda t: measures.capacity_planning(
-        t, forecast.seasonal_forecasts(t, with_scores=False)
-    ),
+    "bi_capacity_planning": _capacity,
     "bi_exec_cards": lambda t: measures.executive_cards(kpi.executive_kpis(t)),
     "bi_revenue_trend": measures.revenue_trend,
     "bi_health_distribution": measures.health_distribution,
@@ -567,7 +573,26 @@ def _pipe_full(t: StarTables) -> DataFrame:
     return counts(flow.run_all(t.spark, feeds.extract(t), new_folder(t.spark, "full")))
 
 
+def _delayed_by_buckets(t: StarTables) -> DataFrame:
+    """Delayed shipments with their orders, both stored in buckets of the order id."""
+    folder = new_folder(t.spark, "buckets")
+    name = folder.rsplit("-", 1)[-1]
+    return logistics.delayed(buckets.by_order(t, t.spark, folder, f"b_{name}", 8))
+
+
+def _product_lookup(t: StarTables) -> DataFrame:
+    """Forecasts of the product that sells most, asked of a table that is clustered for such questions."""
+    path = new_folder(t.spark, "lookup")
+    sinks.write(forecast.seasonal_forecasts(t, with_scores=False).drop("rmse", "mae", "mape"), path, lookup=("product_id",))
+    stored = t.spark.read.parquet(path)
+    most = stored.filter("horizon_months = 12").groupBy("product_id").agg(F.sum("predicted_demand").alias("s"))
+    chosen = most.orderBy(F.desc("s"), "product_id").first()  # one row
+    return reporting.forecasts(stored, 12, chosen["product_id"] if chosen else -1)
+
+
 FLOWS: dict[str, Query] = {
+    "log_delayed_buckets": _delayed_by_buckets,
+    "api_forecast_lookup": _product_lookup,
     "src_csv": _src_csv,
     "src_sql": _src_sql,
     "sink_csv": _sink_csv,

@@ -19,12 +19,26 @@ from tidewharf.sources import versions
 MONTH = "__month"
 
 
-def write(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite") -> int:
-    """Write and return the number of rows, counted by the write itself."""
-    counted, seen = versions.counted(df)
+def clustered(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows in ranges of the keys, sorted: a file and each part of it then hold few values of the first key.
+
+    The ranges end with a hash of the row, so that a value held by very many rows is spread over several tasks.
+    """
+    return df.repartitionByRange(*keys, F.xxhash64(*df.columns)).sortWithinPartitions(*keys)
+
+
+def write(df: DataFrame, path: str, kind: str = "parquet", mode: str = "overwrite", lookup: tuple[str, ...] = ()) -> int:
+    """Write and return the number of rows, counted by the write itself.
+
+    ``lookup`` names columns that rows will be asked for by: the files are clustered by them and carry a bloom filter of
+    each, so that a lookup skips files and row groups that cannot hold the value.
+    """
+    counted, seen = versions.counted(clustered(df, *lookup) if lookup else df)
     writer = counted.write.mode(mode).format(kind)
     if kind == "csv":
         writer = writer.option("header", True)
+    for column in lookup:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
     writer.save(path)
     return seen.get["rows"]
 
@@ -68,21 +82,28 @@ def project(df: DataFrame, table: str | T.StructType) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def replace_day(df: DataFrame, path: str, date_column: str, day: datetime.date) -> int:
+def replace_day(df: DataFrame, path: str, date_column: str, day: datetime.date, lookup: tuple[str, ...] = ()) -> int:
     """Replace the rows of one date."""
     rows = df.filter(F.col(date_column) == F.lit(day)).drop(date_column)
-    return write(rows, f"{path}/{date_column}={day.isoformat()}")
+    return write(rows, f"{path}/{date_column}={day.isoformat()}", lookup=lookup)
 
 
-def write_months(df: DataFrame, path: str, date_column: str) -> int:
-    """Write the months that ``df`` has rows of, each in place of what the table holds of it; other months stay as they are."""
-    month = F.date_format(date_column, "yyyy-MM")
-    counted, seen = versions.counted(df.withColumn(f"{date_column}{MONTH}", month))
-    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(f"{date_column}{MONTH}").parquet(path)
+def write_months(df: DataFrame, path: str, date_column: str, lookup: tuple[str, ...] = ()) -> int:
+    """Write the months that ``df`` has rows of, each in place of what the table holds of it; other months stay as they are.
+
+    A month's rows are brought together, so that each month has few files; ``lookup`` as in ``write``.
+    """
+    month = f"{date_column}{MONTH}"
+    rows = clustered(df.withColumn(month, F.date_format(date_column, "yyyy-MM")), month, *lookup)
+    counted, seen = versions.counted(rows)
+    writer = counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(month)
+    for column in lookup:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    writer.parquet(path)
     return seen.get["rows"]
 
 
-def replace_from(df: DataFrame, path: str, date_column: str, day: datetime.date) -> int:
+def replace_from(df: DataFrame, path: str, date_column: str, day: datetime.date, lookup: tuple[str, ...] = ()) -> int:
     """Replace all rows from ``day`` on with those of ``df``; earlier ones stay as they are. Returns the rows written.
 
     The table is partitioned by month. Only the months from ``day`` on are written: the first of them together with its
@@ -97,7 +118,7 @@ def replace_from(df: DataFrame, path: str, date_column: str, day: datetime.date)
     if f"{date_column}{MONTH}={first:%Y-%m}" in later:
         own = spark.read.parquet(path).filter(F.col(f"{date_column}{MONTH}") == f"{first:%Y-%m}")
         df = own.filter(F.col(date_column) < F.lit(day)).drop(f"{date_column}{MONTH}").unionByName(df)
-    rows = write_months(df, path, date_column)
+    rows = write_months(df, path, date_column, lookup)
     for folder, old in before.items():  # a month that was written anew has other files
         if old and versions.names(spark, f"{path}/{folder}") == old:
             versions.delete(spark, f"{path}/{folder}")

@@ -13,7 +13,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
+from tidewharf.functions.scratch import materialized
 from tidewharf.operators import clean
 from tidewharf.schemas import SOURCE_TABLES
 from tidewharf.sources.tables import SupplyTables
@@ -105,6 +107,7 @@ class StarTables(SupplyTables):
         self.spark = spark
         self.folder = folder
         self._files: dict[str, DataFrame] = {}
+        self._pairs: DataFrame | None = None
 
     def raw(self, name: str) -> DataFrame:
         """A source table; its file footer is read once per table set."""
@@ -194,10 +197,50 @@ class StarTables(SupplyTables):
 
     def primary_suppliers(self) -> DataFrame:
         """(product_id, supplier_id) of primary pairs, without building every pair first."""
+        if self._pairs is not None:
+            return self._pairs.groupBy("product_id").agg(F.min("least_supplier").alias("supplier_id"))
         return self.raw("lineitem").groupBy(F.col("l_partkey").alias("product_id")).agg(
             F.min("l_suppkey").alias("supplier_id")
         )
 
+    # ----------------------------------------------------------------- sums shared by several results
+
+    def summarised(self) -> StarTables:
+        """The same tables with the orders' sums per product, warehouse and month stored.
+
+        Stock rows, demand by month and primary suppliers then come from this small table: the line items are read and
+        cleared of duplicates once. Duplicate lines count for the smallest supplier of a product only.
+        """
+        done = StarTables(self.spark, self.folder)
+        done._files = self._files
+        repeats = W.partitionBy("l_orderkey", "l_linenumber")
+        lines = self.raw("lineitem")
+        rest = [c for c in lines.columns if c not in ("l_orderkey", "l_linenumber")]
+        first = F.row_number().over(repeats.orderBy(*rest)) == 1
+        rows = self.order_lines(["warehouse_id", "order_date"], lines.withColumn("_once", first))
+        sold = F.col("_once") & (F.col("order_status") == "Delivered")
+        daily = rows.groupBy("product_id", "warehouse_id", "order_date").agg(
+            F.count_if("_once").alias("rows"), F.sum(F.when(sold, F.col("quantity"))).alias("units"), F.count_if(sold).alias("sold"),
+            F.min("l_suppkey").alias("least_supplier"),
+        )
+        done._pairs = materialized(daily.groupBy("product_id", "warehouse_id", F.trunc("order_date", "MM").alias("month")).agg(
+            F.sum("rows").alias("rows"), F.sum("units").alias("units"), F.count("units").alias("days"),
+            F.max(F.when(F.col("sold") > 0, F.col("order_date"))).alias("newest"), F.min("least_supplier").alias("least_supplier"),
+        ))
+        return done
+
+    def pair_months(self) -> DataFrame:
+        if self._pairs is None:
+            return super().pair_months()
+        return self._pairs.filter(F.col("newest").isNotNull()).select("product_id", "warehouse_id", "month", "days", "units", "newest")
+
+    def _moved(self) -> DataFrame:
+        """Delivered units of each product and warehouse that has orders."""
+        if self._pairs is not None:
+            return self._pairs.filter("rows > 0").groupBy("product_id", "warehouse_id").agg(F.coalesce(F.sum("units"), F.lit(0)).alias("_units"))
+        moved = F.when(F.col("order_status") == "Delivered", F.col("quantity")).otherwise(0)
+        return self.order_lines(["warehouse_id"]).groupBy("product_id", "warehouse_id").agg(F.sum(moved).alias("_units"))
+
     # ----------------------------------------------------------------- orders
 
     def lines(self) -> DataFrame:
@@ -283,12 +326,7 @@ class StarTables(SupplyTables):
     def _inventory(self, columns: list[str]) -> DataFrame:
         columns = columns or INVENTORY_COLUMNS
         wanted = set(columns)
-        moved = F.when(F.col("order_status") == "Delivered", F.col("quantity")).otherwise(0)
-        pairs = (
-            self.order_lines(["warehouse_id"])
-            .groupBy("product_id", "warehouse_id")
-            .agg(F.sum(moved).alias("_units"))
-        )
+        pairs = self._moved()
         df = self.stock_rows(
             pairs.select("product_id", "warehouse_id"), bool(wanted & {"reorder_point", "stock_status"})
         )

@@ -9,7 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewharf.schemas import SOURCE_TABLES
-from tidewharf.sources import sinks
+from tidewharf.sources import sinks, versions
+
+
+def demand_by_month(demand: DataFrame) -> DataFrame:
+    """``product_id``, ``warehouse_id``, ``month``, ``days`` with a known demand, ``units`` and ``newest`` day of demand rows."""
+    return demand.groupBy("product_id", "warehouse_id", F.trunc("demand_date", "MM").alias("month")).agg(
+        F.count("demand_quantity").alias("days"), F.sum("demand_quantity").alias("units"), F.max("demand_date").alias("newest")
+    )
 
 
 class SupplyTables:
@@ -30,6 +37,16 @@ class SupplyTables:
         """The date a dated result is for: ``as_of``, or else the newest order date."""
         return F.lit(as_of) if as_of else self.latest_day().scalar()
 
+    def pair_months(self) -> DataFrame:
+        """Demand sums per product, warehouse and month: stored ones where the set has them, or computed."""
+        if "pair_months" in self._frames:
+            return self._frames["pair_months"]
+        return demand_by_month(self.demand_history("product_id", "warehouse_id", "demand_date", "demand_quantity"))
+
+    def summarised(self) -> SupplyTables:
+        """A table set on which several sums over demand share one pass over the orders."""
+        return self
+
     def primary_suppliers(self) -> DataFrame:
         """(product_id, supplier_id) of the primary pairs."""
         pairs = self.product_suppliers("product_id", "supplier_id", "is_primary")
@@ -62,4 +79,7 @@ class SupplyTables:
 
 def stored_tables(spark: SparkSession, folder: str, names=SOURCE_TABLES) -> SupplyTables:
     """Tables a load wrote, one folder each."""
-    return SupplyTables({name: sinks.read(spark, f"{folder}/{name}") for name in names})
+    frames = {name: sinks.read(spark, f"{folder}/{name}") for name in names}
+    if "demand_history" in names and versions.names(spark, f"{folder}/pair_months"):
+        frames["pair_months"] = sinks.read(spark, f"{folder}/pair_months")
+    return SupplyTables(frames)
