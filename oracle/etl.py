@@ -157,6 +157,8 @@ KEYS = {
 }
 NOT_NULL = {
     "products": "product_id product_name category unit_cost selling_price".split(),
+    "warehouses": "warehouse_id warehouse_name location region capacity_units".split(),
+    "product_suppliers": "product_id supplier_id".split(),
     "suppliers": "supplier_id supplier_name lead_time_days".split(),
     "inventory": "product_id warehouse_id current_stock reorder_point safety_stock".split(),
     "orders": "order_id product_id quantity order_date order_status".split(),
@@ -188,6 +190,27 @@ LINKS = [
 ]
 
 
+OUT = {
+    "kpi_inventory": "t_kpi_inventory", "kpi_supplier": "t_kpi_supplier", "kpi_logistics": "t_kpi_logistics", "kpi_service": "t_kpi_service",
+    "kpi_executive": "t_kpi_executive", "forecasts": "t_forecasts", "inventory_recommendations": "t_queue", "business_insights": "t_insights",
+    "inventory_alerts": "t_alerts", "supplier_scorecards": "t_cards",
+}
+OUT_REQUIRED = {
+    **{t: ["calculation_date"] for t in OUT if t.startswith("kpi_")}, "kpi_supplier": ["calculation_date", "supplier_id"],
+    "forecasts": "forecast_date horizon_months model_name predicted_demand".split(),
+    "inventory_recommendations": "product_id warehouse_id recommendation_date".split(),
+    "business_insights": "insight_date category title description recommendation".split(),
+    "inventory_alerts": "alert_date product_id warehouse_id alert_type".split(), "supplier_scorecards": ["scorecard_date", "supplier_id"],
+}
+OUT_LINKS = [
+    (t, f"{p}_id", f"{p}s") for t, parents in (
+        ("kpi_inventory", ("warehouse", "product")), ("kpi_supplier", ("supplier",)), ("kpi_service", ("warehouse",)),
+        ("forecasts", ("product", "warehouse")), ("inventory_recommendations", ("product", "warehouse")),
+        ("inventory_alerts", ("product", "warehouse")), ("supplier_scorecards", ("supplier",)),
+    ) for p in parents
+]
+
+
 def union(parts):
     return "\nUNION ALL\n".join(parts)
 
@@ -300,6 +323,13 @@ BODIES = {
         FROM {RAW[c]} AS ch WHERE ch.{k} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {CLEAN[p]} pa WHERE pa.{pk} = ch.{k})"""
         for c, k, p, pk in LINKS
     ),
+    "dq_outputs": union([
+        *(f"SELECT '{t}' AS table_name, 'not_null' AS check_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS failed_rows FROM {OUT[t]}"
+          for t in OUT for c in OUT_REQUIRED[t]),
+        "SELECT 'kpi_executive', 'unique', 'calculation_date', COUNT(*) - COUNT(DISTINCT calculation_date) FROM t_kpi_executive",
+        *(f"""SELECT '{t}', 'reference', '{c}', COUNT(*) FROM {OUT[t]} ch WHERE ch.{c} IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM t_{p} pa WHERE CAST(pa.{c} AS VARCHAR) = CAST(ch.{c} AS VARCHAR))""" for t, c, p in OUT_LINKS),
+    ]),
     "dq_order_dates": union([
         "SELECT 'delivery_before_order' AS check_name, COUNT(*) AS failed_rows FROM t_raw_orders WHERE delivery_date < order_date",
         "SELECT 'negative_reorder_point', COUNT(*) FROM t_raw_stock WHERE reorder_point < 0",

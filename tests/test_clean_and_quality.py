@@ -117,3 +117,19 @@ def test_quality_reports(raw, cleaned):
     assert dates["delivery_before_order"] == 1
     fixed = {r.check_name: r.failed_rows for r in quality.date_report(cleaned["orders"], cleaned["inventory"]).collect()}
     assert set(fixed.values()) == {0}
+
+
+def test_output_report(spark):
+    day_ = "date'2024-01-01'"
+    frames = {
+        "kpi_executive": spark.sql(f"SELECT {day_} calculation_date UNION ALL SELECT {day_} UNION ALL SELECT null"),
+        "kpi_supplier": spark.sql(f"SELECT {day_} calculation_date, 'S1' supplier_id UNION ALL SELECT {day_}, 'S9' UNION ALL SELECT {day_}, null"),
+    }
+    parents = {"suppliers": spark.sql("SELECT 'S1' supplier_id")}
+    pick = lambda of: lambda name, *columns: of[name].select(*columns)
+    got = {tuple(r)[:3]: r.failed_rows for r in quality.output_report(pick(frames), list(frames), pick(parents)).collect()}
+    assert got == {
+        ("kpi_executive", "not_null", "calculation_date"): 1, ("kpi_supplier", "not_null", "calculation_date"): 0,
+        ("kpi_supplier", "not_null", "supplier_id"): 1, ("kpi_executive", "unique", "calculation_date"): 1,
+        ("kpi_supplier", "reference", "supplier_id"): 1,
+    }

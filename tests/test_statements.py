@@ -18,7 +18,8 @@ SOME = [
     "v_supplier_performance", "q05_top10_products", "q14_regional_demand", "q17_expensive_routes", "q27_demand_rank",
     "q30_cohort", "q34_abc", "q45_regional_ma7", "kpi_supplier", "kpi_service", "log_recommendations",
     "sup_scorecard_text", "fc_sample_split", "fc_seasonal_forecasts", "q41_priority_queue", "bi_mom_growth",
-    "etl_drop_stats", "sink_full_reload", "sink_range_replace", "src_csv_quarantine", "etl_run", "etl_resume",
+    "etl_drop_stats", "sink_full_reload", "sink_range_replace", "src_csv_quarantine", "etl_run", "etl_resume", "dq_outputs",
+    "fc_piecewise", "opt_recommendations", "bi_capacity_planning", "log_delayed_buckets", "api_forecast_lookup",
 ]
 QUERIES, STATEMENTS = entry.queries(), entry.oracle_sql()
 LLM = re.compile(r"op\d+_|pipeline$")

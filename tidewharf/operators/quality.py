@@ -75,20 +75,25 @@ def _keyed(df: DataFrame, links: list[tuple[str, str]]) -> DataFrame:
     return df.select(F.inline(F.array(*pairs))).filter(F.col("key").isNotNull())
 
 
-def reference_report(frame: Frames, tables: list[str], parents: Frames | None = None) -> DataFrame:
+def reference_report(
+    frame: Frames, tables: list[str], parents: Frames | None = None, children: list[str] | None = None
+) -> DataFrame:
     """Child rows whose key has no parent; a null key refers to nothing and passes.
 
     ``parents`` supplies the parent tables when they differ, such as cleaned parents for raw children.
-    Every table is read once: its keys become (reference, key) rows, counted per key before a single
+    ``children`` limits the tables that are checked. Each child and each parent is asked for once: its keys become (reference, key) rows, counted per key before a single
     anti join, so a key held by very many rows is one row there.
     """
     parents = parents or frame
-    links = [(f"{c}.{k}", c, k, p, pk) for c, k, p, pk in REFERENCES if c in tables and p in tables]
+    links = [
+        (f"{c}.{k}", c, k, p, pk) for c, k, p, pk in REFERENCES
+        if c in (children or tables) and p in tables
+    ]
 
     def keys(source: Frames, table: str, own: list[tuple[str, str]]) -> DataFrame:
         return _keyed(source(table, *dict.fromkeys(column for _, column in own)), own)
 
-    children = _stack([
+    referring = _stack([
         keys(frame, table, [(link, k) for link, c, k, _, _ in links if c == table])
         for table in dict.fromkeys(c for _, c, _, _, _ in links)
     ])
@@ -96,7 +101,7 @@ def reference_report(frame: Frames, tables: list[str], parents: Frames | None =
         keys(parents, table, [(link, pk) for link, _, _, p, pk in links if p == table])
         for table in dict.fromkeys(p for _, _, _, p, _ in links)
     ])
-    used = children.groupBy("link", "key").agg(row_count().alias("_rows"))
+    used = referring.groupBy("link", "key").agg(row_count().alias("_rows"))
     orphans = used.join(known, ["link", "key"], "left_anti").groupBy("link").agg(F.sum("_rows").alias("_rows"))
     names = frame_of_links(orphans.sparkSession, links)
     return names.join(orphans, "link", "left").select(
@@ -104,6 +109,26 @@ def reference_report(frame: Frames, tables: list[str], parents: Frames | None =
     )
 
 
+def output_report(frame: Frames, tables: list[str], parents: Frames) -> DataFrame:
+    """Required columns, keys and references of result tables: (table_name, check_name, column_name, failed_rows).
+
+    ``frame`` should give stored tables, as each is read once for every kind of check; ``parents`` gives the source tables.
+    """
+    nulls = not_null_report(frame, tables).select(
+        "table_name", F.lit("not_null").alias("check_name"), "column_name", F.col("null_rows").alias("failed_rows")
+    )
+    keyed = [table for table in tables if table in TABLE_KEYS]
+    twice = unique_report(frame, keyed).select(
+        "table_name", F.lit("unique").alias("check_name"), F.col("key_columns").alias("column_name"), F.col("surplus_rows").alias("failed_rows")
+    )
+    owners = list(dict.fromkeys(p for c, _, p, _ in REFERENCES if c in tables and p not in tables))
+    links = reference_report(frame, [*tables, *owners], parents, children=tables).select(
+        F.col("child_table").alias("table_name"), F.lit("reference").alias("check_name"), F.col("child_column").alias("column_name"),
+        F.col("orphan_rows").alias("failed_rows"),
+    )
+    return nulls.unionByName(twice).unionByName(links)
+
+
 def frame_of_links(spark: SparkSession, links: list[tuple]) -> DataFrame:
     """The checked references themselves, so that those without orphans are reported too."""
     rows = [(link, c, k, p) for link, c, k, p, _ in links]
