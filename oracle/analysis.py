@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.base import CTES, big, dbl, even, fmt, mean, mean_if, share, up, with_tables
+from oracle.base import CTES, big, dbl, even, fmt, mean, mean_if, share, up, with_tables, unfolded
 from oracle.numbered import DAYS, HEALTH_OUT
 
 DAY = "(SELECT CAST(MAX(o_orderdate) AS DATE) FROM orders)"
@@ -179,4 +179,21 @@ BODIES = {
     "log_totals": TOTALS,
     "log_analyze": f"SELECT *, (SELECT COUNT(*) FROM ({LOG_REC})) AS recommendation_count FROM ({TOTALS})",
 }
+PAIR, ROUTE, SUPPLIER = "concat_ws('|', product_id, warehouse_id)", "concat_ws('|', route, carrier)", "CAST(supplier_id AS VARCHAR)"
+BODIES |= {
+    "inv_bundle": unfolded([
+        ("summary", "''", BODIES["inv_analyze"]), ("alerts", PAIR, BODIES["inv_alerts"]),
+        ("recommendations", PAIR, BODIES["inv_reorder_qty"].replace("LIMIT 50", "LIMIT 20")),
+    ]),
+    "sup_bundle": unfolded([
+        ("summary", "''", SUP_SUMMARY), ("scorecards", SUPPLIER, BODIES["sup_scorecards"]),
+        ("top_suppliers", SUPPLIER, BODIES["sup_rank"].replace("LIMIT 20", "LIMIT 10")),
+        ("delayed_suppliers", SUPPLIER, BODIES["sup_delayed"] + " ORDER BY delay_rate DESC, supplier_id LIMIT 10"),
+    ]),
+    "log_bundle": unfolded([
+        ("summary", "''", TOTALS), ("recommendations", "concat_ws('|', type, entity, carrier)", LOG_REC),
+        ("high_risk_routes", ROUTE, BODIES["log_high_risk"] + " ORDER BY delay_rate_pct DESC, route, carrier LIMIT 10"),
+        ("carrier_performance", "carrier", BODIES["log_carriers"]),
+    ]),
+}
 SQL = {name: with_tables(body) for name, body in BODIES.items()}

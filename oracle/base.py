@@ -201,3 +201,14 @@ def with_tables(body: str) -> str:
         return body
     head = ",\n".join(f"{name} AS ({CTES[name]})" for name in order)
     return f"WITH {head}\n{body}"
+
+
+def unfolded(parts: list[tuple[str, str, str]]) -> str:
+    """(part, key, name, value) of every value of the parts, each given as name, key expression and SELECT."""
+    each = "COLUMNS('(.*)')"
+    text = f"""CASE WHEN typeof({each}) = 'DOUBLE' OR typeof({each}) LIKE 'DECIMAL%' THEN CAST(TRY_CAST({each} AS DECIMAL(30,6)) AS VARCHAR)
+      ELSE CAST({each} AS VARCHAR) END AS '\\1'"""
+    return "\nUNION ALL\n".join(
+        f"""SELECT '{part}' AS part, unfold_key AS key, name, value FROM (SELECT {key} AS unfold_key, {text} FROM ({body}))
+        UNPIVOT INCLUDE NULLS (value FOR name IN (COLUMNS(* EXCLUDE (unfold_key))))""" for part, key, body in parts
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import oracle.etl  # noqa: F401  (registers the feed expressions)
 from oracle.analysis import DAY, EXEC_VIEW, LATE, LOW, URGENCY
-from oracle.base import CTES, big, dbl, even, fmt, mean, share, up, with_tables
+from oracle.base import CTES, big, dbl, even, fmt, mean, share, unfolded, up, with_tables
 from oracle.numbered import HEALTH_OUT
 
 CTES["t_monthly"] = f"""
@@ -274,6 +274,10 @@ BODIES = {
         'Expected Demand: ' || {fmt('expected_demand', 0)} || ' Units' || chr(10) || 'Safety Stock: ' || safety_stock || ' Units' || chr(10) ||
         'EOQ: ' || eoq || ' Units' || chr(10) || 'Priority: ' || priority AS recommendation FROM t_queue JOIN t_products USING (product_id)""",
     "opt_summary": REC_SUMMARY,
+    "opt_bundle": unfolded([
+        ("summary", "''", REC_SUMMARY), ("recommendations", "concat_ws('|', product_id, warehouse_id)", "SELECT * FROM t_queue"),
+        ("sample", "concat_ws('|', product_id, warehouse_id)", "SELECT * FROM t_queue ORDER BY product_id, warehouse_id LIMIT 10"),
+    ]),
     "opt_run": f"SELECT *, (SELECT COUNT(*) FROM t_queue) AS recommendations_count FROM ({REC_SUMMARY})",
     "q41_priority_queue": """SELECT product_id, product_name, warehouse_id, current_stock, recommended_reorder, expected_demand, priority,
         ROW_NUMBER() OVER (PARTITION BY priority ORDER BY expected_demand DESC, product_id, warehouse_id) AS priority_rank

@@ -221,6 +221,26 @@ def _count_of(df: DataFrame):
     return df.select(F.count(F.lit(1))).scalar()
 
 
+def unfold(bundle: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
+    """All parts of an analysis in one result: (part, key, name, value) with a row for each value of each row.
+
+    ``key`` joins the columns that ``keys`` names for the part; numbers with a fraction are written with six digits.
+    """
+    def text(field: T.StructField):
+        wide = isinstance(field.dataType, (T.DecimalType, T.DoubleType))
+        return (F.col(field.name).cast("decimal(30,6)") if wide else F.col(field.name)).cast("string")
+
+    parts = []
+    for part, df in bundle.items():
+        pairs = [F.struct(F.lit(f.name).alias("name"), text(f).alias("value")) for f in df.schema.fields]
+        key = F.concat_ws("|", *[F.col(c).cast("string") for c in keys.get(part, [])])
+        parts.append(df.select(F.lit(part).alias("part"), key.alias("key"), F.inline(F.array(*pairs))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+_PAIR, _ROUTE, _SUPPLIER_KEY = ["product_id", "warehouse_id"], ["route", "carrier"], ["supplier_id"]
+
+
 def _composite(t: StarTables) -> DataFrame:
     return kpi.composite_scores(
         t, kpi.as_stored(kpi.service_kpis(t), "kpi_service"), kpi.as_stored(kpi.inventory_kpis(t), "kpi_inventory")
@@ -249,6 +269,13 @@ ANALYSES: dict[str, Query] = {
     "inv_alerts": inventory.alerts,
     "inv_reorder_qty": inventory.reorder_quantities,
     "inv_summary": inventory.summary,
+    "inv_bundle": lambda t: unfold(inventory.analyze(t), {"alerts": _PAIR, "recommendations": _PAIR}),
+    "sup_bundle": lambda t: unfold(
+        suppliers.analyze(t), dict.fromkeys(("scorecards", "top_suppliers", "delayed_suppliers"), _SUPPLIER_KEY)
+    ),
+    "log_bundle": lambda t: unfold(logistics.analyze(t), {
+        "recommendations": ["type", "entity", "carrier"], "high_risk_routes": _ROUTE, "carrier_performance": ["carrier"],
+    }),
     "inv_analyze": lambda t: inventory.analyze(t)["summary"],
     "sup_performance": suppliers.performance,
     "sup_delayed": suppliers.delayed,
@@ -375,6 +402,12 @@ def _optimized(t: StarTables) -> DataFrame:
     return out["summary"].withColumn("recommendations_count", _count_of(out["recommendations"]))
 
 
+def _optimized_parts(t: StarTables) -> DataFrame:
+    t = t.summarised()
+    out = optimize.run(t, materialized(forecast.seasonal_forecasts(t, with_scores=False)))
+    return unfold(out, {"recommendations": _PAIR, "sample": _PAIR})
+
+
 def _capacity(t: StarTables) -> DataFrame:
     t = t.summarised()
     return measures.capacity_planning(t, forecast.seasonal_forecasts(t, with_scores=False))
@@ -411,6 +444,7 @@ PLANNING: dict[str, Query] = {
     "opt_recommendation_text": lambda t: optimize.recommendation_text(t, _recommendations(t)),
     "opt_summary": lambda t: optimize.summary(_recommendations(t)),
     "opt_run": _optimized,
+    "opt_bundle": _optimized_parts,
     "q41_priority_queue": lambda t: optimize.priority_queue(t, _recommendations(t)),
     "ins_stockout": lambda t: insights.stockouts(_FeedStock(t.spark, t.folder)),
     "ins_supplier_delay": lambda t: insights.supplier_delays(
