@@ -26,8 +26,10 @@ LONGEST = 4
 LEAST = 30
 TOP = 2000
 COVERED_PERCENT = 80
-SLICE = 4 << 20
-TALLY = 1 << 20
+SLICE = 1 << 20
+TALLY = 1 << 19
+ROWS = 1 << 16
+PART = 1 << 20
 FEWEST_BITS, MOST_BITS = 16, 28  # of a filter: 32 MB at most
 BREAKS = byte_set(*[(ord(c), ord(c)) for c in ".,;:!?"], (0x0A, 0x0D))
 SEPARATORS = BREAKS | byte_set((0x20, 0x20), (0x09, 0x09))
@@ -102,9 +104,9 @@ class Tally:
         self.counts.append(count)
         self.held += len(own)
         if self.held > TALLY:
-            yield self.merged()
+            yield from self.merged()
 
-    def merged(self) -> pa.RecordBatch:
+    def merged(self) -> Iterator[pa.RecordBatch]:
         values = np.concatenate(self.values) if self.values else np.zeros(0, np.uint64)
         counts = np.concatenate(self.counts) if self.counts else np.zeros(0, np.int64)
         self.values, self.counts, self.held = [], [], 0
@@ -112,7 +114,9 @@ class Tally:
         values = values[order]
         first = np.flatnonzero(np.concatenate((np.ones(len(values[:1]), bool), values[1:] != values[:-1])))
         total = np.add.reduceat(counts[order], first) if len(first) else counts
-        return pa.RecordBatch.from_pydict({"fp": values[first].view(np.int64), "n": pa.array(total, pa.int64())})
+        values = values[first].view(np.int64)
+        for i in range(0, len(values), ROWS):
+            yield pa.RecordBatch.from_pydict({"fp": values[i : i + ROWS], "n": pa.array(total[i : i + ROWS], pa.int64())})
 
 
 def _words_and_pairs(mask: int):
@@ -122,7 +126,7 @@ def _words_and_pairs(mask: int):
             runs = Runs(part, mask)
             for size in (1, 2):
                 yield from tally.add(runs.fingerprints(size, runs.starts(size)))
-        yield tally.merged()
+        yield from tally.merged()
 
     return counted
 
@@ -142,7 +146,7 @@ def _longer(mask: int, longest: int, bits: int, pairs):
                 at = np.flatnonzero(reach)
                 if len(at):
                     yield from tally.add(runs.fingerprints(size, at))
-        yield tally.merged()
+        yield from tally.merged()
 
     return counted
 
@@ -152,15 +156,23 @@ def _ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     return np.arange(int(length.sum())) + np.repeat(start - (np.cumsum(length) - length), length)
 
 
+def _gathered(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The bytes of all ranges, one behind the other; places are made for a part of them at a time."""
+    ends = np.cumsum(length)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    cuts = np.unique(np.append(np.searchsorted(ends, np.arange(PART, len(out), PART)), len(ends)))
+    for a, b in zip(np.append(0, cuts[:-1]), cuts):
+        out[ends[a] - length[a] if a < b else 0 : ends[b - 1] if a < b else 0] = data[_ranges(start[a:b], length[a:b])]
+    return out
+
+
 def _differs(data: np.ndarray, start: np.ndarray, length: np.ndarray, other: np.ndarray, other_length: np.ndarray) -> np.ndarray:
     """Whether the bytes of each range differ from those of the other."""
     out = length != other_length
-    for i in range(0, len(start), TALLY):  # in parts, as there may be many long phrases
-        some = np.flatnonzero(~out[i : i + TALLY]) + i
-        if len(some):
-            unequal = data[_ranges(start[some], length[some])] != data[_ranges(other[some], length[some])]
-            first = np.cumsum(length[some]) - length[some]
-            out[some] = np.logical_or.reduceat(unequal, first)
+    some = np.flatnonzero(~out)
+    if len(some):
+        unequal = _gathered(data, start[some], length[some]) != _gathered(data, other[some], length[some])
+        out[some] = np.logical_or.reduceat(unequal, np.cumsum(length[some]) - length[some])
     return out
 
 
@@ -196,7 +208,7 @@ def _phrases(mask: int, longest: int, bits: int, wanted):
             index, n = (np.concatenate(x) for x in zip(*rows))
             owner = words.owner[at[index]]
             ends = np.concatenate(([0], np.cumsum(bytes_[index])))
-            text = joined[_ranges(start[index], bytes_[index])]
+            text = _gathered(joined, start[index], bytes_[index])
             phrase = pa.LargeStringArray.from_buffers(len(index), pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(text)).cast(pa.string())
             yield pa.RecordBatch.from_pydict({
                 "lang": part.column("lang").take(pa.array(owner)), "size": pa.array(size[index], pa.int32()), "fp": fp[index].view(np.int64),
@@ -220,10 +232,10 @@ def _wide(name: str) -> Column:
 
 
 def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, mask: int = (1 << 64) - 1) -> DataFrame:
-    """``lang``, ``size``, ``phrase``, ``n`` and ``first`` of the phrases found ``least`` times or more in their language.
+    """``lang``, ``size``, ``phrase``, ``n``, ``doc_id`` and ``word`` of the phrases found ``least`` times or more in their language.
 
-    ``first`` points to the occurrence with the smallest doc_id (null before all) and word of it. Rows of size 0 hold
-    the number of words of each language. ``mask`` leaves only some bits of a fingerprint, for tests.
+    ``doc_id`` and ``word`` point to an occurrence in the document with the smallest key. Rows of size 0 hold the number
+    of words of each language. ``mask`` leaves only some bits of a fingerprint, for tests.
     """
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     rows = docs.select("text", lang.alias("lang"), F.xxhash64(lang).alias("language"), "doc_id")
@@ -238,7 +250,9 @@ def frequent_phrases(docs: DataFrame, longest: int = LONGEST, least: int = LEAST
         _phrases(mask, longest, *_filter(short.union(long))),
         f"lang string, size int, fp long, phrase string, n long, doc_id {key}, word long",
     )
-    counted = found.groupBy("fp", "lang", "size", "phrase").agg(F.sum("n").alias("n"), F.min(F.struct("doc_id", "word")).alias("first"))
+    counted = found.groupBy("fp", "lang", "size", "phrase").agg(
+        F.sum("n").alias("n"), F.min_by("word", "doc_id").alias("word"), F.min("doc_id").alias("doc_id")
+    )
     return materialized(counted.where((F.col("n") >= least) | (F.col("size") == 0)).drop("fp"))
 
 
@@ -256,7 +270,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     """
     found = frequent_phrases(docs, longest, least, mask)
     words, counts = F.split("phrase", " "), found.where("size > 0")
-    many = counts.where("size > 1").select("lang", "size", "phrase", F.col("n").alias("a"), "first", words.alias("words"))
+    many = counts.where("size > 1").select("lang", "size", "phrase", F.col("n").alias("a"), "doc_id", "word", words.alias("words"))
     cuts = many.select("lang", "phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("k")).select(
         "lang", "phrase", "a", "k", F.array_join(F.slice("words", 1, F.col("k")), " ").alias("left"),
         F.array_join(F.slice("words", F.col("k") + 1, F.size("words")), " ").alias("right"),
@@ -279,7 +293,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, least: int = LEAST, to
     totals = found.where("size = 0").select("lang", F.col("n").alias("n"))
     kept = kept.join(totals, "lang").select(
         "lang", "phrase", "a", F.col("cut.l").alias("l"), F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"),
-        F.col("first.doc_id").alias("doc_id"), F.col("first.word").alias("word"),
+        "doc_id", "word",
     )
     placed = with_position(kept, "rank", [-F.col("score"), -F.col("a"), F.col("phrase")], by=["lang"])
     return placed.where(F.col("rank") <= top).select(
