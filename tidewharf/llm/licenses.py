@@ -9,6 +9,7 @@ the document. A task keeps the templates, which are few and whose total size is
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ GRAM = 3
 WINDOW = 2
 BAND = 12
 LEAST_COVERAGE = 0.6
+WIDEST = 256
 MAX_TEMPLATE_BYTES = 16 << 20
 
 # License notices as they are commonly written
@@ -41,6 +43,12 @@ TEMPLATES = (
 )
 
 
+def whole_texts() -> tuple[tuple[str, str], ...]:
+    """Whole texts of public licenses, named ``<license>-text``; the driver alone reads their files."""
+    files = sorted(Path(__file__).with_name("license_texts").glob("*.txt"))
+    return tuple((f"{file.stem}-text", file.read_text(encoding="utf-8")) for file in files)
+
+
 def winnow(h: np.ndarray, window: int) -> np.ndarray:
     """Places of the smallest hash, the rightmost of equal ones, in every run of ``window`` hashes."""
     if not len(h):
@@ -137,10 +145,13 @@ def matches(words: np.ndarray, index: Index, band: int, least: float) -> list[tu
     which, diagonal = index.which[entry], at - index.place[entry]
     found = []
     for t in np.unique(which):
+        template = index.words[t]
+        if len(words) < least * len(template) or np.count_nonzero(np.isin(template, words)) < least * len(template):
+            continue  # too few words to reach the coverage anywhere
         own = np.flatnonzero(which == t)
         own = own[np.argsort(diagonal[own], kind="stable")]
         gram = min(index.gram, len(words))
-        places = occurrences(index.words[t], words, at[own], diagonal[own], 0, len(words), gram, band, least)
+        places = occurrences(template, words, at[own], diagonal[own], 0, len(words), gram, band, least)
         found += [(int(t), *place) for place in places]
     return found
 
@@ -151,9 +162,12 @@ def occurrences(template: np.ndarray, words: np.ndarray, at: np.ndarray, line: n
 
     ``at`` are the places of shared grams and ``line`` their diagonals, ascending. Diagonals that follow each
     other within ``band``, over no more words than an alignment can skip, are aligned together; after a
-    match the words before it and behind it are searched, without one the next diagonal begins.
+    match the words before it and behind it are searched, without one the next diagonal begins. Where they
+    spread far, as they do for a text of thousands of words, the stretch with most shared grams is aligned. For a
+    template of over ``WIDEST`` words a stretch needs one shared gram for each twenty of its words (about a tenth
+    of its fingerprints), and one that does not match is passed over whole.
     """
-    found, i, spread = [], 0, max(band, 2 * len(template))
+    found, i, spread, widest = [], 0, max(band, 2 * len(template)), max(WIDEST, len(template) // 16)
     while i < len(line):
         if not low <= at[i] <= high - gram:
             i += 1
@@ -161,7 +175,16 @@ def occurrences(template: np.ndarray, words: np.ndarray, at: np.ndarray, line: n
         stop = i + int(np.searchsorted(line[i:], line[i] + spread, side="right"))
         inside = line[i:stop][(at[i:stop] >= low) & (at[i:stop] <= high - gram)]
         apart = np.flatnonzero(np.diff(inside) > band)
-        lines = np.unique(inside[: apart[0] + 1] if len(apart) else inside)
+        chain = inside[: apart[0] + 1] if len(apart) else inside
+        densest = 0
+        if chain[-1] - chain[0] > widest:
+            ends = np.searchsorted(chain, chain + widest, side="right")
+            densest = int((ends - np.arange(len(chain))).argmax())
+            chain = chain[densest : ends[densest]]
+        if len(template) > WIDEST and 20 * len(chain) < len(template):
+            i += int(np.searchsorted(line[i:], (inside[apart[0]] if len(apart) else inside[-1]), side="right"))
+            continue
+        lines = np.unique(chain)
         begin = max(int(lines[0]) - band, low)
         part = words[begin : min(int(lines[-1]) + len(template) + band, high)]
         matched = 0
@@ -174,11 +197,28 @@ def occurrences(template: np.ndarray, words: np.ndarray, at: np.ndarray, line: n
             found += occurrences(template, words, at[i:until], line[i:until], low, first, gram, band, least)
             found.append((matched, first, last))
             low = last + 1
+        elif len(template) > WIDEST:
+            other = (line < lines[0]) | (line > lines[-1])
+            at, line = at[other], line[other]
         else:
             i += int(np.searchsorted(line[i:], line[i], side="right"))
     return found
 
 
+def outermost(found: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """``found`` without occurrences of which over half lies inside one with more matched words of another template.
+
+    Of equally well matched ones the earlier template stays. Both lists are in the order of ``matches``.
+    """
+    best = sorted(found, key=lambda f: (-f[1], f[0], f[2]))
+    firsts, lasts = np.array([f[2] for f in best]), np.array([f[3] for f in best])
+    which, stays = np.array([f[0] for f in best]), np.ones(len(best), bool)
+    for i, (t, _, first, last) in enumerate(best):
+        inside = np.minimum(lasts[:i], last) - np.maximum(firsts[:i], first) + 1
+        stays[i] = not np.any(stays[:i] & (which[:i] != t) & (2 * inside > last - first + 1))
+    return sorted(f for f, s in zip(best, stays) if s)
+
+
 def scan(docs: DataFrame, key: str | Column = "doc_id", templates: Sequence[tuple[str, str]] = TEMPLATES,
          gram: int = GRAM, window: int = WINDOW, band: int = BAND, least: float = LEAST_COVERAGE) -> DataFrame:
     """``key``, ``license``, ``coverage``, ``matched_words``, ``first_word``, ``last_word``, ``matched_text``.
@@ -186,7 +226,8 @@ def scan(docs: DataFrame, key: str | Column = "doc_id", templates: Sequence[tupl
     One row for each occurrence of a template of which at least the share ``least`` is matched; words are
     runs of letters and digits, counted from 0, with A to Z lower-cased. Null and empty texts have none;
     repeated rows are reported for each. A winnowed index finds every shared run of ``gram`` + ``window`` - 1
-    words. Notices side by side each have a row, however near; spans of one template do not overlap.
+    words. Notices side by side each have a row, however near; spans of one template do not overlap. Where templates
+    are nested, as a notice in a whole license, or alike, as two versions of it, the one with more matched words is reported.
     """
     index = docs.sparkSession.sparkContext.broadcast(Index(templates, gram, window))
     inner = docs.select(F.col(key).alias("k") if isinstance(key, str) else key.alias("k"), "text")
@@ -203,7 +244,7 @@ def scan(docs: DataFrame, key: str | Column = "doc_id", templates: Sequence[tupl
             rows: list[tuple] = []
             origin: list[int] = []
             for i, (a, b) in enumerate(zip(words.first[:-1], words.first[1:])):
-                for t, matched, first, last in matches(h[a:b], book, band, least):
+                for t, matched, first, last in outermost(matches(h[a:b], book, band, least)):
                     text = raw.data[words.start[a + first] : words.end[a + last]].tobytes().decode("utf-8", "replace")
                     rows.append((book.names[t], matched / len(book.words[t]), matched, first, last, text))
                     origin.append(i)
