@@ -257,3 +257,18 @@ def test_grams_of_characters_beyond_two_bytes(spark):
     row = spark.createDataFrame([("a\U0001f600é",)], "t string").select(urls.grams(F.col("t"), 2).alias("g")).first()
     s, e = urls.START, urls.END
     assert row["g"] == [s + s + "a", s + "a\U0001f600", "a\U0001f600é", "\U0001f600é" + e]
+
+
+def test_revisits_are_checked_against_their_responses(spark):
+    rows = [
+        (1, "response", 120, "a", None, True), (2, "revisit", 120, "a", 1, True), (3, "revisit", 120, "b", 1, True),
+        (4, "revisit", 121, "a", 1, True), (5, "revisit", 120, "a", 99, True), (6, "response", 150, "c", None, False),
+        (7, "revisit", 150, "c", 6, True), (None, "revisit", 120, "a", None, True), (1, "response", 120, "a", None, True),
+        (2, "revisit", 120, "a", 1, True), (8, "response", 0, None, None, True),
+    ]
+    names = "page_id long, record_type string, payload_bytes long, payload_digest string, refers_to long, verified boolean"
+    found = warc.checked(spark.createDataFrame(rows, names))
+    assert len(found.collect()) == len(rows) and found.columns == [n.split()[0] for n in names.split(", ")]
+    sound = sorted(r["page_id"] for r in found.where("verified").collect())
+    assert sound == [1, 1, 2, 2, 8]
+    assert warc.checked(found.where("page_id > 99")).count() == 0

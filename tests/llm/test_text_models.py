@@ -259,6 +259,34 @@ def test_licenses_many_notices_side_by_side(spark):
     assert sorted(found) == want
 
 
+def test_licenses_whole_texts(spark):
+    """Whole licenses, edited in many places, are covered; notices in them and older versions are not reported besides."""
+    import random
+
+    rng, whole = random.Random(4), dict(licenses.whole_texts())
+    rows = []
+    for i, name in enumerate(sorted(whole)):
+        words = whole[name].split()
+        for _ in range(len(words) // 50):
+            k = rng.randrange(len(words))
+            rng.choice([lambda: words.pop(k), lambda: words.insert(k, "thing"), lambda: words.__setitem__(k, "other")])()
+        rows.append((i, " ".join([*[f"n{j}" for j in range(rng.randrange(40))], *words, "Released under the MIT License."]), name))
+    df = spark.createDataFrame(rows, "doc_id int, text string, name string")
+    found = licenses.scan(df, templates=licenses.TEMPLATES + licenses.whole_texts()).collect()
+    got = {(r["doc_id"], r["license"]): r["coverage"] for r in found}
+    assert len(got) == len(found)
+    assert set(got) == {(i, name) for i, _, name in rows} | {(i, "MIT") for i, _, _ in rows}
+    assert all(got[i, name] > 0.9 for i, _, name in rows)
+    part = spark.createDataFrame([(1, " ".join(whole["GPL-3.0-text"].split()[:2000]))], "doc_id int, text string")
+    assert licenses.scan(part, templates=licenses.whole_texts()).count() == 0
+
+
+def test_licenses_nested_notices():
+    spans = [(0, 5, 10, 14), (1, 50, 8, 60), (1, 50, 70, 120), (2, 5, 118, 124), (3, 50, 8, 60), (0, 5, 58, 64)]
+    assert licenses.outermost(spans) == [(0, 5, 58, 64), (1, 50, 8, 60), (1, 50, 70, 120), (2, 5, 118, 124)]
+    assert licenses.outermost([]) == []
+
+
 def test_licenses_winnowing_guarantee():
     import numpy as np
 
@@ -286,3 +314,17 @@ def test_long_words_count_as_in_the_trie(spark, monkeypatch):
     huge = np.frombuffer(b"QUJD0123" * 125_000, np.uint8)
     assert book.count(huge, np.array([0]), np.array([len(huge)]))[0] > 1000
     assert time.perf_counter() - began < 30
+
+
+def test_spans_cover_all_words_whatever_the_slices(docs, odd, monkeypatch):
+    model = languages.train(languages.learned_from(docs))
+    some = docs.select("doc_id", "text").limit(200).union(odd.select("doc_id", "text"))
+    found = languages.identify(some, model, "doc_id", "text").collect()
+    for r in found:
+        at = 0
+        for span in r["spans"]:
+            assert span["first_word"] == at and span["n_words"] > 0
+            at += span["n_words"]
+        assert at == len(re.findall("[^\\x20\\x09-\\x0D]+", r["text"] or ""))
+    monkeypatch.setattr(languages, "SLICE", 1 << 10)
+    assert sorted(map(str, languages.identify(some, model, "doc_id", "text").collect())) == sorted(map(str, found))

@@ -254,9 +254,12 @@ def identify(docs: DataFrame, model: Model, *keys: str | Column, spans: bool = T
         ddl += ", spans array<struct<lang string, first_word bigint, n_words bigint>>"
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
+    # scores are words times languages: beyond 16 languages a slice has less text
+    limit = max(SLICE * 16 // max(len(names), 16), 1 << 16)
+
     def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for part in slices(batches, SLICE):
+        for part in slices(batches, limit):
             words = folded(Texts.of(part.column("text"))).words(WHITE)
             scores, lettered = model.word_scores(words)
             label = viterbi(scores, words.first) if names else np.zeros(len(words), np.int8)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewharf.functions.scratch import new_folder
+from tidewharf.functions.scratch import materialized, new_folder
 from tidewharf.llm import (
     collocations, contamination, divergence, fim, jaccard, languages, licenses, mixing, quality_model, simhash, statements, tokens,
     urls, warc,
@@ -26,7 +26,7 @@ def op1_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
-    found = licenses.scan(table(spark, folder, "documents"))
+    found = licenses.scan(table(spark, folder, "documents"), templates=licenses.TEMPLATES + licenses.whole_texts())
     return found.select("doc_id", "license", "coverage", "matched_words", "first_word", "last_word", "matched_text")
 
 
@@ -45,8 +45,8 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 def op6_language_id(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = languages.train(languages.learned_from(docs))
-    found = languages.identify(docs, model, "doc_id", spans=False)
-    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score")
+    found = languages.identify(docs, model, "doc_id")
+    return found.select("doc_id", languages.held_out().alias("held_out"), "lang_pred", "score", "spans")
 
 
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     archives = warc.write(table(spark, folder, "pages"), new_folder(spark, "warc"))
-    return warc.read(archives).select(
+    return warc.checked(materialized(warc.read(archives))).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "verified"
     )
 

@@ -202,6 +202,23 @@ def read_records(stream, payloads: bool = False) -> Iterator[dict]:
         }
 
 
+def checked(records: DataFrame) -> DataFrame:
+    """``records`` with ``verified`` of a revisit true only if a verified response has its number, digest and length.
+
+    Revisits of one response are compared once, so a payload of very many pages is one row here. Null numbers equal
+    nothing: a revisit without one is not verified. ``records`` is read twice and should be stored.
+    """
+    asked = records.where("record_type = 'revisit'").select("refers_to", "payload_digest", "payload_bytes").distinct()
+    sound = records.where("record_type = 'response' AND verified").select(
+        F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes"
+    )
+    bad = asked.join(sound, ["refers_to", "payload_digest", "payload_bytes"], "left_anti")
+    bad = materialized(bad.select(*[F.col(c).alias(f"_bad_{c}") for c in bad.columns], F.lit(True).alias("_bad")))
+    same = [F.col(c).eqNullSafe(F.col(f"_bad_{c}")) for c in ("refers_to", "payload_digest", "payload_bytes")]
+    refused = F.col("_bad").isNotNull() & (F.col("record_type") == "revisit")
+    return records.join(bad, same, "left").withColumn("verified", F.col("verified") & ~refused).select(*records.columns)
+
+
 def _number(urn: str) -> int | None:
     text = urn.removeprefix(URN)
     return int(text) if urn.startswith(URN) and text != "null" else None
