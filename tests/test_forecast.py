@@ -192,3 +192,28 @@ def test_newton_boosting_on_one_value(spark):
     df = spark.createDataFrame([(1.0, 5.0)] * 20, "a double, y double")
     model = boosting.fit(df, ["a"], "y", trees=3)
     assert len(model.trees) == 1 and boosting.predict(model, df).first()["predicted"] == 5.0
+
+
+def test_a_run_computes_the_series_once_and_fits_at_the_same_time(spark, monkeypatch):
+    import threading
+
+    from tidewharf.sources.star import StarTables
+
+    asked, met = [], threading.Barrier(2, timeout=60)
+    plain = forecast.fit
+
+    def fit(name, rows, seed=forecast.SEED):
+        if name == "gradient_boosting":
+            met.wait()  # passed only if the two boosted fits run side by side
+        return plain("linear_regression", rows, seed)
+
+    monkeypatch.setattr(forecast, "fit", fit)
+    series = forecast.monthly_series
+    monkeypatch.setattr(forecast, "monthly_series", lambda t, *a: asked.append(1) or series(t, *a))
+    out = forecast.run(StarTables(spark, "/root/testdata/sf0.001"))
+    assert len(asked) == 1
+    assert not any("lineitem" in f for df in out.values() for f in df.inputFiles())
+    scores = {r.model: r for r in out["metrics"].collect()}
+    assert set(scores) == {*forecast.regressors(), forecast.SEASONAL} and sum(r.is_best for r in scores.values()) == 1
+    first = out["forecasts"].first()
+    assert (first.rmse, first.mae, first.mape) == tuple(scores["gradient_boosting"][c] for c in ("rmse", "mae", "mape"))
