@@ -286,3 +286,16 @@ def test_planning_reads_the_line_items_once(spark):
         shared = optimize.demand_stats(once) if name == "demand" else optimize.supply_terms(once)
         assert not any("lineitem" in f for f in shared.inputFiles())
         assert sorted(map(str, shared.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_extract_holds_both_files_open(spark, tmp_path, monkeypatch):
+    rows = spark.range(1000).selectExpr("id", "IF(id % 10 = 0, 'bad', NULL) AS _corrupt").coalesce(1)
+    seen = []  # the setting as the write finds it
+    writer = type(rows.write)
+    monkeypatch.setattr(writer, "parquet", lambda w, p, f=writer.parquet: seen.append(spark.conf.get(flow.WRITERS)) or f(w, p))
+    counts = flow._extract_table(rows, f"{tmp_path}/t")
+    assert seen == ["2"]
+    assert counts == {"good": 900, "bad": 100}
+    good = spark.read.parquet(f"{tmp_path}/t").filter("NOT rejected")
+    assert [r.id for r in good.coalesce(1).collect()] == [i for i in range(1000) if i % 10]
+    assert spark.conf.get(flow.WRITERS) == "0"
