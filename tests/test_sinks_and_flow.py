@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import day
 from tidewharf.operators import clean, logistics, optimize, summaries
-from tidewharf.plans import flow
+from tidewharf.plans import flow, registry
 from tidewharf.plans.ledger import Ledger, Outcome
 from tidewharf.schemas import RAW, SOURCE_TABLES, STORED
 from tidewharf.sources import buckets, files, sinks, versions
@@ -299,3 +299,30 @@ def test_extract_holds_both_files_open(spark, tmp_path, monkeypatch):
     good = spark.read.parquet(f"{tmp_path}/t").filter("NOT rejected")
     assert [r.id for r in good.coalesce(1).collect()] == [i for i in range(1000) if i % 10]
     assert spark.conf.get(flow.WRITERS) == "0"
+
+
+def listed(df):
+    return sorted(map(str, df.collect()))
+
+
+def test_gathered_lines_give_the_same_tables(spark):
+    t = StarTables(spark, "/root/testdata/sf0.001")
+    for once in (t.gathered(), t.gathered().summarised()):
+        for name in ("orders", "logistics", "inventory", "demand_history"):
+            assert not any("lineitem" in f for f in once.frame(name).inputFiles())
+            assert listed(once.frame(name)) == listed(t.frame(name))
+        assert listed(optimize.demand_stats(once)) == listed(optimize.demand_stats(t))
+        assert listed(once.primary_suppliers()) == listed(t.primary_suppliers())
+
+
+def cleared(monkeypatch):
+    """A list that grows by one each time the line items are cleared of repeats."""
+    calls, lines = [], StarTables.lines
+    monkeypatch.setattr(StarTables, "lines", lambda t: calls.append(1) or lines(t))
+    return calls
+
+
+def test_snapshots_clear_the_line_items_once(spark, monkeypatch):
+    calls = cleared(monkeypatch)
+    assert registry._sink_snapshot(StarTables(spark, "/root/testdata/sf0.001")).count() > 0
+    assert len(calls) == 1
