@@ -326,3 +326,14 @@ def test_snapshots_clear_the_line_items_once(spark, monkeypatch):
     calls = cleared(monkeypatch)
     assert registry._sink_snapshot(StarTables(spark, "/root/testdata/sf0.001")).count() > 0
     assert len(calls) == 1
+
+
+def test_compressed_csv_files_hold_all_rows_in_small_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "FILE_ROWS", 10)
+    rows = spark.range(35).selectExpr("concat('P', id) AS product_id", "IF(id = 7, 'x,\"y\"', '') AS supplier_id", "'1.50' AS unit_cost", "'true' AS is_primary")
+    for codec, ending in (("gzip", "gz"), ("lz4", "lz4")):
+        sinks.write_all({"product_suppliers.csv": rows.coalesce(1)}, f"{tmp_path}/{codec}", "csv", codec=codec)
+        assert len(glob.glob(f"{tmp_path}/{codec}/product_suppliers.csv/*.csv.{ending}")) == 4
+        back = files.read_csv_checked(spark, f"{tmp_path}/{codec}", "product_suppliers").collect()
+        assert sorted(r.product_id for r in back) == sorted(f"P{i}" for i in range(35))
+        assert [r.product_id for r in back if r.supplier_id == 'x,"y"'] == ["P7"] and not any(r._corrupt for r in back)
