@@ -337,3 +337,9 @@ def test_compressed_csv_files_hold_all_rows_in_small_files(spark, tmp_path, monk
         back = files.read_csv_checked(spark, f"{tmp_path}/{codec}", "product_suppliers").collect()
         assert sorted(r.product_id for r in back) == sorted(f"P{i}" for i in range(35))
         assert [r.product_id for r in back if r.supplier_id == 'x,"y"'] == ["P7"] and not any(r._corrupt for r in back)
+
+
+def test_csv_input_of_a_load_is_compressed(spark):
+    folder = registry._csv_folder(StarTables(spark, "/root/testdata/sf0.001"))
+    for name in SOURCE_TABLES:
+        assert glob.glob(f"{folder}/{name}.csv/*.csv.lz4") and not glob.glob(f"{folder}/{name}.csv/*.csv")
