@@ -322,6 +322,12 @@ def cleared(monkeypatch):
     return calls
 
 
+def test_output_checks_clear_the_line_items_once(spark, monkeypatch):
+    calls = cleared(monkeypatch)
+    registry._outputs(StarTables(spark, "/root/testdata/sf0.001"))
+    assert len(calls) == 1
+
+
 def test_snapshots_clear_the_line_items_once(spark, monkeypatch):
     calls = cleared(monkeypatch)
     assert registry._sink_snapshot(StarTables(spark, "/root/testdata/sf0.001")).count() > 0
