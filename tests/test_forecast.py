@@ -217,3 +217,50 @@ def test_a_run_computes_the_series_once_and_fits_at_the_same_time(spark, monkeyp
     assert set(scores) == {*forecast.regressors(), forecast.SEASONAL} and sum(r.is_best for r in scores.values()) == 1
     first = out["forecasts"].first()
     assert (first.rmse, first.mae, first.mape) == tuple(scores["gradient_boosting"][c] for c in ("rmse", "mae", "mape"))
+
+
+def test_a_fit_gets_its_rows_in_even_parts(spark, monthly, cleaned, monkeypatch):
+    from tidewharf.sources.tables import SupplyTables
+
+    many = monthly.crossJoin(spark.range(40).withColumnRenamed("id", "k")).select(
+        F.concat_ws("-", "product_id", "k").alias("product_id"), F.lit("W001").alias("warehouse_id"), "demand_date",
+        F.col("demand").alias("demand_quantity"),
+    )
+    t = SupplyTables({**cleaned, "demand_history": many})
+    seen, plain = [], forecast.fit
+    monkeypatch.setattr(forecast, "fit", lambda name, rows, seed: seen.append(rows) or plain(name, rows, seed))
+    assert forecast.model_forecasts(t, "linear_regression").count() == 80 * 21
+    rows = seen[0]
+    sizes = [len(part) for part in rows.rdd.glom().collect()]
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 1.3 * min(sizes)
+    want = forecast.lag_features(forecast.monthly_series(t))
+    assert rows.count() == want.count() == 80 * 18 and rows.exceptAll(want).count() == 0
+
+
+def test_product_series_reads_no_warehouses(spark):
+    from tidewharf.sources.star import StarTables
+
+    t = StarTables(spark, "/root/testdata/sf0.001")
+    got = forecast.monthly_series(t)
+    assert not any("supplier" in path or "nation" in path for path in got.inputFiles())
+    want = t.pair_months().groupBy("product_id", F.col("month").alias("demand_date")).agg(F.sum("units").alias("demand"))
+    assert got.schema == want.schema and got.count() == want.count() > 0 and got.exceptAll(want).count() == 0
+    assert got.exceptAll(forecast.monthly_series(t.summarised())).count() == 0
+
+
+def test_lines_are_cleared_of_repeats_without_the_columns_behind(spark, tmp_path):
+    from tidewharf.operators import clean
+    from tidewharf.sources.star import StarTables
+
+    raw = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    late = F.col("l_shipdate") + F.expr("INTERVAL 3 DAYS")
+    other = raw.filter("l_orderkey % 3 = 0").withColumns({"l_tax": F.col("l_tax") / 2, "l_linestatus": F.lit("A"), "l_shipdate": late})
+    raw.unionByName(raw.filter("l_orderkey % 2 = 0").withColumn("l_shipdate", late)).unionByName(other).write.parquet(
+        str(tmp_path / "lineitem.parquet"))
+    t = StarTables(spark, str(tmp_path))
+    got = t.lines()
+    assert "l_shipdate" not in got.columns
+    want = clean.dedupe(t.raw("lineitem"), ["l_orderkey", "l_linenumber"]).select(*got.columns)
+    keys = raw.select("l_orderkey", "l_linenumber").distinct().count()
+    assert got.count() == want.count() == keys and got.exceptAll(want).count() == 0
+    assert got.exceptAll(raw.select(*got.columns)).count() > 0
