@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tidewharf.llm import collocations, fim, simhash
+from tidewharf.llm import collocations, fim, jaccard, simhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -122,6 +122,25 @@ def test_segments_satisfy_the_pigeonhole():
     assert simhash.best_segments(10**4, 4) >= simhash.best_segments(10**7, 4) > simhash.best_segments(10**11, 4)
 
 
+def test_no_table_of_fingerprints_is_gathered_in_the_driver(spark, monkeypatch):
+    """An exploded table is far larger than Spark takes it for, so no join may be left to its threshold."""
+    plans = []
+
+    def seen(df, store=simhash.materialized):
+        df.collect()  # the plan of this run is final
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df)
+
+    monkeypatch.setattr(simhash, "materialized", seen)
+    monkeypatch.setattr(jaccard, "materialized", seen)
+    monkeypatch.setattr(simhash, "BLOCK", 2)
+    rows = [(i, " ".join(f"w{k}" for k in range(i // 4, i // 4 + 40)) + f" z{i}") for i in range(40)]
+    found = simhash.near_duplicates(frame(spark, rows))
+    assert found.count() == 40
+    plans.append(found._jdf.queryExecution().executedPlan().toString())
+    assert sum("SortMergeJoin" in x for x in plans) >= 6 and not any("Broadcast" in x for x in plans)
+
+
 def test_empty_table_has_no_fingerprints(spark):
     assert simhash.near_duplicates(frame(spark, [])).collect() == []
 

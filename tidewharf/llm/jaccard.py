@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewharf.functions.scratch import materialized, temporary
+from tidewharf.functions.scratch import materialized, shuffled, temporary
 from tidewharf.llm.text import WHITE, Texts, mix, slices, unused, window_hashes
 
 FREQUENCY_BUCKETS = 1 << 18
@@ -215,10 +215,11 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialized(edges)
     labels = materialized(edges.select(F.col("a").alias("v")).distinct().withColumn("root", F.col("v")))
     while True:
-        near = edges.join(labels.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("root").alias("low"))
-        sunk = labels.join(near, "v").select("v", F.col("root").alias("was"), F.least("root", "low").alias("to"))
+        reached = edges.join(shuffled(labels.withColumnRenamed("v", "b")), "b")
+        near = reached.groupBy(F.col("a").alias("v")).agg(F.min("root").alias("low"))
+        sunk = labels.join(shuffled(near), "v").select("v", F.col("root").alias("was"), F.least("root", "low").alias("to"))
         onward = sunk.select(F.col("v").alias("to"), F.col("to").alias("next"))
-        fresh = materialized(sunk.join(onward, "to").select("v", "was", F.least("to", "next").alias("root")))
+        fresh = materialized(sunk.join(shuffled(onward), "to").select("v", "was", F.least("to", "next").alias("root")))
         labels = fresh.select("v", "root")
         if not fresh.where(F.col("was") != F.col("root")).limit(1).count():
             return labels

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewharf.functions.scratch import materialized
+from tidewharf.functions.scratch import materialized, shuffled
 from tidewharf.llm.jaccard import components
 from tidewharf.llm.text import slices
 
@@ -152,14 +152,14 @@ def _near_in_order(classes: DataFrame, distance: int) -> DataFrame:
 def _rooted(vertices: DataFrame, name: str, links: DataFrame, to: str) -> DataFrame:
     """``vertices`` with ``to``: the smallest vertex that ``links`` lead to from column ``name``."""
     roots = components(links).select(F.col("v").alias(name), F.col("root").alias("_root"))
-    return vertices.join(roots, name, "left").withColumn(to, F.coalesce("_root", name)).drop("_root")
+    return vertices.join(shuffled(roots), name, "left").withColumn(to, F.coalesce("_root", name)).drop("_root")
 
 
 def linked_fingerprints(classes: DataFrame, distance: int = DISTANCE, m: int | None = None) -> DataFrame:
     """``(fp, root)`` of distinct fingerprints: equal roots for those that links of ``distance`` bits at most connect."""
     grouped = _rooted(classes.select("fp"), "fp", _near_in_order(classes, distance), "g")
     sizes = grouped.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
-    groups = materialized(grouped.join(sizes, "g").select("fp", "g", "size"))
+    groups = materialized(grouped.join(shuffled(sizes), "g").select("fp", "g", "size"))
 
     def keys(enumerated: bool) -> Column:
         fp, out = F.col("fp"), []
@@ -176,16 +176,16 @@ def linked_fingerprints(classes: DataFrame, distance: int = DISTANCE, m: int | N
     entries = table.groupBy("i", "value").agg(F.count(F.lit(1)).alias("held"), F.max(rank).alias("top"))
     pieces = F.ceil(F.col("held") / PIECE)
     asked = materialized(
-        groups.select("fp", "g", "size", keys(True)).join(entries, ["i", "value"]).where(rank < F.col("top"))
+        groups.select("fp", "g", "size", keys(True)).join(shuffled(entries), ["i", "value"]).where(rank < F.col("top"))
         .select("fp", "g", "i", "value", pieces.alias("pieces"))
     )
     opened = asked.select("i", "value", "pieces").distinct()
     members = (
-        table.join(opened, ["i", "value"]).withColumn("piece", F.pmod(F.xxhash64("fp"), "pieces"))
+        table.join(shuffled(opened), ["i", "value"]).withColumn("piece", F.pmod(F.xxhash64("fp"), "pieces"))
         .groupBy("i", "value", "piece").agg(F.collect_list(F.struct("fp", "g")).alias("members"))
     )
     asking = asked.select("fp", "g", "i", "value", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece"))
-    met = asking.join(members, ["i", "value", "piece"])
+    met = asking.join(shuffled(members), ["i", "value", "piece"])
     close = F.filter("members", lambda x: (x["g"] != F.col("g")) & (F.bit_count(x["fp"].bitwiseXOR(F.col("fp"))) <= distance))
     links = met.select("g", F.explode(F.array_distinct(F.transform(close, lambda x: x["g"]))).alias("other"))
     links = materialized(links.distinct().select(F.col("g").alias("a"), F.col("other").alias("b")))
@@ -203,7 +203,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, distance: int = DISTANC
     """
     found = materialized(fingerprints(docs, words))
     classes = materialized(found.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    rooted = linked_fingerprints(classes, distance).join(classes, "fp")
+    rooted = linked_fingerprints(classes, distance).join(shuffled(classes), "fp")
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    placed = materialized(rooted.select("fp", "root").join(lows, "root").select("fp", "component_id"))
-    return found.join(placed, "fp").select("doc_id", "fp", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+    placed = materialized(rooted.select("fp", "root").join(shuffled(lows), "root").select("fp", "component_id"))
+    return found.join(shuffled(placed), "fp").select("doc_id", "fp", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
