@@ -1,6 +1,7 @@
 import datetime
 import glob
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from tidewharf.operators import clean, logistics, optimize, summaries
 from tidewharf.plans import flow, registry
 from tidewharf.plans.ledger import Ledger, Outcome
 from tidewharf.schemas import RAW, SOURCE_TABLES, STORED
-from tidewharf.sources import buckets, files, sinks, versions
+from tidewharf.sources import buckets, feeds, files, sinks, versions
 from tidewharf.sources.star import StarTables
 from tidewharf.sources.tables import SupplyTables, stored_tables
 
@@ -349,3 +350,35 @@ def test_csv_input_of_a_load_is_compressed(spark):
     folder = registry._csv_folder(StarTables(spark, "/root/testdata/sf0.001"))
     for name in SOURCE_TABLES:
         assert glob.glob(f"{folder}/{name}.csv/*.csv.lz4") and not glob.glob(f"{folder}/{name}.csv/*.csv")
+
+
+def test_feed_lines_give_the_same_feeds_and_are_looked_up_once(spark, monkeypatch):
+    t = StarTables(spark, "/root/testdata/sf0.001")
+    once = t.with_feed_lines()
+    for name in ("orders", "logistics", "demand_history"):
+        assert not any("lineitem" in f for f in feeds.frame(once, name).inputFiles())
+        assert listed(feeds.frame(once, name)) == listed(feeds.frame(t, name))
+    calls, look = [], StarTables._looked_up
+    monkeypatch.setattr(StarTables, "_looked_up", lambda t, *a: calls.append(1) or look(t, *a))
+    monkeypatch.setattr(sinks, "write_all", lambda frames, *a, **b: frames)
+    registry._csv_folder(t)
+    assert len(calls) == 1
+
+
+def test_tables_of_a_load_are_extracted_and_cleaned_side_by_side(spark, raw, tmp_path, monkeypatch):
+    met = {"extract": threading.Barrier(2), "transform": threading.Barrier(2)}
+    extract, stage = flow._extract_table, versions.stage
+
+    def meets(name, first, f):  # the first two tables of a stage wait for each other
+        def work(*args):
+            if args[1].rsplit("/", 1)[-1] in first:
+                met[name].wait(60)
+            return f(*args)
+
+        return work
+
+    monkeypatch.setattr(flow, "_extract_table", meets("extract", SOURCE_TABLES[:2], extract))
+    monkeypatch.setattr(versions, "stage", meets("transform", SOURCE_TABLES[:2], stage))
+    loaded = flow.load_tables(spark, raw, str(tmp_path))
+    assert list(loaded) == list(SOURCE_TABLES) and spark.conf.get(flow.WRITERS) == "0"
+    assert loaded == {name: sinks.read(spark, f"{tmp_path}/{name}").count() for name in SOURCE_TABLES}
