@@ -382,3 +382,26 @@ def test_tables_of_a_load_are_extracted_and_cleaned_side_by_side(spark, raw, tmp
     loaded = flow.load_tables(spark, raw, str(tmp_path))
     assert list(loaded) == list(SOURCE_TABLES) and spark.conf.get(flow.WRITERS) == "0"
     assert loaded == {name: sinks.read(spark, f"{tmp_path}/{name}").count() for name in SOURCE_TABLES}
+
+
+def test_full_run_looks_its_lines_up_once_and_writes_snapshots_side_by_side(spark, monkeypatch, tmp_path):
+    calls, look = [], StarTables._looked_up
+    with monkeypatch.context() as m:
+        m.setattr(StarTables, "_looked_up", lambda t, *a: calls.append(1) or look(t, *a))
+        m.setattr(flow, "run_all", lambda spark, raw, folder: raw)
+        m.setattr(registry, "counts", lambda raw: raw)
+        raw = registry._pipe_full(StarTables(spark, "/root/testdata/sf0.001"))
+        assert len(calls) == 1 and list(raw) == list(feeds.FEEDS)
+
+    met, replace = threading.Barrier(2), sinks.replace_day
+
+    def meets(df, path, *args):  # the first two snapshots wait for each other
+        if path.endswith(("kpi_inventory", "kpi_supplier")):
+            met.wait(60)
+        return replace(df, path, *args)
+
+    monkeypatch.setattr(sinks, "replace_day", meets)
+    t = StarTables(spark, "/root/testdata/sf0.001")
+    names = ("kpi_inventory", "kpi_supplier", "kpi_logistics", "kpi_service", "kpi_executive")
+    rows = flow.run_kpis(t, str(tmp_path), t.latest_day().first()["day"])
+    assert rows == sum(spark.read.parquet(f"{tmp_path}/{name}").count() for name in names)
